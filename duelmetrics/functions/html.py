@@ -18,23 +18,23 @@ def class_attr(token: str) -> str:
 def section(html: Column | str, token: str, until: tuple[str, ...] = ()) -> Column:
     """Text after the first tag of class ``token``, up to the first tag of a class in ``until``.
 
-    Null when there is no such tag.
+    Null when there is no such tag, or nothing in it.
     """
-    stops = "".join(f"{class_attr(u)}|" for u in until)
-    pattern = rf"(?s)<[^<>]*{class_attr(token)}[^<>]*>(.*?)(?:<[^<>]*(?:{stops[:-1]})|\z)" if until \
-        else rf"(?s)<[^<>]*{class_attr(token)}[^<>]*>(.*)\z"
-    html = col(html)
-    return F.when(has_class(html, token), F.regexp_extract(html, pattern, 1))
+    end = "|".join([rf"(?={class_attr(u)})" for u in until] + [r"\z"])
+    pattern = rf"(?s){class_attr(token)}[^<>]*>(.*?)(?:{end})"
+    return F.nullif(F.regexp_extract(col(html), pattern, 1), F.lit(""))
 
 
 def sections(html: Column | str, token: str) -> Column:
     """One text per tag of class ``token``: from it to the next such tag or the end."""
-    tag = rf"<[^<>]*{class_attr(token)}[^<>]*>"
-    return F.regexp_extract_all(col(html), F.lit(rf"(?s){tag}.*?(?=<[^<>]*{class_attr(token)}|\z)"), F.lit(0))
+    tag = class_attr(token)
+    return F.regexp_extract_all(col(html), F.lit(rf"(?s){tag}[^<>]*>.*?(?={tag}|\z)"), F.lit(0))
 
 
 def has_class(html: Column | str, token: str) -> Column:
-    return F.regexp_like(col(html), F.lit(class_attr(token)))
+    # The plain search comes first and spares most texts the pattern.
+    html = col(html)
+    return F.contains(html, F.lit(token)) & F.regexp_like(html, F.lit(class_attr(token)))
 
 
 def has_class_in_tag(tag: Column, token: str) -> Column:
@@ -57,10 +57,9 @@ def plain(fragment: Column) -> Column:
 
 
 def first_text(html: Column | str, opening: str, closing: str = "</") -> Column:
-    """Visible text of the first element whose opening tag matches ``opening``."""
-    html = col(html)
-    pattern = rf"(?s){opening}(.*?){closing}"
-    return F.when(F.regexp_like(html, F.lit(pattern)), plain(F.regexp_extract(html, pattern, 1)))
+    """Visible text of the first element whose opening tag matches ``opening``, null if none."""
+    found = F.regexp_extract(col(html), rf"(?s){opening}.*?(?={closing})", 0)
+    return plain(F.nullif(found, F.lit("")))
 
 
 def tag_text(html: Column | str, tag: str) -> Column:

@@ -29,9 +29,14 @@ def read_json_pages(spark: SparkSession, path: str, schema: T.StructType = schem
     return page_items(pages, max_page, keep)
 
 
-def read_json_items(spark: SparkSession, path: str, schema: T.StructType = schemas.FLAT_LISTING) -> DataFrame:
-    """One row per object of the top-level array of each file."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_json_items(spark: SparkSession, path: str, schema: T.StructType = schemas.FLAT_LISTING,
+                    multi_line: bool = True) -> DataFrame:
+    """One row per object of the top-level array of each file.
+
+    With ``multi_line=False`` every line of a file holds a payload of its own, which lets
+    Spark split large files.
+    """
+    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
 def listing_filter(items: DataFrame, **equal) -> DataFrame:

@@ -25,7 +25,9 @@ MENU_BLOCK, MENU_NAME, MENU_LINK = "lmc__block", "lmc__elementName", "lmc__templ
 
 
 def _text_in(scope: Column, token: str, inner: str = "") -> Column:
-    return first_text(scope, rf"<[^<>]*{class_attr(token)}[^<>]*>{inner}")
+    """Text of the first element of class ``token``, or of the element ``inner`` right inside."""
+    found = F.regexp_extract(scope, rf"(?s){class_attr(token)}[^<>]*>({inner}.*?)(?=</)", 1)
+    return plain(F.nullif(found, F.lit("")))
 
 
 def extract_match_pages(df: DataFrame, html_col: str, keep: list[str] = ()) -> DataFrame:

@@ -17,12 +17,13 @@ def write_dated_csv(df: DataFrame, path: str, date_col: str, skip_empty: bool =
     for f in out.schema.fields:
         if f.dataType.typeName() in ("map", "array", "struct"):
             out = out.withColumn(f.name, F.to_json(f.name))
-    out.withColumnRenamed("_folder", "date_folder").write.mode("append") \
-        .partitionBy("date_folder").option("header", True).option("escape", '"').csv(path)
+    # Rebalancing gives each date few files, and splits a date that holds much.
+    out.withColumnRenamed("_folder", "date_folder").hint("rebalance", F.col("date_folder")) \
+        .write.mode("append").partitionBy("date_folder").option("header", True).option("escape", '"').csv(path)
     return True
 
 
 def write_labelled_csv(df: DataFrame, path: str, slug_col: str) -> None:
     """CSV in one folder per label slug."""
-    df.withColumn("label", F.col(slug_col)).write.mode("append") \
-        .partitionBy("label").option("header", True).option("escape", '"').csv(path)
+    df.withColumnRenamed(slug_col, "label").hint("rebalance", F.col("label")) \
+        .write.mode("append").partitionBy("label").option("header", True).option("escape", '"').csv(path)

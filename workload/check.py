@@ -28,11 +28,15 @@ def rows(names, data):
     return [names[i] for i in order], collections.Counter(tuple(value(r[i]) for i in order) for r in data)
 
 
+def kinds(names, data):
+    return {n: {type(r[i]).__name__ for r in data if r[i] is not None} for i, n in enumerate(names)}
+
+
 def main() -> int:
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     chosen = sys.argv[2:] or list(queries.ALL)
     sf_dir = f"/root/testdata/sf{sf}"
-    spark = get_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
+    spark = get_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__showConsoleProgress="false", spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:
@@ -42,14 +46,21 @@ def main() -> int:
         try:
             start = time.time()
             df = queries.ALL[name](spark, sf_dir)
-            got = rows(df.columns, df.collect())
+            data = df.collect()
+            got = rows(df.columns, data)
             took = time.time() - start
             if name not in oracle.ALL:
                 print(f"----  {name}: {sum(got[1].values())} rows, no SQL, {took:.1f}s")
                 continue
             start = time.time()
             rel = con.execute(oracle.ALL[name])
-            want = rows([d[0] for d in rel.description], rel.fetchall())
+            names = [d[0] for d in rel.description]
+            sql_data = rel.fetchall()
+            want = rows(names, sql_data)
+            ours, theirs = kinds(df.columns, data), kinds(names, sql_data)
+            for n in ours.keys() & theirs.keys():
+                if ours[n] != theirs[n]:
+                    print(f"type  {name}.{n}: {ours[n]} / {theirs[n]}")
             sql_took = time.time() - start
         except Exception as e:
             bad += 1

@@ -416,15 +416,18 @@ SELECT *, replace(replace(replace(replace(label, ' ', '_'), ':', ''), '(', ''),
     "pages_to_csv": _with(MATCHES) + """
 SELECT matchdate::VARCHAR AS matchdate, count(*) AS n, count(*) FILTER (match_id % 7 <> 0) AS decided,
        sum(CASE WHEN match_id % 7 <> 0 THEN player1score END)::BIGINT AS points
-FROM m WHERE match_id % 9 <> 0 GROUP BY matchdate""",
+FROM (SELECT CASE WHEN match_id % 9 <> 0 THEN matchdate END AS matchdate, match_id, player1score FROM m) GROUP BY matchdate""",
 }
 
 ALL["odds_blocks"] = _with(LINES) + """
-SELECT id, bookmaker, CASE WHEN line = 4 THEN 1 ELSE 2 END AS n, line FROM lines WHERE line <> 7"""
+SELECT id, bookmaker, CASE WHEN line = 4 THEN 1 ELSE 2 END AS n,
+       CASE WHEN line NOT IN (2, 3) THEN round(v1, 9) END AS p1,
+       CASE WHEN line NOT IN (4, 5) THEN round(v2, 9) END AS p2 FROM lines WHERE line <> 7"""
 ALL["results_job"] = _with(MATCHES, LANDED) + """
 , ok AS (
   SELECT * FROM landed WHERE player2 IS NOT NULL AND player2score IS NOT NULL AND winner IS NOT NULL
-    AND (winner = player1 OR winner = player2))
+    AND (winner = player1 OR winner = player2)
+  QUALIFY row_number() OVER (PARTITION BY player1, player2, matchdate ORDER BY match_id % 3, match_id) = 1)
 SELECT row_number() OVER (ORDER BY matchdate, player1, player2) AS match_id, matchdate::VARCHAR AS matchdate,
        player1, player2, player1score, player2score, winner
-FROM ok QUALIFY row_number() OVER (PARTITION BY player1, player2, matchdate ORDER BY match_id) = 1"""
+FROM ok"""

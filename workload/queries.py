@@ -400,9 +400,9 @@ def _land_results(spark, sf):
     parts = [m.where("match_id % 3 = 0"),
              m.where("match_id % 3 = 1").select(*reversed(m.columns)),
              m.where("match_id % 3 = 2").drop("Winner").withColumn("Average, Player 1", F.lit("90,5"))]
-    for part in parts:
-        part.write.mode("append").option("header", True).option("escape", '"').csv(root)
-    return root
+    for name, part in zip("abc", parts):
+        part.write.option("header", True).option("escape", '"').csv(f"{root}/{name}")
+    return f"{root}/*"
 
 
 def csv_landing(spark, sf):
@@ -440,12 +440,11 @@ def csv_wide(spark, sf):
 
 
 def dated_csv(spark, sf):
-    """Written by day and read back by the landing scan of one level of folders."""
+    """Written by the first day of the month and read back by the landing scan."""
     path = scratch_dir(spark, "dated")
-    m = b.matches(spark, sf).select(F.col("match_id").cast("string").alias("match_id"), F.col("matchdate").alias("Date"),
-                                    "player1")
+    m = b.matches(spark, sf).select("match_id", "matchdate", "player1", F.trunc("matchdate", "month").alias("Date"))
     sinks.write_dated_csv(m, path, "Date")
-    back = landing.read_csv_landing(spark, f"{path}/*", {"match_id": "match_id", "matchdate": "Date", "player1": "player1"})
+    back = landing.read_csv_landing(spark, f"{path}/*", {c: c for c in ("match_id", "matchdate", "player1")})
     return back.select(F.col("match_id").cast("bigint").alias("match_id"), "matchdate", "player1")
 
 
@@ -494,7 +493,7 @@ def stream_landed(spark, sf):
 def _star_parts(spark, sf):
     li = b.table(spark, sf, "lineitem")
     return li.selectExpr(
-        "l_suppkey", "if(l_partkey % 9 = 0, '', concat('part ', l_partkey)) as market_hash_name",
+        "l_orderkey", "if(l_partkey % 9 = 0, '', concat('part ', l_partkey)) as market_hash_name",
         "case when l_partkey % 18 = 0 then null when l_partkey % 9 = 0 then concat('alt ', l_partkey) end as name",
         "if(l_linenumber = 4, null, cast(l_extendedprice as string)) as min_price",
         "cast(l_quantity as string) as quantity")
@@ -527,12 +526,12 @@ def snapshot_page_cap(spark, sf):
 
 
 def flat_json_items(spark, sf):
-    """A flat listing landed as JSON arrays, one array per supplier."""
+    """Flat listings landed as JSON arrays, one array per line of text."""
     path = scratch_dir(spark, "flat")
     rows = _star_parts(spark, sf).withColumn("json", F.to_json(F.struct("market_hash_name", "name", "min_price", "quantity")))
-    rows.groupBy("l_suppkey").agg(F.concat(F.lit("["), F.array_join(F.collect_list("json"), ","), F.lit("]")).alias("value")) \
+    rows.groupBy("l_orderkey").agg(F.concat(F.lit("["), F.array_join(F.collect_list("json"), ","), F.lit("]")).alias("value")) \
         .select("value").write.text(path)
-    items = json_payloads.read_json_items(spark, path)
+    items = json_payloads.read_json_items(spark, path, multi_line=False)
     return star.named_prices(items, star.FLAT_FIELDS).groupBy("name").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.max("price"), 2).alias("price"), F.sum("volume").alias("volume"))
 
@@ -593,7 +592,8 @@ def odds_blocks(spark, sf):
     found = pages.extract_odds_blocks(b.odds_pages(spark, sf), "html")
     return found.select("id", F.explode("blocks").alias("x")).select(
         "id", F.col("x.bookmaker").alias("bookmaker"), F.size("x.odds").alias("n"),
-        F.get("x.odds", F.lit(0)).alias("p1"), F.get("x.odds", F.lit(1)).alias("p2"))
+        F.round(convert.number(F.get("x.odds", F.lit(0))), 9).alias("p1"),
+        F.round(convert.number(F.get("x.odds", F.lit(1))), 9).alias("p2"))
 
 
 def blocks_to_odds(spark, sf):
@@ -614,10 +614,10 @@ def region_links(spark, sf):
 
 
 def pages_to_csv(spark, sf):
-    """Match pages to dated CSV and back through the landing scan."""
+    """Match pages to CSV, one folder per month label, and back through the landing scan."""
     path = scratch_dir(spark, "page-csv")
-    dated = b.match_pages(spark, sf).where("match_id % 9 <> 0")
-    jobs.job_pages_to_csv(dated, "html", path)
+    label = F.concat(F.lit("Season: "), F.regexp_extract("html", r"\d+\.(\d+\.\d+)", 1))
+    jobs.job_pages_to_csv(b.match_pages(spark, sf).withColumn("label", label), "html", path, "label")
     back = jobs.typed_results(landing.read_csv_landing(spark, f"{path}/*", schemas.RESULTS_CSV))
     return back.groupBy("matchdate").agg(F.count(F.lit(1)).alias("n"), F.count("winner").alias("decided"),
                                          F.sum("player1score").alias("points")) \
