@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from .convert import col
 
 
-def class_attr(token: str) -> str:
-    """Pattern of a class attribute that holds ``token`` as a whole class name."""
-    return rf'class="(?:[^"]*\s)?{re.escape(token)}(?:\s[^"]*)?"'
+def class_attr(*tokens: str) -> str:
+    """Pattern of a class attribute that holds one of ``tokens`` as a whole class name."""
+    names = "|".join(map(re.escape, tokens))
+    return rf'class="(?:[^"]*\s)?(?:{names})(?:\s[^"]*)?"'
 
 
 def section(html: Column | str, token: str, until: tuple[str, ...] = ()) -> Column:
@@ -20,8 +21,8 @@ def section(html: Column | str, token: str, until: tuple[str, ...] = ()) -> Colu
 
     Null when there is no such tag, or nothing in it.
     """
-    end = "|".join([rf"(?={class_attr(u)})" for u in until] + [r"\z"])
-    pattern = rf"(?s){class_attr(token)}[^<>]*>(.*?)(?:{end})"
+    rest = rf"(.*?)(?={class_attr(*until)}|\z)" if until else r"(.*)\z"
+    pattern = rf"(?s){class_attr(token)}[^<>]*>{rest}"
     return F.nullif(F.regexp_extract(col(html), pattern, 1), F.lit(""))
 
 

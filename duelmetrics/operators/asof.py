@@ -16,23 +16,20 @@ def asof_states(requests: DataFrame, facts: DataFrame, key: str, day: str,
                 order: str, value: str, last: str = "last", count: str = "n") -> DataFrame:
     """For each distinct (key, day) of ``requests``: the last earlier ``value`` and how many.
 
-    ``facts`` holds (key, day, order, value); within a day the highest ``order`` counts.
+    ``facts`` holds (key, day, order, value); within a day the highest ``order`` counts, and
+    a fact without a value counts but is never the last.
     """
-    by_day = facts.groupBy(key, day).agg(
-        F.max_by(F.struct(F.col(value).alias("v")), F.col(order)).alias("v"),
-        F.count(F.lit(1)).alias("n"))
+    by_day = facts.groupBy(key, day).agg(F.max_by(value, order).alias("v"), F.count(F.lit(1)).alias("n"))
     asked = requests.select(key, day).distinct()
-    marks = by_day.select(key, day, "v", "n", F.lit(False).alias("asked")).unionByName(
-        asked.select(key, day, F.lit(None).cast(by_day.schema["v"].dataType).alias("v"),
+    number = F.unix_date(day).alias("_number")
+    marks = by_day.select(key, day, number, "v", "n", F.lit(False).alias("asked")).unionByName(
+        asked.select(key, day, number, F.lit(None).cast(by_day.schema["v"].dataType).alias("v"),
                      F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("asked")))
     # RANGE, not ROWS: facts of the same day are outside the frame.
-    before = (Window.partitionBy(key).orderBy(F.unix_date(day))
-              .rangeBetween(Window.unboundedPreceding, -1))
-    return (marks
-            .withColumn("_v", F.max(F.when(F.col("v").isNotNull(), F.struct(day, "v"))).over(before))
-            .withColumn("_n", F.coalesce(F.sum("n").over(before), F.lit(0)))
-            .where("asked")
-            .select(key, day, F.col("_v.v.v").alias(last), F.col("_n").alias(count)))
+    before = Window.partitionBy(key).orderBy("_number").rangeBetween(Window.unboundedPreceding, -1)
+    looked_up = marks.select(key, day, "asked", F.last("v", ignorenulls=True).over(before).alias(last),
+                             F.coalesce(F.sum("n").over(before), F.lit(0)).alias(count))
+    return looked_up.where("asked").drop("asked")
 
 
 def rating_facts(log: DataFrame, side: str = "own") -> DataFrame:

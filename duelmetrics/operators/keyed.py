@@ -25,35 +25,44 @@ def _orderable(dtype: T.DataType) -> bool:
 
 
 def _one_per_key(batch: DataFrame, keys: list[str], order_by: list[str] | None, pick) -> DataFrame:
-    """One row per key, picked by ``order_by`` and then by the other columns.
-
-    A key with a null in it equals no other key, so such rows all stay.
-    """
+    """One row per key, picked by ``order_by`` and then by the other columns."""
     rest = [c for c in batch.columns if c not in keys]
     order = list(order_by or [])
     order += [c for c in rest if c not in order and _orderable(batch.schema[c].dataType)]
-    marked = batch.withColumn("_lone", F.when(any_null(keys), F.monotonically_increasing_id()))
-    grouped = marked.groupBy(*keys, "_lone")
     if not rest:
-        return grouped.agg(F.count(F.lit(1)).alias("_n")).select(*batch.columns)
+        return batch.distinct()
     row = F.struct(*rest)
-    picked = grouped.agg(pick(row, F.struct(*order) if order else F.lit(0)).alias("_row"))
+    picked = batch.groupBy(*keys).agg(pick(row, F.struct(*order) if order else F.lit(0)).alias("_row"))
     return picked.select(*keys, "_row.*").select(*batch.columns)
 
 
+def _whole_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
+    return batch.dropna(subset=keys)
+
+
+def _broken_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with a null in the key: it equals no other key, so such rows never clash."""
+    return batch.where(any_null(keys))
+
+
 def first_per_key(batch: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
-    return _one_per_key(batch, keys, order_by, F.min_by)
+    return _one_per_key(_whole_keys(batch, keys), keys, order_by, F.min_by).union(_broken_keys(batch, keys))
 
 
 def last_per_key(batch: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
-    return _one_per_key(batch, keys, order_by, F.max_by)
+    return _one_per_key(_whole_keys(batch, keys), keys, order_by, F.max_by).union(_broken_keys(batch, keys))
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: list[str],
                      order_by: list[str] | None = None) -> DataFrame:
-    """The rows of ``batch`` to append to ``target``: the first of each key not yet there."""
-    return first_per_key(batch, keys, order_by).join(target.select(*keys), keys, "left_anti") \
-        .select(*batch.columns)
+    """The rows of ``batch`` to append to ``target``: the first of each key not yet there.
+
+    The fold by key and the anti-join need the same partitioning, so the batch is shuffled
+    once; rows with a broken key pass by.
+    """
+    first = _one_per_key(_whole_keys(batch, keys), keys, order_by, F.min_by)
+    new = first.join(target.select(*keys), keys, "left_anti").select(*batch.columns)
+    return new.union(_broken_keys(batch, keys))
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str],

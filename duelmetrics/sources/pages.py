@@ -24,10 +24,13 @@ MATCH, MATCH_HEADER = "event__match", "event__match__header"
 MENU_BLOCK, MENU_NAME, MENU_LINK = "lmc__block", "lmc__elementName", "lmc__templateHref"
 
 
+def _markup_in(scope: Column, token: str, inner: str = "") -> Column:
+    """Markup of the first element of class ``token``, or of ``inner`` right inside it."""
+    return F.regexp_extract(scope, rf"(?s){class_attr(token)}[^<>]*>({inner}.*?)(?=</)", 1)
+
+
 def _text_in(scope: Column, token: str, inner: str = "") -> Column:
-    """Text of the first element of class ``token``, or of the element ``inner`` right inside."""
-    found = F.regexp_extract(scope, rf"(?s){class_attr(token)}[^<>]*>({inner}.*?)(?=</)", 1)
-    return plain(F.nullif(found, F.lit("")))
+    return plain(F.nullif(_markup_in(scope, token, inner), F.lit("")))
 
 
 def extract_match_pages(df: DataFrame, html_col: str, keep: list[str] = ()) -> DataFrame:
@@ -44,16 +47,15 @@ def extract_match_pages(df: DataFrame, html_col: str, keep: list[str] = ()) -> D
                                  F.lit(r"(?s)<span(?:\s[^>]*)?>(.*?)</span>"), F.lit(1))
     winner = _text_in(section(html, WINNER, until=(HOME, AWAY, SCORE, STAT_ROW)), NAME)
     # The first row with the label decides, also when its values are missing.
-    stats = F.transform(sections(html, STAT_ROW), lambda r: F.struct(
-        _text_in(r, STAT_LABEL, r"\s*<strong(?:\s[^>]*)?>").alias("label"),
-        _text_in(r, STAT_HOME, r"\s*<strong(?:\s[^>]*)?>").alias("home"),
-        _text_in(r, STAT_AWAY, r"\s*<strong(?:\s[^>]*)?>").alias("away")))
-    average = F.get(F.filter(stats, lambda s: F.contains(s["label"], F.lit(AVERAGE_LABEL))), F.lit(0))
+    strong = r"\s*<strong(?:\s[^>]*)?>"
+    average = F.get(F.filter(sections(html, STAT_ROW), lambda r: F.contains(
+        plain(_markup_in(r, STAT_LABEL, strong)), F.lit(AVERAGE_LABEL))), F.lit(0))
 
-    found = df.where(has_class(html, START)).select(
+    found = df.where(has_class(html, START)).withColumn("_average", average).select(
         *keep, parse_start_time(start).alias("start"), home.alias("home"), away.alias("away"),
         plain(F.get(spans, F.lit(0))).alias("s1"), plain(F.get(spans, F.lit(2))).alias("s2"),
-        winner.alias("w"), average.alias("avg"))
+        winner.alias("w"), _text_in(F.col("_average"), STAT_HOME, strong).alias("a1"),
+        _text_in(F.col("_average"), STAT_AWAY, strong).alias("a2"))
 
     def together(name: str, *needed: str) -> Column:
         whole = F.lit(True)
@@ -71,28 +73,29 @@ def extract_match_pages(df: DataFrame, html_col: str, keep: list[str] = ()) -> D
         together("s1", "s1", "s2", "w").alias("Player 1 Score"),
         together("s2", "s1", "s2", "w").alias("Player 2 Score"),
         together("w", "s1", "s2", "w").alias("Winner"),
-        together("avg.home", "avg.home", "avg.away").alias("Average Player 1"),
-        together("avg.away", "avg.home", "avg.away").alias("Average Player 2"))
+        together("a1", "a1", "a2").alias("Average Player 1"),
+        together("a2", "a1", "a2").alias("Average Player 2"))
 
 
 def extract_odds_blocks(df: DataFrame, html_col: str, out: str = "blocks") -> DataFrame:
     """Add ``array<struct<bookmaker, odds array>>``, one entry per readable odds block.
 
-    A price shown as a dash, or a cell without a price, is null; a block without a
-    bookmaker link is skipped.
+    A price shown as a dash, or a cell without a readable price, is null; a block without
+    a bookmaker link is skipped.
     """
     blocks = sections(section(F.col(html_col), ODDS_SECTION), ODDS_BLOCK)
     link = rf'(?s){class_attr(BOOKMAKER)}[^<>]*>.*?(<a(?:\s[^<>]*)?>)'
 
-    def read(block: Column) -> Column:
-        tag = F.nullif(F.regexp_extract(block, link, 1), F.lit(""))
-        cells = F.regexp_extract_all(block, F.lit(rf"(?s)<button[^<>]*{ODDS_CELL}[^<>]*>(.*?)</button>"), F.lit(1))
-        prices = F.transform(cells, lambda c: dash_to_null(
-            first_text(c, rf"<span[^<>]*{ODDS_VALUE}[^<>]*>")))
-        title = plain(F.regexp_extract(tag, r'\stitle="([^"]*)"', 1))
-        return F.when(tag.isNotNull(), F.struct(title.alias("bookmaker"), prices.alias("odds")))
+    cell = rf"(?s)<button[^<>]*{ODDS_CELL}[^<>]*>(.*?)</button>"
+    price = rf"(?s)<span[^<>]*{ODDS_VALUE}[^<>]*>(.*?)</"
 
-    found = F.filter(F.transform(blocks, read), lambda b: b.isNotNull())
+    raw = F.transform(blocks, lambda x: F.struct(
+        F.regexp_extract(x, link, 1).alias("tag"),
+        F.transform(F.regexp_extract_all(x, F.lit(cell), F.lit(1)),
+                    lambda c: plain(F.regexp_extract(c, price, 1))).alias("texts")))
+    found = F.transform(F.filter(raw, lambda x: x["tag"] != ""), lambda x: F.struct(
+        plain(F.regexp_extract(x["tag"], r'\stitle="([^"]*)"', 1)).alias("bookmaker"),
+        F.transform(x["texts"], lambda t: F.nullif(dash_to_null(t), F.lit(""))).alias("odds")))
     empty = F.array().cast("array<struct<bookmaker:string,odds:array<string>>>")
     return df.withColumn(out, F.coalesce(found, empty))
 
