@@ -27,8 +27,7 @@ def odds_to_json(c: Column | str) -> Column:
 def best_odds(odds: Column | str, suffix: str) -> Column:
     """Largest readable value among the keys that contain ``suffix``; null if there is none."""
     side = F.map_values(F.map_filter(col(odds), lambda k, v: F.contains(k, F.lit(suffix))))
-    values = F.transform(side, number)
-    return F.array_max(F.filter(values, lambda v: v.isNotNull()))
+    return F.array_max(F.transform(side, number))
 
 
 def implied(odds: Column | str) -> Column:

@@ -22,15 +22,13 @@ from ..operators.reshape import blocks_to_odds_map
 from ..operators.star import Star, load_star
 from ..session import stage
 from ..sources import tables
-from ..sources.csv_landing import read_csv_landing, read_csv_wide
+from ..sources.csv_landing import SOURCE, read_csv_landing, read_csv_wide
 from ..sources.pages import extract_match_pages, extract_odds_blocks
 from ..sources.sinks import write_dated_csv
 from .backtest import backtest
 from .predict import predict
 from .refresh import refresh_odds_scores
 
-SOURCE_ORDER = ["source_order.file", "source_order.start", "source_order.row"]
-
 
 def typed_results(landed: DataFrame, keep: list[str] = ()) -> DataFrame:
     """Landed texts to the column types of the results tables."""
@@ -52,7 +50,8 @@ def _publish(spark: SparkSession, root: str, batch: DataFrame, keys: list[str],
              id_col: str, schema: T.StructType, ids_by: list[str]) -> DataFrame:
     """Append the rows of ``batch`` whose key the table lacks, numbered from its highest id."""
     target = tables.read_all(spark, root, "rows", schema)
-    new = insert_if_absent(target, batch, keys, order)
+    # Written once before it is numbered: the range sort reads its input twice.
+    new = stage(insert_if_absent(target, batch, keys, order), "new-rows")
     numbered = with_surrogate_ids(new.select(*[c for c in schema.names if c != id_col]),
                                   max_id(target, id_col), ids_by, id_col)
     version = tables.commit_version(spark, root, {"rows": numbered.select(*schema.names)})
@@ -68,23 +67,24 @@ def _job_row(audit: DataFrame, inserted: DataFrame, attempted: str = "rows_clean
 def _load(spark: SparkSession, warehouse: str, name: str, typed: DataFrame, schema: T.StructType,
           mandatory: list[str], rules: dict, blank_is_null: bool, gold_id: str,
           gold_schema: T.StructType) -> DataFrame:
-    payload = [c for c in schema.names if c != "id"]
-    bronze = with_surrogate_ids(typed, 0, SOURCE_ORDER).select("id", *payload)
+    # Staged ids only have to be unique and to grow inside a file, so nothing is sorted.
+    schema = T.StructType(schema.fields + schemas.SOURCE_FIELDS)
+    bronze = typed.withColumn("id", F.col("source_row") + 1).select(*schema.names)
     tables.truncate_and_load(bronze, f"{warehouse}/{name}_bronze")
     bronze = tables.read_latest(spark, f"{warehouse}/{name}_bronze", "rows", schema)
     gate = quality_gate(bronze, mandatory, blank_is_null=blank_is_null, rules=rules)
     tables.commit_version(spark, f"{warehouse}/{name}_silver", {"rows": gate.clean, "rejects": gate.rejects})
     silver = tables.read_latest(spark, f"{warehouse}/{name}_silver", "rows", schema)
     inserted = _publish(spark, f"{warehouse}/{name}_gold", silver, ["player1", "player2", "matchdate"],
-                        ["id"], gold_id, gold_schema, ["matchdate", "player1", "player2"])
+                        ["source_file", "source_start", "id"], gold_id, gold_schema, ["matchdate", "player1", "player2"])
     return _job_row(gate.audit, inserted)
 
 
 def job_results_load(spark: SparkSession, landing: str, warehouse: str,
                      reject_odd_winners: bool = True) -> DataFrame:
     """Landed results to bronze, silver and gold. First writer of a match wins."""
-    landed = read_csv_landing(spark, landing, schemas.RESULTS_CSV, with_order=True)
-    return _load(spark, warehouse, "results", typed_results(landed, ["source_order"]),
+    landed = read_csv_landing(spark, landing, schemas.RESULTS_CSV, with_source=True)
+    return _load(spark, warehouse, "results", typed_results(landed, SOURCE),
                  schemas.RESULTS_STAGED, schemas.RESULTS_MANDATORY,
                  two_player_rules() if reject_odd_winners else {}, False,
                  "match_id", schemas.RESULTS_GOLD)
@@ -93,8 +93,8 @@ def job_results_load(spark: SparkSession, landing: str, warehouse: str,
 def job_upcoming_load(spark: SparkSession, landing: str, warehouse: str,
                       blank_is_null: bool = False) -> DataFrame:
     """Landed odds files to bronze, silver and gold. The first odds of a match stay."""
-    landed = read_csv_wide(spark, landing, schemas.UPCOMING_CSV, with_order=True)
-    return _load(spark, warehouse, "upcoming", typed_upcoming(landed, ["source_order"]),
+    landed = read_csv_wide(spark, landing, schemas.UPCOMING_CSV, with_source=True)
+    return _load(spark, warehouse, "upcoming", typed_upcoming(landed, SOURCE),
                  schemas.UPCOMING, schemas.UPCOMING_MANDATORY, {}, blank_is_null,
                  "id", schemas.UPCOMING)
 

@@ -2,105 +2,113 @@
 
 All files are read in one scan as numbered text columns; each file's own header, found by
 a peek at the head of the file, then names the values of its rows. One plan serves any
-number of different headers.
+number of different headers. A record is one line: line breaks inside quotes would keep
+Spark from splitting a large file.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.convert import MISSING_TOKENS, missing_to_null
 from ..session import stage
 
 
-def _peek(batches: Iterator) -> Iterator:
-    """Paths in, (path, header) out; reads the first record of each file only."""
-    import csv
-    import io
-    import re
-    from urllib.parse import unquote
-
-    import pandas as pd
-    from pyarrow import fs
-
-    for batch in batches:
-        headers = []
-        for uri in batch["path"]:
-            plain = re.sub(r"^file:/+", "/", uri)
-            if plain.startswith("/"):
-                source, name = fs.LocalFileSystem(), unquote(plain)
-            else:
-                source, name = fs.FileSystem.from_uri(uri)
-            with source.open_input_stream(name) as raw:
-                text = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="")
-                names, seen = next(csv.reader(text), []), {}
-            # A repeated name gets a number, so that a row can become a map.
-            unique = []
-            for n in names:
-                again = seen.get(n, 0)
-                seen[n] = again + 1
-                unique.append(f"{n}.{again}" if again else n)
-            headers.append(unique)
-        yield pd.DataFrame({"path": batch["path"], "header": headers})
+# Columns that tell where a row came from; in this order they sort rows as they landed.
+SOURCE = ["source_file", "source_start", "source_row"]
+
+
+def _peek():
+    """Paths in, (path, header, head_line) out; reads the first record of each file only.
+
+    The function is built here so that it travels to the workers by value.
+    """
+    def read(batches):
+        import csv
+        import io
+        import re
+        from urllib.parse import unquote
+
+        import pandas as pd
+        from pyarrow import fs
+
+        for batch in batches:
+            headers, lines = [], []
+            for uri in batch["path"]:
+                plain = re.sub(r"^file:/+", "/", uri)
+                if plain.startswith("/"):
+                    source, name = fs.LocalFileSystem(), unquote(plain)
+                else:
+                    source, name = fs.FileSystem.from_uri(uri)
+                with source.open_input_stream(name) as raw:
+                    text = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="")
+                    names, seen = next(csv.reader(text), []), {}
+                # A repeated name gets a number, so that a row can become a map.
+                unique = []
+                for n in names:
+                    again = seen.get(n, 0)
+                    seen[n] = again + 1
+                    unique.append(f"{n}.{again}" if again else n)
+                headers.append(unique)
+                lines.append("\x1f".join(n for n in names if n))
+            yield pd.DataFrame({"path": batch["path"], "header": headers, "head_line": lines})
+
+    return read
 
 
 def landed_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """(path, header) of every non-empty file; only paths are listed, no contents scanned."""
+    """(path, header, head_line) of every non-empty file; lists paths and scans no contents."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path) \
-        .where("length > 0").select("path")
-    return files.mapInPandas(_peek, "path string, header array<string>").where(F.size("header") > 0)
+        .where("length > 0").select(F.col("_metadata.file_path").alias("path"))
+    return files.mapInPandas(_peek(), "path string, header array<string>, head_line string").where(F.size("header") > 0)
 
 
-def read_named_rows(spark: SparkSession, path: str, glob: str = "*.csv",
-                    missing_tokens=MISSING_TOKENS) -> DataFrame:
-    """(values map, source_order) per data row, whatever the file's columns and their order.
+def read_named_cells(spark: SparkSession, path: str, columns: dict[str, str], glob: str = "*.csv",
+                     missing_tokens=MISSING_TOKENS) -> DataFrame:
+    """The chosen columns of each data row, with ``cells`` and ``header`` for the others.
 
-    ``source_order`` sorts rows by file and by place in the file. Missing values are null.
+    Also adds where a row came from: ``source_file``, ``source_start`` and the increasing
+    ``source_row``. Missing values are null.
     """
     headers = stage(landed_headers(spark, path, glob), "headers")
+    # The position of a column is looked up once per file; a column it lacks has none.
+    places = [F.nullif(F.array_position("header", F.lit(h)), F.lit(0).cast("bigint")).cast("int")
+              for h in columns.values()]
+    heads = headers.select(F.col("path").alias("head_path"), "header", "head_line", F.array(*places).alias("places"))
     width = headers.agg(F.max(F.size("header"))).first()[0] or 1
     names = [f"c{i}" for i in range(width)]
     lines = spark.read.schema(", ".join(f"{n} string" for n in names)) \
         .option("pathGlobFilter", glob).option("header", False).option("mode", "PERMISSIVE") \
-        .option("quote", '"').option("escape", '"').option("multiLine", False).csv(path) \
-        .select(F.array(*names).alias("cells"), F.col("_metadata.file_path").alias("path"),
-                F.struct(F.col("_metadata.file_path").alias("file"),
-                         F.col("_metadata.file_block_start").alias("start"),
-                         F.monotonically_increasing_id().alias("row")).alias("source_order"))
-    named = lines.join(headers.withColumnRenamed("path", "head_path"),
-                       F.url_decode(lines["path"]) == F.url_decode(F.col("head_path")))
-    cells = F.slice("cells", 1, F.size("header"))
-    # The header is the only record whose first cells spell the header itself.
-    is_header = (F.get("cells", F.lit(0)) == F.regexp_replace(F.get("header", F.lit(0)), "^﻿", "")) \
-        & (F.concat_ws("\x1f", cells) == F.concat_ws("\x1f", "header"))
-    return named.where(~F.coalesce(is_header, F.lit(False))).select(
-        F.map_from_arrays("header", F.transform(cells, lambda v: missing_to_null(v, missing_tokens))).alias("row"),
-        "source_order")
-
-
-def _field(name: str) -> Column:
-    return F.try_element_at(F.col("row"), F.lit(name))
+        .option("quote", '"').option("escape", '"').csv(path) \
+        .select(F.array(*names).alias("cells"), F.col("_metadata.file_path").alias("source_file"),
+                F.col("_metadata.file_block_start").alias("source_start"),
+                F.monotonically_increasing_id().alias("source_row"))
+    named = lines.join(heads, lines["source_file"] == heads["head_path"])
+    # A file's header comes back as its first record, which alone spells the header itself.
+    # A file's header comes back as its first record, which alone spells the header itself.
+    is_data = F.regexp_replace(F.array_join("cells", "\x1f"), "^\ufeff", "") != F.col("head_line")
+    value = [missing_to_null(F.get("cells", F.get("places", F.lit(i)) - 1), missing_tokens).alias(n)
+             for i, n in enumerate(columns)]
+    return named.where(is_data).select(*value, "cells", "header", "source_file", "source_start", "source_row")
 
 
 def read_csv_landing(spark: SparkSession, path: str, columns: dict[str, str],
-                     missing_tokens=MISSING_TOKENS, with_order: bool = False) -> DataFrame:
+                     missing_tokens=MISSING_TOKENS, with_source: bool = False) -> DataFrame:
     """Chosen columns as text; ``columns`` maps the output name to the header.
 
     A column a file lacks is null; columns not named are not carried on.
     """
-    rows = read_named_rows(spark, path, missing_tokens=missing_tokens)
-    return rows.select(*[_field(h).alias(n) for n, h in columns.items()],
-                       *(["source_order"] if with_order else []))
+    rows = read_named_cells(spark, path, columns, missing_tokens=missing_tokens)
+    return rows.select(*columns, *(SOURCE if with_source else []))
 
 
 def read_csv_wide(spark: SparkSession, path: str, key_columns: dict[str, str],
-                  map_name: str = "odds", with_order: bool = False) -> DataFrame:
+                  map_name: str = "odds", missing_tokens=MISSING_TOKENS,
+                  with_source: bool = False) -> DataFrame:
     """Key columns as text, and all other non-empty columns of the file as one map."""
-    keys = list(key_columns.values())
-    rows = read_named_rows(spark, path)
-    folded = F.map_filter("row", lambda k, v: ~k.isin(*keys) & v.isNotNull())
-    return rows.select(*[_field(h).alias(n) for n, h in key_columns.items()], folded.alias(map_name),
-                       *(["source_order"] if with_order else []))
+    rows = read_named_cells(spark, path, key_columns, missing_tokens=missing_tokens)
+    cells = F.transform(F.slice("cells", 1, F.size("header")), lambda v: missing_to_null(v, missing_tokens))
+    folded = F.map_filter(F.map_from_arrays("header", cells),
+                          lambda k, v: ~k.isin(*key_columns.values()) & v.isNotNull())
+    return rows.select(*key_columns, folded.alias(map_name), *(SOURCE if with_source else []))
