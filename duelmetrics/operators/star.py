@@ -41,12 +41,14 @@ def add_names(dimension: DataFrame, batch: DataFrame, id_col: str = "id") -> Dat
 
 
 def resolve_prices(rows: DataFrame, items: DataFrame, markets: DataFrame, market: str) -> DataFrame:
-    """Fact rows with the keys looked up by name; names are unique in both dimensions."""
+    """Fact rows of one market with the keys looked up by name; names are unique.
+
+    The market is the same for all rows, so its id is read once and needs no join.
+    """
+    market_id = markets.where(F.col("name") == market).select("id").first()["id"]
     i = items.select(F.col("id").alias("item_id"), F.col("name").alias("item_name"))
-    m = markets.select(F.col("id").alias("market_id"), F.col("name").alias("market_name"))
     return rows.join(i, rows["name"] == i["item_name"], "left") \
-        .join(m, rows[market] == m["market_name"], "left") \
-        .select("item_id", "market_id", "price", "volume")
+        .select("item_id", F.lit(market_id).cast("bigint").alias("market_id"), "price", "volume")
 
 
 def load_star(markets: DataFrame, items: DataFrame, listing: DataFrame, fields: dict[str, str],
@@ -56,8 +58,8 @@ def load_star(markets: DataFrame, items: DataFrame, listing: DataFrame, fields:
     Dimensions keep the first row of a name; an item listed twice gives two price rows.
     """
     spark = listing.sparkSession
-    rows = named_prices(listing, fields).withColumn("_market", F.lit(market))
+    rows = named_prices(listing, fields)
     one_market = spark.createDataFrame([(market, float(fee))], "name string, fee_percent double")
     all_markets = add_names(markets, one_market)
     all_items = add_names(items, rows.select("name"))
-    return Star(all_markets, all_items, resolve_prices(rows, all_items, all_markets, "_market"))
+    return Star(all_markets, all_items, resolve_prices(rows, all_items, all_markets, market))

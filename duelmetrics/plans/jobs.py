@@ -60,8 +60,8 @@ def _publish(spark: SparkSession, root: str, batch: DataFrame, keys: list[str],
 
 def _job_row(audit: DataFrame, inserted: DataFrame, attempted: str = "rows_clean") -> DataFrame:
     """The gate's audit row with the number of rows published and skipped."""
-    done = inserted.agg(F.count(F.lit(1)).alias("rows_inserted"))
-    return audit.join(done, F.lit(True)).withColumn("rows_skipped", F.col(attempted) - F.col("rows_inserted"))
+    return audit.withColumn("rows_inserted", F.lit(inserted.count()).cast("bigint")) \
+        .withColumn("rows_skipped", F.col(attempted) - F.col("rows_inserted"))
 
 
 def _load(spark: SparkSession, warehouse: str, name: str, typed: DataFrame, schema: T.StructType,

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_session(app: str = "duelmetrics", master: str | None = None, **conf) -> SparkSession:
@@ -51,9 +52,9 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    writer = df.write
     if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    reader = spark.read
-    return reader.schema(df.schema).parquet(path)
+        # Rebalanced first: otherwise each task would leave a file in each folder.
+        df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

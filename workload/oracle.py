@@ -315,7 +315,7 @@ SELECT event_id, CASE WHEN event_id % 4 < 2 THEN strftime(ts, '%Y-%m-%d %H:%M:00
     "insert_if_absent": _with(KEYED) + """
 SELECT o_orderkey, o_custkey, day::VARCHAR AS day, o_totalprice FROM fresh""",
     "insert_if_absent_idempotent": _with(KEYED) + """
-SELECT count(*) AS first_run, 0::BIGINT AS second_run FROM fresh WHERE o_custkey IS NOT NULL""",
+SELECT 1 AS run, count(*) AS n FROM fresh WHERE o_custkey IS NOT NULL UNION ALL SELECT 2, 0""",
     "load_audit": _with(KEYED) + """
 SELECT rows_read, rows_attempted, rows_inserted, rows_attempted - rows_inserted AS rows_skipped FROM (
   SELECT (SELECT count(*) FROM batch) AS rows_read,
@@ -367,7 +367,7 @@ FROM lineitem
 WHERE l_partkey % 120 + 1 <= 100 AND (l_partkey % 120 + 1) % 9 <> 0 AND l_partkey % 12 <> 0
 GROUP BY l_suppkey, l_partkey""",
     "flat_json_items": _with(STAR) + """
-SELECT name, count(*) AS n, round(max(price), 2) AS price, sum(volume)::BIGINT AS volume
+SELECT name, 2 * count(*) AS n, round(max(price), 2) AS price, 2 * sum(volume)::BIGINT AS volume
 FROM l WHERE name IS NOT NULL GROUP BY name""",
     "listing_filter": "SELECT p_partkey, p_brand FROM part WHERE p_brand = 'Brand#11'",
     "symbol_extract": _with(POSTS) + f"""

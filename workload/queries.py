@@ -332,8 +332,8 @@ def insert_if_absent_idempotent(spark, sf):
     target = _keyed_target(spark, sf).where("o_custkey is not null")
     first = keyed.insert_if_absent(target, batch, KEYED, ["o_orderkey"])
     again = keyed.insert_if_absent(target.unionByName(first), batch, KEYED, ["o_orderkey"])
-    return first.agg(F.count(F.lit(1)).alias("first_run")).join(
-        again.agg(F.count(F.lit(1)).alias("second_run")), F.lit(True))
+    counts = [df.agg(F.lit(run).alias("run"), F.count(F.lit(1)).alias("n")) for run, df in ((1, first), (2, again))]
+    return counts[0].unionByName(counts[1])
 
 
 def load_audit(spark, sf):
@@ -493,7 +493,7 @@ def stream_landed(spark, sf):
 def _star_parts(spark, sf):
     li = b.table(spark, sf, "lineitem")
     return li.selectExpr(
-        "l_orderkey", "if(l_partkey % 9 = 0, '', concat('part ', l_partkey)) as market_hash_name",
+        "if(l_partkey % 9 = 0, '', concat('part ', l_partkey)) as market_hash_name",
         "case when l_partkey % 18 = 0 then null when l_partkey % 9 = 0 then concat('alt ', l_partkey) end as name",
         "if(l_linenumber = 4, null, cast(l_extendedprice as string)) as min_price",
         "cast(l_quantity as string) as quantity")
@@ -526,11 +526,10 @@ def snapshot_page_cap(spark, sf):
 
 
 def flat_json_items(spark, sf):
-    """Flat listings landed as JSON arrays, one array per line of text."""
+    """Flat listings landed as JSON arrays, one array of two offers per line of text."""
     path = scratch_dir(spark, "flat")
-    rows = _star_parts(spark, sf).withColumn("json", F.to_json(F.struct("market_hash_name", "name", "min_price", "quantity")))
-    rows.groupBy("l_orderkey").agg(F.concat(F.lit("["), F.array_join(F.collect_list("json"), ","), F.lit("]")).alias("value")) \
-        .select("value").write.text(path)
+    offer = F.struct("market_hash_name", "name", "min_price", "quantity")
+    _star_parts(spark, sf).select(F.to_json(F.array(offer, offer)).alias("value")).write.text(path)
     items = json_payloads.read_json_items(spark, path, multi_line=False)
     return star.named_prices(items, star.FLAT_FIELDS).groupBy("name").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.max("price"), 2).alias("price"), F.sum("volume").alias("volume"))
