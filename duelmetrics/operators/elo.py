@@ -10,7 +10,8 @@ serial along each player. Two exact ways to run it in parallel:
   matches fall into groups of players who meet directly or through others; the groups
   share no player and so are rated side by side, and the ratings at the end of a block
   start the next. With short blocks the groups are small. One player with very many
-  matches makes one long group, never one round per match.
+  matches makes one long group, never one round per match, and since no block holds more
+than ``max_pool_rows`` matches, no task has to fold more than that in one go.
 
 ``auto`` counts the matches of each pool first and sends only the large ones to blocks.
 """
@@ -122,33 +123,29 @@ def _grouped(matches: DataFrame, state: DataFrame | None, pool_col: str | None,
     return _as_log(_run_fold(rows, k, base), pool_col)
 
 
-def _day_number() -> Column:
-    return F.unix_micros(F.col("match_date").cast("timestamp"))
-
-
-def _block_bounds(matches: DataFrame, block_rows: int, max_blocks: int) -> list:
-    """Block borders at equal shares of the matches; as many blocks as keep groups small."""
-    n = matches.count()
-    players = matches.select(_POOL, F.explode(F.array("player1", "player2")).alias("p")).agg(
-        F.approx_count_distinct(F.struct(_POOL, "p"))).first()[0]
+def _block_count(matches: DataFrame, block_rows: int, max_blocks: int, max_pool_rows: int) -> int:
+    """As many blocks as keep the groups small, and always enough to bound one task's share."""
+    n, players = matches.select(F.explode(F.array("player1", "player2")).alias("p"), _POOL).agg(
+        F.count(F.lit(1)), F.approx_count_distinct(F.struct(_POOL, "p"))).first()
+    n //= 2
     # Half as many matches as players leaves the meeting graph in small pieces.
-    wanted = min(-(-2 * n // max(players, 1)), n // block_rows, max_blocks)
-    if wanted < 2:
-        return []
-    shares = [i / wanted for i in range(1, wanted)]
-    cuts = matches.agg(F.percentile_approx(_day_number(), F.array(*map(F.lit, shares)))).first()[0]
-    return sorted(set(cuts))
+    helpful = min(-(-2 * n // max(players, 1)), n // block_rows, max_blocks)
+    return max(helpful, -(-n // max_pool_rows), 1)
 
 
-def _blocks(matches: DataFrame, state: DataFrame | None, pool_col: str | None,
-            k: float, base: int, block_rows: int, max_blocks: int) -> DataFrame:
+def _blocks(matches: DataFrame, state: DataFrame | None, pool_col: str | None, k: float, base: int,
+            block_rows: int, max_blocks: int, max_pool_rows: int) -> DataFrame:
     spark = matches.sparkSession
     pool = F.col(pool_col) if pool_col else F.lit(0)
-    matches = stage(matches.withColumn(_POOL, pool), "matches")
-    cuts = _block_bounds(matches, block_rows, max_blocks)
-    # The block of a match is the number of borders before its date: monotone in time.
-    block = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < _day_number())) if cuts else F.lit(0)
-    matches = matches.withColumn("_block", block)
+    matches = matches.withColumn(_POOL, pool)
+    blocks = _block_count(matches, block_rows, max_blocks, max_pool_rows)
+    # A range shuffle cuts time into blocks of about equal size; a day may span several.
+    if blocks > 1:
+        matches = matches.repartitionByRange(blocks, "match_date", "match_id") \
+            .withColumn("_block", F.spark_partition_id())
+    else:
+        matches = matches.withColumn("_block", F.lit(0))
+    matches = stage(matches, "matches")
 
     # Two players hashed to one node would only join two groups, which is still exact.
     def node(p: str) -> Column:
@@ -171,7 +168,7 @@ def _blocks(matches: DataFrame, state: DataFrame | None, pool_col: str | None,
 
     root = scratch_dir(spark, "rated")
     out_schema = None
-    for b in range(len(cuts) + 1):
+    for b in range(blocks):
         rows = grouped.where(F.col("_block") == b).drop("_block")
         for p, start in (("player1", _S1), ("player2", _S2)):
             known = ratings.select(F.col(_POOL).alias("_kp"), F.col("player").alias("_kn"),
@@ -183,7 +180,7 @@ def _blocks(matches: DataFrame, state: DataFrame | None, pool_col: str | None,
         rated = _run_fold(rows, k, base)
         rated.write.parquet(f"{root}/log/block={b}")
         out_schema = rated.schema
-        if b == len(cuts):
+        if b == blocks - 1:
             break
         done = spark.read.schema(out_schema).parquet(f"{root}/log/block={b}")
         changed = latest_ratings(done, "poolkey").withColumnRenamed("poolkey", _POOL)
@@ -193,7 +190,7 @@ def _blocks(matches: DataFrame, state: DataFrame | None, pool_col: str | None,
         path = f"{root}/ratings/after={b}"
         held.unionByName(changed).write.parquet(path)
         ratings = spark.read.schema(schema).parquet(path)
-    log = spark.read.schema(out_schema).parquet(*[f"{root}/log/block={b}" for b in range(len(cuts) + 1)])
+    log = spark.read.schema(out_schema).parquet(*[f"{root}/log/block={b}" for b in range(blocks)])
     return _as_log(log, pool_col)
 
 
@@ -207,6 +204,10 @@ def elo_log(matches: DataFrame, state: DataFrame | None = None, pool_col: str |
     (date, match_id). ``state`` (player, elo, and ``pool_col`` if given) holds the ratings
     so far; other players start at ``base``. Gains are rounded half to even.
 
+    Pools of up to ``max_pool_rows`` matches are streamed through one task each. Larger ones
+    are cut into blocks of at least ``block_rows`` and at most ``max_pool_rows`` matches, and
+    into no more than ``max_blocks`` unless that upper bound asks for it.
+
     A match whose winner is neither player, or with one player on both sides, is left out
     (``invalid="reject"``); ``"keep"`` rates it as is and needs ``method="grouped"``.
     """
@@ -223,10 +224,15 @@ def elo_log(matches: DataFrame, state: DataFrame | None = None, pool_col: str |
         rows = rows.where(F.col("winner").isin(F.col("player1"), F.col("player2"))
                           & (F.col("player1") != F.col("player2")))
 
+    if state is not None:
+        # Only players with a match to rate: an increment does not drag all ratings along.
+        met = rows.select(*extra, F.explode(F.array("player1", "player2", "winner")).alias("player")).distinct()
+        state = state.join(met, [*extra, "player"], "left_semi").select(*state.columns)
+
     def run(part: DataFrame, held: DataFrame | None, how: str) -> DataFrame:
         if how == "grouped":
             return _grouped(part, held, pool_col, k, base)
-        return _blocks(part, held, pool_col, k, base, block_rows, max_blocks)
+        return _blocks(part, held, pool_col, k, base, block_rows, max_blocks, max_pool_rows)
 
     if method != "auto":
         return run(rows, state, method)

@@ -54,12 +54,16 @@ def last_per_key(batch: DataFrame, keys: list[str], order_by: list[str] | None =
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: list[str],
-                     order_by: list[str] | None = None) -> DataFrame:
+                     order_by: list[str] | None = None, prune_by: str | None = None) -> DataFrame:
     """The rows of ``batch`` to append to ``target``: the first of each key not yet there.
 
     The fold by key and the anti-join need the same partitioning, so the batch is shuffled
-    once; rows with a broken key pass by.
+    once; rows with a broken key pass by. ``prune_by`` names a key column whose range in the
+    batch, read first, limits the scan of the target: right for dates and large targets.
     """
+    if prune_by:
+        low, high = batch.agg(F.min(prune_by), F.max(prune_by)).first()
+        target = target.where(F.col(prune_by).between(F.lit(low), F.lit(high)))
     first = _one_per_key(_whole_keys(batch, keys), keys, order_by, F.min_by)
     new = first.join(target.select(*keys), keys, "left_anti").select(*batch.columns)
     return new.union(_broken_keys(batch, keys))

@@ -47,11 +47,11 @@ def typed_upcoming(landed: DataFrame, keep: list[str] = ()) -> DataFrame:
 
 
 def _publish(spark: SparkSession, root: str, batch: DataFrame, keys: list[str], order: list[str],
-             id_col: str, schema: T.StructType, ids_by: list[str]) -> DataFrame:
+             id_col: str, schema: T.StructType, ids_by: list[str], prune_by: str | None = None) -> DataFrame:
     """Append the rows of ``batch`` whose key the table lacks, numbered from its highest id."""
     target = tables.read_all(spark, root, "rows", schema)
     # Written once before it is numbered: the range sort reads its input twice.
-    new = stage(insert_if_absent(target, batch, keys, order), "new-rows")
+    new = stage(insert_if_absent(target, batch, keys, order, prune_by), "new-rows")
     numbered = with_surrogate_ids(new.select(*[c for c in schema.names if c != id_col]),
                                   max_id(target, id_col), ids_by, id_col)
     version = tables.commit_version(spark, root, {"rows": numbered.select(*schema.names)})
@@ -76,7 +76,8 @@ def _load(spark: SparkSession, warehouse: str, name: str, typed: DataFrame, sche
     tables.commit_version(spark, f"{warehouse}/{name}_silver", {"rows": gate.clean, "rejects": gate.rejects})
     silver = tables.read_latest(spark, f"{warehouse}/{name}_silver", "rows", schema)
     inserted = _publish(spark, f"{warehouse}/{name}_gold", silver, ["player1", "player2", "matchdate"],
-                        ["source_file", "source_start", "id"], gold_id, gold_schema, ["matchdate", "player1", "player2"])
+                        ["source_file", "source_start", "id"], gold_id, gold_schema,
+                        ["matchdate", "player1", "player2"], prune_by="matchdate")
     return _job_row(gate.audit, inserted)
 
 
