@@ -37,61 +37,96 @@ _RATED = ["player1_elo_before", "player2_elo_before", "player1_elo_after", "play
 def _fold(k: float, base: int):
     """Arrow stream -> Arrow stream over rows sorted by (pool, kind, date, match).
 
-    Rows of kind 0 carry a starting rating, rows of kind 1 are matches. A match may also
-    carry the starting ratings of its players, used the first time a player is met.
+    Rows of kind 0 carry a starting rating, rows of kind 1 are matches; ``_won`` tells which
+    side won, 0 for neither. A match may also carry the starting ratings of its players, used
+    the first time a player is met. Names become numbers batch by batch, so that the loop
+    works on lists; between batches only the ratings of the pool at hand are kept, by name.
     """
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
-        ratings, pool, gains = {}, object(), {}
+        def numbered(*arrays):
+            coded = pa.concat_arrays(arrays).dictionary_encode(null_encoding="encode")
+            codes = coded.indices.to_numpy(zero_copy_only=False)
+            return coded.dictionary.to_pylist(), np.split(codes, len(arrays))
+
+        pool, carried, gains = object(), {}, {}
         for batch in batches:
-            at = {name: i for i, name in enumerate(batch.schema.names)}
-            pools, kinds, ones, twos, wins, start1, start2 = (
-                batch.column(at[n]).to_pylist()
-                for n in ("_pool", "_kind", "player1", "player2", "winner", "_start1", "_start2"))
-            rows, out = [], ([], [], [], [], [], [])
-            for i, here in enumerate(pools):
-                if here != pool:
-                    pool, ratings = here, {}
-                p1, p2 = ones[i], twos[i]
+            if batch.num_rows == 0:
+                continue
+            col = dict(zip(batch.schema.names, batch.columns))
+            won = col["_won"].to_pylist()
+            strangers = [col["winner"]] if 0 in won else []
+            names, codes = numbered(col["player1"], col["player2"], *strangers)
+            ones, twos = codes[0].tolist(), codes[1].tolist()
+            winners = codes[2].tolist() if strangers else None
+            pools, (at,) = numbered(col["_pool"])
+            # Number the stretches of one pool; stretch 0 may go on from the last batch.
+            stretch = np.concatenate(([0], np.cumsum(at[1:] != at[:-1]))).tolist()
+            if pools[at[0]] != pool:
+                carried = {}
+            kinds, start1, start2 = (
+                None if col[c].null_count == len(col[c]) else col[c].to_pylist()
+                for c in ("_kind", "_start1", "_start2"))
+            rating, met = [None] * len(names), [-1] * len(names)
+
+            def start(code, here, given):
+                known = carried.get(names[code]) if here == 0 else None
+                return known if known is not None else base if given is None else given
+
+            before1, before2, change, rows, stranger_after = [], [], [], [], {}
+            for i, here in enumerate(stretch):
+                p1, p2, side = ones[i], twos[i], won[i]
                 if kinds[i] == 0:
-                    ratings[p1] = start1[i]
+                    rating[p1], met[p1] = start1[i], here
                     continue
-                winner = wins[i]
-                r1 = ratings.get(p1)
-                if r1 is None:
-                    r1 = base if start1[i] is None else start1[i]
-                r2 = ratings.get(p2)
-                if r2 is None:
-                    r2 = base if start2[i] is None else start2[i]
-                # A winner outside the pair gains against side 1, and side 2's slot shows it.
-                second = p2 if winner in (p1, p2) else winner
-                rw = r1 if winner == p1 else (r2 if winner == p2 else ratings.get(winner, base))
-                rl = r2 if winner == p1 else r1
-                gap = rl - rw
+                r1 = rating[p1] if met[p1] == here else start(p1, here, start1 and start1[i])
+                r2 = rating[p2] if met[p2] == here else start(p2, here, start2 and start2[i])
+                if side == 1:
+                    gap = r2 - r1
+                elif side == 2:
+                    gap = r1 - r2
+                else:
+                    # A winner outside the pair gains against side 1 and shows in side 2's slot.
+                    p2 = winners[i]
+                    rw = rating[p2] if met[p2] == here else start(p2, here, None)
+                    gap = r1 - rw
                 gain = gains.get(gap)
                 if gain is None:
                     gain = gains[gap] = round(k * (1 - 1 / (1 + 10 ** (gap / 400))))
-                if winner == p1:
-                    a1, a2, d1 = rw + gain, rl - gain, gain
-                else:
-                    a1, a2, d1 = rl - gain, rw + gain, -gain
-                if winner == p1:
-                    ratings[p1], ratings[p2] = a1, a2
-                else:
-                    ratings[second] = a2
-                    ratings[p1] = a1
+                before1.append(r1)
+                before2.append(r2)
                 rows.append(i)
-                for values, v in zip(out, (r1, r2, a1, a2, d1, -d1)):
-                    values.append(v)
-            if rows:
-                kept = batch.take(pa.array(rows, pa.int64()))
-                names = [n for n in kept.schema.names if not n.startswith("_")]
-                yield pa.RecordBatch.from_arrays(
-                    [kept.column(at[n]) for n in names] + [pa.array(v, pa.int32()) for v in out],
-                    names + ["player1_elo_before", "player2_elo_before", "player1_elo_after",
-                             "player2_elo_after", "elo_change_p1", "elo_change_p2"])
-
+                if side == 1:
+                    change.append(gain)
+                    rating[p1], rating[p2] = r1 + gain, r2 - gain
+                else:
+                    change.append(-gain)
+                    if side == 0:
+                        r2, stranger_after[i] = rw, rw + gain
+                    rating[p2] = r2 + gain
+                    rating[p1] = r1 - gain
+                met[p1] = met[p2] = here
+
+            last = stretch[-1]
+            if last:
+                carried = {}
+            pool = pools[at[-1]]
+            carried.update((names[c], rating[c]) for c, here in enumerate(met) if here == last)
+            if not rows:
+                continue
+            kept = batch if len(rows) == batch.num_rows else batch.take(pa.array(rows, pa.int64()))
+            shown = [n for n in kept.schema.names if not n.startswith("_")]
+            b1, b2, d = (np.array(v, dtype=np.int32) for v in (before1, before2, change))
+            a1, a2 = b1 + d, b2 - d
+            for j, i in enumerate(rows if stranger_after else []):
+                a2[j] = stranger_after.get(i, a2[j])
+            yield pa.RecordBatch.from_arrays(
+                [kept.column(n) for n in shown] + [pa.array(v) for v in (b1, b2, a1, a2, d, -d)],
+                shown + rated)
+
+    rated = list(_RATED)
     return run
 
 
@@ -99,6 +134,8 @@ def _run_fold(rows: DataFrame, k: float, base: int) -> DataFrame:
     """Send each value of ``_pool`` to one task in order and fold it there."""
     kept = [f for f in rows.schema.fields if not f.name.startswith("_")]
     schema = T.StructType(kept + [T.StructField(n, T.IntegerType()) for n in _RATED])
+    won = F.when(F.col("winner") == F.col("player1"), 1).when(F.col("winner") == F.col("player2"), 2).otherwise(0)
+    rows = rows.withColumn("_won", F.when(F.col(_KIND) == 1, won).otherwise(1))
     ordered = rows.repartition(_POOL).sortWithinPartitions(_POOL, _KIND, "match_date", "match_id")
     return ordered.mapInArrow(_fold(k, base), schema)
 
