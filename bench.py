@@ -9,8 +9,8 @@ import time
 from duelmetrics.session import get_session
 from workload import queries
 
-HEADLINE = ["results_job", "upcoming_job", "elo_log", "elo_incremental", "elo_single_pool", "elo_hot_pool",
-            "asof_own", "asof_count", "predict", "backtest", "match_chain", "odds_refresh", "best_odds",
+HEADLINE = ["results_job", "upcoming_job", "elo_log", "elo_single_pool", "elo_hot_pool",
+            "asof_own", "asof_count", "predict", "match_chain", "odds_refresh", "best_odds",
             "insert_if_absent", "upsert_last_wins", "star_load_prices", "symbol_extract", "match_pages"]
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.convert import first_non_empty, number_or_zero
+from ..schemas import MARKETS
 from .keyed import insert_if_absent, max_id, with_surrogate_ids
 
 # Per kind of listing, the fields of price and volume and the sales fee.
@@ -33,6 +34,16 @@ def named_prices(items: DataFrame, fields: dict[str, str], keep: list[str] = ())
     ).where(F.col("name").isNotNull())
 
 
+def add_market(markets: DataFrame, market: str, fee: float) -> tuple[DataFrame, int]:
+    """``markets`` with ``market`` in it, and the id of that; a known one keeps its fee."""
+    known = markets.where(F.col("name") == market).select("id").first()
+    if known:
+        return markets, known["id"]
+    new_id = max_id(markets, "id") + 1
+    row = markets.sparkSession.createDataFrame([(new_id, market, float(fee))], MARKETS)
+    return markets.unionByName(row), new_id
+
+
 def add_names(dimension: DataFrame, batch: DataFrame, id_col: str = "id") -> DataFrame:
     """``dimension`` with the names of ``batch`` it lacks, numbered in name order."""
     new = insert_if_absent(dimension, batch, ["name"])
@@ -40,12 +51,8 @@ def add_names(dimension: DataFrame, batch: DataFrame, id_col: str = "id") -> Dat
     return dimension.unionByName(numbered.select(*dimension.columns))
 
 
-def resolve_prices(rows: DataFrame, items: DataFrame, markets: DataFrame, market: str) -> DataFrame:
-    """Fact rows of one market with the keys looked up by name; names are unique.
-
-    The market is the same for all rows, so its id is read once and needs no join.
-    """
-    market_id = markets.where(F.col("name") == market).select("id").first()["id"]
+def resolve_prices(rows: DataFrame, items: DataFrame, market_id: int) -> DataFrame:
+    """Fact rows of one market, with the item looked up by its (unique) name."""
     i = items.select(F.col("id").alias("item_id"), F.col("name").alias("item_name"))
     return rows.join(i, rows["name"] == i["item_name"], "left") \
         .select("item_id", F.lit(market_id).cast("bigint").alias("market_id"), "price", "volume")
@@ -57,9 +64,7 @@ def load_star(markets: DataFrame, items: DataFrame, listing: DataFrame, fields:
 
     Dimensions keep the first row of a name; an item listed twice gives two price rows.
     """
-    spark = listing.sparkSession
     rows = named_prices(listing, fields)
-    one_market = spark.createDataFrame([(market, float(fee))], "name string, fee_percent double")
-    all_markets = add_names(markets, one_market)
+    all_markets, market_id = add_market(markets, market, fee)
     all_items = add_names(items, rows.select("name"))
-    return Star(all_markets, all_items, resolve_prices(rows, all_items, all_markets, market))
+    return Star(all_markets, all_items, resolve_prices(rows, all_items, market_id))

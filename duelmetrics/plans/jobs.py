@@ -18,13 +18,13 @@ from ..operators.elo import elo_log
 from ..operators.keyed import insert_if_absent, max_id, upsert, with_surrogate_ids
 from ..operators.quality import quality_gate, two_player_rules
 from ..operators.ranking import latest_ratings, register_entities, unprocessed
-from ..operators.reshape import blocks_to_odds_map
+from ..operators.reshape import blocks_to_odds_map, map_to_wide
 from ..operators.star import Star, load_star
 from ..session import stage
 from ..sources import tables
 from ..sources.csv_landing import SOURCE, read_csv_landing, read_csv_wide
 from ..sources.pages import extract_match_pages, extract_odds_blocks
-from ..sources.sinks import write_dated_csv
+from ..sources.sinks import write_dated_csv, write_labelled_csv
 from .backtest import backtest
 from .predict import predict
 from .refresh import refresh_odds_scores
@@ -194,14 +194,27 @@ def upcoming_of_pages(pages: DataFrame, html_col: str, as_of) -> DataFrame:
         iso_day(relative_day(as_of, 1)).alias("Date"), "Player 1", "Player 2", "odds")
 
 
+def job_upcoming_pages_to_csv(pages: DataFrame, html_col: str, path: str, as_of,
+                              max_columns: int = 2000) -> DataFrame:
+    """Odds pages to CSV with a column per bookmaker and side, as the upcoming load reads them.
+
+    The columns are those seen in this run; too many of them are an error, not cut off.
+    Nothing is written for no rows. Returns the rows with the odds as a map.
+    """
+    rows = stage(upcoming_of_pages(pages, html_col, as_of), "page-odds")
+    seen = rows.select(F.explode(F.map_keys("odds")).alias("name")).distinct().limit(max_columns + 1).collect()
+    if len(seen) > max_columns:
+        raise ValueError(f"more than {max_columns} odds columns")
+    write_dated_csv(map_to_wide(rows, "odds", sorted(r["name"] for r in seen)), path, "Date")
+    return rows
+
+
 def job_pages_to_csv(pages: DataFrame, html_col: str, path: str, label_col: str | None = None) -> DataFrame:
     """Match pages to CSV files the results load can pick up; returns the rows.
 
     Without ``label_col`` there is one folder per match day and nothing is written for no
     rows; with it, one folder per label.
     """
-    from ..sources.sinks import write_labelled_csv
-
     rows = extract_match_pages(pages, html_col, keep=[label_col] if label_col else [])
     rows = stage(rows, "page-rows")
     if label_col:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.odds import best_odds, edge, implied, odds_to_json, parse_odds
+from ..functions.odds import best_odds, edge, implied, parse_odds
 from ..functions.scoring import probability_pair
 from ..operators.asof import asof_both_sides
 from ..operators.elo import BASE_RATING
@@ -35,7 +35,7 @@ def predict(upcoming: DataFrame, log: DataFrame, side: str = "own", base: int =
         F.col("player1_match_count").cast("int").alias("player1_match_count"),
         F.col("player2_match_count").cast("int").alias("player2_match_count"),
         "predicted_p1_prob", "predicted_p2_prob",
-        odds_to_json("_odds").alias("odds"),
+        F.when(F.col("_odds").isNotNull(), F.col("odds")).otherwise(F.lit("{}")).alias("odds"),
         "best_p1_odds", "best_p1_implied_prob",
         edge("predicted_p1_prob", "best_p1_implied_prob").alias("value_p1"),
         "best_p2_odds", "best_p2_implied_prob",

@@ -166,6 +166,15 @@ def test_odds_blocks_and_upcoming_rows(spark):
     assert rows["odds"] == {"X_P1": "1.8", "X_P2": None, "Y_P1": None, "Y_P2": None}
 
 
+def test_upcoming_pages_to_wide_csv(spark, tmp_path):
+    path = str(tmp_path / "odds")
+    jobs.job_upcoming_pages_to_csv(page_rows(spark, PAGE), "html", path, "2025-01-31")
+    back = csv_landing.read_csv_wide(spark, f"{path}/*", schemas.UPCOMING_CSV).first()
+    assert tuple(back) == ("2025-02-01", "Ann & Co", "Bob", {"X_P1": "1.8"})
+    with pytest.raises(ValueError):
+        jobs.job_upcoming_pages_to_csv(page_rows(spark, PAGE), "html", path, "2025-01-31", max_columns=3)
+
+
 def test_later_block_of_one_bookmaker_wins(spark):
     df = spark.sql("select array(named_struct('bookmaker', 'X', 'odds', array('1')), named_struct('bookmaker', null, "
                    "'odds', array('2', '3')), named_struct('bookmaker', 'X', 'odds', array('4', '5'))) as b")

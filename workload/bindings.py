@@ -86,8 +86,12 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A detail page per match; some lack a time, a result or the averages."""
-    m = matches(spark, sf_dir)
+    """A detail page per match; some lack a time, a result or the averages.
+
+    The narrow orders are spread over all cores first, as stored pages would be.
+    """
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    m = matches_of(orders.repartition(spark.sparkContext.defaultParallelism))
     return m.select("match_id", F.concat(
         F.lit('<html><body><div class="duelParticipant"><div class="duelParticipant__startTime"><div>'),
         F.expr("if(match_id % 9 = 0, 'soon', concat(date_format(matchdate, 'd.M.yyyy'), ' ', match_id % 24, ':05'))"),

@@ -419,6 +419,11 @@ SELECT matchdate::VARCHAR AS matchdate, count(*) AS n, count(*) FILTER (match_id
 FROM (SELECT CASE WHEN match_id % 9 <> 0 THEN matchdate END AS matchdate, match_id, player1score FROM m) GROUP BY matchdate""",
 }
 
+ALL["upcoming_pages_to_csv"] = _with(MATCHES, LINES) + """
+SELECT 'Tom & ' || player1 AS player1, player2, '2002-01-02' AS matchdate, count(DISTINCT match_id) AS n,
+       count(*) FILTER (line NOT IN (2, 3, 7)) + count(*) FILTER (line NOT IN (4, 5, 7)) AS quotes,
+       round(max(v1) FILTER (line NOT IN (2, 3, 7)), 9) AS best_p1
+FROM m JOIN lines ON lines.id = m.match_id GROUP BY ALL"""
 ALL["odds_blocks"] = _with(LINES) + """
 SELECT id, bookmaker, CASE WHEN line = 4 THEN 1 ELSE 2 END AS n,
        CASE WHEN line NOT IN (2, 3) THEN round(v1, 9) END AS p1,

@@ -623,6 +623,19 @@ def pages_to_csv(spark, sf):
         .select(day("matchdate"), "n", "decided", "points")
 
 
+def upcoming_pages_to_csv(spark, sf):
+    """Pages with players and odds to wide CSV, read back with the odds folded to a map."""
+    path = scratch_dir(spark, "odds-csv")
+    both = b.match_pages(spark, sf).withColumnRenamed("match_id", "id").join(
+        b.odds_pages(spark, sf).withColumnRenamed("html", "odds_html"), "id")
+    paged = both.select(F.concat("html", "odds_html").alias("html"))
+    jobs.job_upcoming_pages_to_csv(paged, "html", path, "2002-01-01")
+    back = landing.read_csv_wide(spark, f"{path}/*", schemas.UPCOMING_CSV)
+    return back.groupBy("player1", "player2", "matchdate").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.size("odds")).alias("quotes"),
+        F.round(F.max(odds.best_odds("odds", "_P1")), 9).alias("best_p1"))
+
+
 ALL = {f.__name__: f for f in (
     elo_log, elo_rankings, elo_incremental, elo_single_pool, elo_hot_pool, stream_rated, register_entities,
     unprocessed, pending, pending_count, asof_own, asof_first_slot, asof_count, predict, backtest, odds_refresh,
@@ -632,4 +645,4 @@ ALL = {f.__name__: f for f in (
     update_columns, truncate_and_load, append_rows, csv_landing, csv_wide, dated_csv, results_job, upcoming_job,
     match_chain, stream_landed, star_load_prices, star_items, snapshot_page_cap, flat_json_items, listing_filter,
     symbol_extract, newest_posts_symbols, newest_rows, newest_preview, page_titles, page_links, match_pages,
-    odds_blocks, blocks_to_odds, match_list, region_links, pages_to_csv)}
+    odds_blocks, blocks_to_odds, match_list, region_links, pages_to_csv, upcoming_pages_to_csv)}
