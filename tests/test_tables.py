@@ -25,6 +25,13 @@ def test_first_writer_wins_inside_the_batch_and_against_the_target(spark):
     assert keyed.insert_if_absent(target.union(new), batch, ["k", "d"], ["at"]).isEmpty()
 
 
+def test_pruned_target_gives_the_same_rows(spark):
+    target = spark.createDataFrame([("a", d, "old", 0) for d in range(50)], KV)
+    batch = spark.createDataFrame([("a", 49, "x", 1), ("a", 51, "y", 1), ("b", 49, "z", 1), ("c", None, "w", 1)], KV)
+    plain, pruned = (keyed.insert_if_absent(target, batch, ["k", "d"], ["at"], prune_by=p) for p in (None, "d"))
+    assert rows(plain) == rows(pruned) and len(rows(plain)) == 3
+
+
 def test_rows_with_a_null_key_never_clash(spark):
     target = spark.createDataFrame([(None, 1, "old", 0)], KV)
     batch = spark.createDataFrame([(None, 1, "x", 1), (None, 1, "x", 1)], KV)
