@@ -246,3 +246,10 @@ def test_sinks_write_labels(spark, tmp_path):
     df = spark.createDataFrame([("a", "l1")], "x string, slug string")
     sinks.write_labelled_csv(df, str(tmp_path / "o"), "slug")
     assert (tmp_path / "o" / "label=l1").is_dir()
+
+
+def test_folder_without_rows_gives_an_empty_table(spark, tmp_path):
+    folder = land(tmp_path / "in", {"d.csv": "", "e.csv": HEADER + "\n"})
+    assert csv_landing.read_csv_landing(spark, folder, schemas.RESULTS_CSV).isEmpty()
+    nothing = land(tmp_path / "none", {})
+    assert csv_landing.read_csv_wide(spark, nothing, schemas.UPCOMING_CSV).isEmpty()
