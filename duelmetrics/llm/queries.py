@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import near_dup, packing
+from . import language_id, near_dup, packing, quality, toxicity
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,9 +18,32 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.judge(docs, toxicity.learn(docs, _read(spark, sf_dir, "labels")))
+
+
+def _remainder(parts: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(parts))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality.learn(docs, _read(spark, sf_dir, "labels").where(_remainder(5) != 0))
+    held_out = F.coalesce(_remainder(5) == 0, F.lit(False))
+    return quality.score(docs.withColumn("held_out", held_out), rules)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    samples = language_id.sample_texts(docs.where(_remainder(4) != 2), "text", "lang")
+    held_out = F.coalesce(_remainder(4) == 2, F.lit(False))
+    return language_id.identify(docs.select("doc_id", "text", held_out.alias("held_out")), samples)
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_near_duplicates, op8_packing)}
+    f.__name__: f for f in (op2_near_duplicates, op4_toxicity, op5_quality, op8_packing, op10_language_id)}
