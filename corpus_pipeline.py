@@ -6,20 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duelmetrics.llm import near_dup, packing
+from duelmetrics.llm import decontaminate, near_dup, packing, secret_scan, toxicity
 from duelmetrics.session import stage
 
 
-def keep_first_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    chain = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.judge(docs, chain, keep_text=True).where("NOT is_toxic").select(docs.columns)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near_dup.drop_near_duplicates(docs)
 
 
+def drop_benchmark_holders(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secret_scan.redact(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("minhash_near_dedup", keep_first_of_near_copies),
+    ("toxicity", drop_toxic),
+    ("minhash_near_dedup", keep_one_of_near_copies),
+    ("benchmark_decontamination", drop_benchmark_holders),
+    ("secret_scan", mask_secrets),
     ("best_fit_packing", pack),
 ]
 
