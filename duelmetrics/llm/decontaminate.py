@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 from ..session import stage
 from . import buffers
 
-#: Words of a window, by the size of the item: the largest that fits.
-CLASSES = (1, 2, 3, 4, 8, 16)
+#: Words of a window, by the size of the item: the largest that fits. An item of more words has a
+#: window from each of its words on, and one that the edits leave alone is enough.
+CLASSES = (1, 2, 3, 4, 8)
 WALKS = 2
-#: Keys for each walk, and outputs sampled for each key. A window with a share d of differing
-#: outputs is missed by all keys with probability (1 - (1 - d) ** OUTPUTS) ** (WALKS * KEYS); an
-#: item has as many chances as windows.
+#: Keys for each walk, and outputs sampled for each key, one from each part of the walk. Fewer
+#: outputs would tolerate more edits in a window, but texts share few words by chance.
 KEYS = 3
-OUTPUTS = 3
+OUTPUTS = 6
 #: Share of an item's words that may be edited.
 EDITS = 0.2
 #: Slots of the filter and probes of each key: 8 MB, whatever the number of items.
@@ -44,10 +44,10 @@ _BYTES = buffers.spaced("letters")
 
 
 def _samples(size: int, walk: int) -> list[list[int]]:
-    """The sampled steps of each key, in order; a walk has two steps for each word."""
+    """The sampled steps of each key, in order: one from each of equal parts of a walk of two steps a word."""
     rng = np.random.default_rng(1000 * size + walk)
-    steps = 2 * size
-    return [sorted(rng.choice(steps, min(OUTPUTS, steps), replace=False).tolist()) for _ in range(KEYS)]
+    edges = np.linspace(0, 2 * size, min(OUTPUTS, 2 * size) + 1).astype(int)
+    return [[int(rng.integers(a, b)) for a, b in zip(edges, edges[1:])] for _ in range(KEYS)]
 
 
 def walk_keys(words: np.ndarray, left: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -64,7 +64,6 @@ def walk_keys(words: np.ndarray, left: np.ndarray, size: int) -> Iterator[np.nda
         samples = _samples(size, walk)
         factors = buffers.stream(7919 * size + 31 * walk, 2 * size)
         keys = [np.full(n, buffers.stream(size * 100 + walk * 10 + k, 1)[0], np.uint64) for k in range(KEYS)]
-        salt = buffers.stream(walk + 1, 1)[0]
         step = np.zeros(n, np.int64)
         last = max(s[-1] for s in samples)
         for j in range(last + 1):
@@ -74,8 +73,8 @@ def walk_keys(words: np.ndarray, left: np.ndarray, size: int) -> Iterator[np.nda
             for key, chosen in zip(keys, samples):
                 if j in chosen:
                     key += out * factors[j]
-            # Whether a word moves the walk on at step j is a bit of its hash, another one at each step.
-            step += ((out * (salt + np.uint64(2 * j)) >> np.uint64(63)) != 0) & inside
+            # Whether a word moves the walk on is a bit of its hash, another one at each step and in each walk.
+            step += (out >> np.uint64((21 * walk + j) % 64) & np.uint64(1)).view(np.int64)
         yield from (buffers.mix(key) for key in keys)
 
 
