@@ -84,17 +84,20 @@ class Parser:
         self.classes = np.ones(0x110000, np.uint8)  # 1: a letter that no sample has
         self.classes[0] = 0
         self.classes[alphabet] = np.arange(2, self.width)
-        self.roots, self.bits, tables, base = [], [], [], 0
+        self.starts, self.bits, tables, base = [], [], [], 0
         for s in strings.values():
             table = self._table(self.classes[s].tolist(), base)
-            self.roots.append(base)
+            self.starts.append(base + len(table) - 1)
             self.bits.append(math.log2(max(2, len(s))))
             tables.append(table)
             base += len(table)
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
 
     def _table(self, string: list[int], base: int) -> np.ndarray:
-        """next state * 2 + 1 if a new phrase begins, for each state and character."""
+        """next state * 2 + 1 if a new phrase begins, for each state and character.
+
+        The last state is that before a text and after a letter that the sample lacks, which is a phrase of its own.
+        """
         moves: list[dict[int, int]] = [{}]
         link, size, last = [-1], [0], 0
         for c in string:
@@ -119,10 +122,10 @@ class Parser:
                         p = link[p]
                     link[q] = link[new] = twin
             last = new
-        restart = np.full(self.width, base, np.int32)
+        restart = np.full(self.width, base + len(moves), np.int32)
         for c, q in moves[0].items():
             restart[c] = base + q
-        table = np.tile(restart * 2 + 1, (len(moves), 1))
+        table = np.tile(restart * 2 + 1, (len(moves) + 1, 1))
         states = np.repeat(np.arange(len(moves)), [len(m) for m in moves])
         chars = np.fromiter((c for m in moves for c in m), np.int64, len(states))
         table[states, chars] = 2 * (base + np.fromiter((q for m in moves for q in m.values()), np.int64, len(states)))
@@ -146,8 +149,8 @@ class Parser:
         order = np.argsort(-lane_size, kind="stable")
         lane_doc, lane_start, lane_size = lane_doc[order], lane_start[order], lane_size[order]
         langs, lanes = len(self.labels), len(lane_doc)
-        phrases = np.ones((lanes, langs), np.int32)
-        state = np.tile(np.array(self.roots, np.int64), (lanes, 1))
+        phrases = np.zeros((lanes, langs), np.int32)
+        state = np.tile(np.array(self.starts, np.int64), (lanes, 1))
         active = np.searchsorted(-lane_size, -np.arange(1, (lane_size[0] if lanes else 0) + 1), side="right")
         for j, n in enumerate(active.tolist()):
             at = state[:n] * self.width + code[lane_start[:n] + j][:, None]

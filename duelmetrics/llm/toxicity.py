@@ -31,7 +31,7 @@ FEATURES = 600
 PENALTY = 0.002
 #: Toxic documents kept that weigh as much as one clean document lost; the threshold is the
 #: middle of those that cost least on out-of-fold predictions.
-CLEAN_COST = 10
+CLEAN_COST = 4
 
 #: Words that split the toxic documents into finer categories for training. The
 #: last category is the label itself.
