@@ -19,7 +19,7 @@ def asof_states(requests: DataFrame, facts: DataFrame, key: str, day: str,
     ``facts`` holds (key, day, order, value); within a day the highest ``order`` counts, and
     a fact without a value counts but is never the last.
     """
-    by_day = facts.groupBy(key, day).agg(F.max_by(value, order).alias("v"), F.count(F.lit(1)).alias("n"))
+    by_day = facts.groupBy(key, day).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("v"), F.count(F.lit(1)).alias("n"))
     asked = requests.select(key, day).distinct()
     number = F.unix_date(day).alias("_number")
     marks = by_day.select(key, day, number, "v", "n", F.lit(False).alias("asked")).unionByName(

@@ -264,7 +264,11 @@ def elo_log(matches: DataFrame, state: DataFrame | None = None, pool_col: str |
     if state is not None:
         # Only players with a match to rate: an increment does not drag all ratings along.
         met = rows.select(*extra, F.explode(F.array("player1", "player2", "winner")).alias("player")).distinct()
-        state = state.join(met, [*extra, "player"], "left_semi").select(*state.columns)
+        met = met.select(F.col("player").alias("_met"), *(F.col(c).alias("_pool") for c in extra))
+        same = state["player"] == F.col("_met")
+        if pool_col:
+            same &= state[pool_col].eqNullSafe(F.col("_pool"))
+        state = state.join(met, same, "left_semi")
 
     def run(part: DataFrame, held: DataFrame | None, how: str) -> DataFrame:
         if how == "grouped":

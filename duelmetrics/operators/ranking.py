@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .reshape import sides
 
 
-def newest_rows(df: DataFrame, ts_col: str, id_col: str, n: int = 1000) -> DataFrame:
+def newest_rows(df: DataFrame, ts_col: str, id_col: str, n: int) -> DataFrame:
     return df.orderBy(F.desc(ts_col), F.asc(id_col)).limit(n)
 
 

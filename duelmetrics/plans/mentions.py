@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.convert import from_epoch
 from ..functions.text import extract_symbols
-from ..operators.ranking import newest_rows
 
 
 def in_last_days(posts: DataFrame, as_of, days: int = 30, ts_col: str = "created_utc") -> DataFrame:
@@ -22,11 +21,6 @@ def post_symbols(posts: DataFrame, strip_first: bool = False) -> DataFrame:
                         extract_symbols(text, strip_first=strip_first).alias("tickers"))
 
 
-def symbol_mentions(posts: DataFrame, as_of, days: int = 30, n: int = 1000,
-                    strip_first: bool = False) -> DataFrame:
-    """The newest ``n`` posts, of these the ones in the time range, with their symbols.
-
-    ``as_of`` is in epoch seconds.
-    """
-    newest = newest_rows(posts, "created_utc", "id", n)
-    return post_symbols(in_last_days(newest, as_of, days), strip_first)
+def symbol_mentions(posts: DataFrame, as_of, days: int = 30, strip_first: bool = False) -> DataFrame:
+    """All posts of the time range with their symbols. ``as_of`` is in epoch seconds."""
+    return post_symbols(in_last_days(posts, as_of, days), strip_first)

@@ -30,12 +30,12 @@ def get_session(app: str = "duelmetrics", master: str | None = None, **conf) ->
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the cluster's checkpoint folder.
 
-    The folder is the one the session names in ``spark.checkpoint.dir`` (or was given by
-    ``setCheckpointDir``). Only a local master, where every task sees the same disk, gets a
+    The folder is the one given by ``setCheckpointDir`` or, without that, the one the session
+    names in ``spark.checkpoint.dir``. Only a local master, where every task sees the same disk, gets a
     temporary folder of its own.
     """
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")

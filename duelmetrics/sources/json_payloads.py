@@ -8,23 +8,20 @@ from pyspark.sql import types as T
 
 from .. import schemas
 
-PAGE_CAP = 100
 
-
-def page_items(pages: DataFrame, max_page: int = PAGE_CAP, keep: list[str] = ()) -> DataFrame:
+def page_items(pages: DataFrame, max_page: int | None = None, keep: list[str] = ()) -> DataFrame:
     """Items of the pages of a listing.
 
-    A page without ``data`` yields nothing; reading ends with the last page and, at the
-    latest, with page ``max_page``. A page that does not tell its number counts.
+    A page without ``data`` yields nothing. With ``max_page`` pages of a higher number are left
+    out; a page that does not tell its number always counts.
     """
-    number, last = F.col("data.page_num"), F.col("data.total_page")
-    in_range = F.coalesce(number <= F.least(last, F.lit(max_page)), F.lit(True))
-    return pages.where(F.col("data").isNotNull() & in_range) \
-        .select(*keep, F.explode("data.items").alias("_item")).select(*keep, "_item.*")
+    if max_page is not None:
+        pages = pages.where(F.coalesce(F.col("data.page_num") <= max_page, F.lit(True)))
+    return pages.where(F.col("data").isNotNull()).select(*keep, F.explode("data.items").alias("_item")).select(*keep, "_item.*")
 
 
 def read_json_pages(spark: SparkSession, path: str, schema: T.StructType = schemas.PAGED_LISTING,
-                    max_page: int = PAGE_CAP, keep: list[str] = (), multi_line: bool = False) -> DataFrame:
+                    max_page: int | None = None, keep: list[str] = (), multi_line: bool = False) -> DataFrame:
     pages = spark.read.schema(schema).option("multiLine", multi_line).json(path)
     return page_items(pages, max_page, keep)
 

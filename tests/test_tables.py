@@ -127,10 +127,12 @@ def test_star_load_of_two_markets(spark, tmp_path):
 
 def test_paged_listing_rules(spark, tmp_path):
     page = '{"data": {"page_num": %d, "total_page": 200, "items": [{"name": "i%d"}]}}'
-    lines = [page % (n, n) for n in (1, 100, 101)] + ['{"msg": "no data"}', '{"data": {"items": [{"name": "bare"}]}}']
+    lines = [page % (n, n) for n in (1, 100, 101, 300)] + ['{"msg": "no data"}', '{"data": {"items": [{"name": "bare"}]}}']
     (tmp_path / "p.json").write_text("\n".join(lines))
     got = json_payloads.read_json_pages(spark, str(tmp_path / "p.json"))
-    assert sorted(r["name"] for r in got.collect()) == ["bare", "i1", "i100"]
+    assert sorted(r["name"] for r in got.collect()) == ["bare", "i1", "i100", "i101", "i300"]
+    capped = json_payloads.read_json_pages(spark, str(tmp_path / "p.json"), max_page=100)
+    assert sorted(r["name"] for r in capped.collect()) == ["bare", "i1", "i100"]
 
 
 def test_flat_listing_array_over_several_lines(spark, tmp_path):
@@ -140,14 +142,15 @@ def test_flat_listing_array_over_several_lines(spark, tmp_path):
     assert json_payloads.listing_filter(got, name="b").count() == 1
 
 
-def test_mentions_limit_comes_before_the_time_range(spark):
+def test_mentions_read_the_whole_time_range(spark):
     now = 40 * 86400
     posts = [(str(i), float(now - i * 86400), "GME", "$YOLO", i, 0) for i in range(0, 40)]
     df = spark.createDataFrame(posts, "id string, created_utc double, title string, selftext string, score int, num_comments int")
     assert symbol_mentions(df, now).count() == 31
-    assert symbol_mentions(df, now, n=5).count() == 5
-    assert symbol_mentions(df, now - 3 * 86400, n=5).count() == 2
-    assert symbol_mentions(df, now, n=1).first()["tickers"] == ["GME", "YOLO"]
+    assert symbol_mentions(df, now - 20 * 86400).count() == 20
+    assert symbol_mentions(df, now).first()["tickers"] == ["GME", "YOLO"]
+    many = spark.range(3000).selectExpr("cast(id as string) AS id", "cast(id as double) AS created_utc", "'GME' AS title", "'' AS selftext", "1 AS score", "0 AS num_comments")
+    assert symbol_mentions(many, 3000).count() == 3000
     assert ranking.preview(df, 3).count() == 3
 
 

@@ -360,11 +360,11 @@ SELECT id AS item_id, market_id, count(*) AS n, round(max(price), 2) AS price, s
 FROM l JOIN items USING (name), (VALUES (1, 'east', 0.12::DOUBLE), (2, 'west', 0.02::DOUBLE)) k(market_id, market, fee_percent)
 GROUP BY ALL""",
     "star_items": _with(STAR) + "SELECT id, name FROM items",
-    "snapshot_page_cap": """
+    "snapshot_pages": """
 SELECT l_suppkey AS market, CASE WHEN l_partkey % 6 = 0 THEN 'alt ' || l_partkey ELSE 'part ' || l_partkey END AS name,
        CASE WHEN l_partkey % 7 = 0 THEN 0 ELSE max(l_extendedprice) END AS price, sum(l_quantity)::INTEGER AS volume
 FROM lineitem
-WHERE l_partkey % 120 + 1 <= 100 AND (l_partkey % 120 + 1) % 9 <> 0 AND l_partkey % 12 <> 0
+WHERE (l_partkey % 120 + 1) % 9 <> 0 AND l_partkey % 12 <> 0
 GROUP BY l_suppkey, l_partkey""",
     "flat_json_items": _with(STAR) + """
 SELECT name, 2 * count(*) AS n, round(max(price), 2) AS price, 2 * sum(volume)::BIGINT AS volume
@@ -374,11 +374,10 @@ FROM l WHERE name IS NOT NULL GROUP BY name""",
 , s AS (SELECT id, {_symbols("title || ' ' || selftext")} AS t FROM p)
 SELECT id, len(t)::INTEGER AS n, md5(array_to_string(t, ',')) AS tickers FROM s""",
     "newest_posts_symbols": _with(POSTS) + f"""
-, newest AS (SELECT * FROM p ORDER BY created_utc DESC, id LIMIT 1000),
-bound AS (SELECT max(created_utc) - 86400 AS as_of FROM p)
+, bound AS (SELECT max(created_utc) - 86400 AS as_of FROM p)
 SELECT id, strftime(make_timestamp(created_utc * 1000000), '%Y-%m-%d %H:%M:%S') AS date, title, score, num_comments,
        array_to_string({_symbols("title || ' ' || selftext")}, ',') AS tickers
-FROM newest, bound WHERE created_utc BETWEEN as_of - 30 * 86400 AND as_of""",
+FROM p, bound WHERE created_utc BETWEEN as_of - 30 * 86400 AND as_of""",
     "newest_rows": """
 SELECT event_id, ts::DATE::VARCHAR AS day FROM events ORDER BY ts::DATE DESC, event_id LIMIT 1000""",
     "newest_preview": "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 3",

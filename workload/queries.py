@@ -517,7 +517,7 @@ def star_items(spark, sf):
     return s.items
 
 
-def snapshot_page_cap(spark, sf):
+def snapshot_pages(spark, sf):
     path = scratch_dir(spark, "pages")
     b.paged_listings(spark, sf).write.json(path)
     schema = T.StructType([T.StructField("market", T.LongType()), *schemas.PAGED_LISTING.fields])
@@ -643,6 +643,6 @@ ALL = {f.__name__: f for f in (
     match_sides, quality_gate_clean, quality_gate_rejects, quality_gate_audit, quality_gate_blank, safe_casts,
     parse_datetimes, insert_if_absent, insert_if_absent_idempotent, load_audit, surrogate_ids, upsert_last_wins,
     update_columns, truncate_and_load, append_rows, csv_landing, csv_wide, dated_csv, results_job, upcoming_job,
-    match_chain, stream_landed, star_load_prices, star_items, snapshot_page_cap, flat_json_items, listing_filter,
+    match_chain, stream_landed, star_load_prices, star_items, snapshot_pages, flat_json_items, listing_filter,
     symbol_extract, newest_posts_symbols, newest_rows, newest_preview, page_titles, page_links, match_pages,
     odds_blocks, blocks_to_odds, match_list, region_links, pages_to_csv, upcoming_pages_to_csv)}
