@@ -15,7 +15,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from . import buffers
@@ -172,9 +171,9 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
     names = tuple(name for name, _ in categories)
     once = labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)) \
         .groupBy(F.col(doc_id).cast("long").alias("doc_id")).agg(F.max(label).alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = once.withColumn("k", F.row_number().over(order)) \
-        .where(F.col("k") <= F.when(F.col("label") == 1, SAMPLE_TOXIC).otherwise(SAMPLE_CLEAN)).select("doc_id", "label")
+    # Each side is a top-k, so no task ever holds all rows of a label.
+    first = lambda kind, rows: once.where(F.col("label") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    chosen = first(1, SAMPLE_TOXIC).union(first(0, SAMPLE_CLEAN))
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text")).join(F.broadcast(chosen), "doc_id")
     low = F.lower("text")
