@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .license_scan import TEMPLATES
+
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 OP2 = f"""
@@ -28,4 +30,91 @@ SELECT s.doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, c.component_id, s.
 FROM sets s JOIN (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = s.doc_id
 """
 
-ALL: dict[str, str] = {"op2_near_duplicates": OP2}
+
+def _either_case(words: str) -> str:
+    """``words`` as a pattern for ASCII letters in either case; this engine's own flag folds other letters too."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
+def _parts(number: int, kind: str, pattern: str, value: int = 0, ok: str = "TRUE") -> str:
+    quoted = pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, {number} AS kind, '{kind}' AS name, unnest(list_transform(range(1, len(found) + 1), lambda n: {{
+      'nth': n, 'gap': length(gaps[n]), 'size': length(found[n]), 'ok': {ok}}})) AS p
+  FROM (SELECT doc_id, regexp_split_to_array(body, '{quoted}') AS gaps, regexp_extract_all(body, '{quoted}') AS found,
+               regexp_extract_all(body, '{quoted}', {value}) AS vals FROM bodies)"""
+
+
+_IS = r"""["']?\x20*[:=]\x20*["']?"""
+_SCHEMES = "https?|ftp|ssh|s3|amqps?|redis|mysql|postgres(?:ql)?|mongodb(?:\\+srv)?"
+_PARTS = " UNION ALL ".join((
+    _parts(0, "assign", f"({_either_case('password|passwd|secret|token|api_?key')}){_IS}([A-Za-z0-9+/_.=-]+)", 2, "length(vals[n]) >= 6"),
+    _parts(1, "access", "AKIA[A-Z0-9]+", ok="length(found[n]) >= 20"),
+    _parts(2, "hex", "[0-9a-f]+", ok="length(found[n]) >= 24"),
+    _parts(3, "user", f"({_either_case('username|user|login|account|client_?id|key_?id')}){_IS}([A-Za-z0-9_.@-][A-Za-z0-9_.@-][A-Za-z0-9_.@-]+)"),
+    _parts(4, "key", "[A-Za-z0-9+/]+", ok="length(found[n]) BETWEEN 32 AND 64 AND regexp_matches(found[n], '[0-9]') "
+                                          "AND regexp_matches(found[n], '[a-z]') AND regexp_matches(found[n], '[A-Z]')"),
+    _parts(5, "endpoint", f"(?:{_SCHEMES})://[^\\x09-\\x0D\\x20\"'<>]+")))
+
+#: Weak parts (kinds 3 to 5) overlap no strong one and lie within 300 characters of what completes them.
+OP1 = f"""
+WITH bodies AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+parts AS ({_PARTS}),
+placed AS (
+  SELECT doc_id, kind, name, p.ok AS ok, p.size AS size,
+         sum(p.gap + p.size) OVER (PARTITION BY doc_id, kind ORDER BY p.nth) AS stop
+  FROM parts),
+every AS (SELECT doc_id, kind, name, CAST(stop - size AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop FROM placed WHERE ok),
+free AS (
+  SELECT * FROM every e WHERE kind < 3 OR NOT EXISTS (
+    SELECT 1 FROM every s WHERE s.doc_id = e.doc_id AND s.kind < 3 AND s.start < e.stop AND s.stop > e.start)),
+linked AS (
+  SELECT e.doc_id, e.kind, e.name, e.start, e.stop
+  FROM free e JOIN free o ON o.doc_id = e.doc_id AND abs(o.start - e.start) <= 300
+  GROUP BY ALL
+  HAVING e.kind < 3 OR ((e.kind = 3 OR bool_or(o.kind IN (1, 3))) AND (e.kind = 4 OR bool_or(o.kind IN (0, 2, 4))))),
+listed AS (
+  SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+         string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
+         string_agg(name || ':' || start || ':' || stop, ',' ORDER BY start, kind) AS spans, count(*) FILTER (kind > 2) AS n_linked
+  FROM linked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_linked, 0) AS n_linked
+FROM documents d LEFT JOIN listed l ON l.doc_id = d.doc_id
+"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_TEMPLATES = ", ".join(f"({k}, {_quoted(name)}, {_quoted(text)})" for k, (name, text) in enumerate(TEMPLATES))
+_PAIRS = """list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))"""
+
+OP6 = f"""
+WITH templates(template, license, body) AS (VALUES {_TEMPLATES}),
+known AS (
+  SELECT template, license, len(pairs) AS b, unnest(pairs) AS pair
+  FROM (SELECT template, license, {_PAIRS} AS pairs
+        FROM (SELECT template, license, regexp_extract_all(translate(body, {_AZ}), '[a-z0-9]+') AS words FROM templates))),
+units AS (
+  SELECT doc_id, unnest(list_distinct(list_concat(list_concat([body], regexp_split_to_array(body, '\\n')),
+      list_concat(regexp_split_to_array(body, '[.!?;]+[\\x09-\\x0D\\x20]+|\\n'), regexp_split_to_array(body, '\\n[\\x09\\x20]*\\n'))))) AS unit
+  FROM (SELECT doc_id, coalesce(text, '') AS body FROM documents)),
+once AS (
+  SELECT unit, len(pairs) AS a, unnest(pairs) AS pair
+  FROM (SELECT unit, {_PAIRS} AS pairs
+        FROM (SELECT unit, regexp_extract_all(translate(unit, {_AZ}), '[a-z0-9]+') AS words FROM (SELECT DISTINCT unit FROM units)))),
+best AS (
+  SELECT unit, license, max(dice) AS dice
+  FROM (SELECT unit, template, license, 2 * count(*) / (a + b) AS dice FROM once JOIN known USING (pair)
+        GROUP BY unit, template, license, a, b)
+  WHERE dice >= 0.8 GROUP BY unit, license),
+found AS (SELECT doc_id, license, max(dice) AS dice FROM units JOIN best USING (unit) GROUP BY doc_id, license)
+SELECT d.doc_id, first(license ORDER BY dice DESC, license) AS license, max(dice) AS dice,
+       coalesce(string_agg(license, ',' ORDER BY license), '') AS licenses
+FROM documents d LEFT JOIN found f ON f.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
+
+ALL: dict[str, str] = {"op1_secret_scan": OP1, "op2_near_duplicates": OP2, "op6_license_scan": OP6}
