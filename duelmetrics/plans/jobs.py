@@ -113,16 +113,17 @@ def read_ratings(spark: SparkSession, root: str, pool_col: str | None = None,
 
 
 def update_ratings(spark: SparkSession, root: str, gold: DataFrame, pool_col: str | None = None,
-                   version: int | None = None, **elo_options) -> DataFrame:
+                   tag: str | None = None, **elo_options) -> DataFrame:
     """Rate the matches of ``gold`` that the log lacks and commit log and rankings together.
 
     Order holds inside a run: a match that arrives late is rated after those already rated.
-    Returns the new log rows.
+    Returns the new log rows, those of the first run where ``tag`` names one committed before.
     """
     pool_type = gold.schema[pool_col].dataType if pool_col else None
     log, rankings = read_ratings(spark, root, pool_col, pool_type)
-    if version is not None and version in tables.versions(spark, root):
-        return spark.read.schema(log.schema).parquet(f"{root}/v{version}/log")
+    held = tables.version_of(spark, root, tag) if tag else None
+    if held is not None:
+        return spark.read.schema(log.schema).parquet(f"{root}/v{held}/log")
     new = unprocessed(gold, log)
     rated = elo_log(new, rankings, pool_col, **elo_options)
     rated = stage(rated, "rated")
@@ -134,7 +135,7 @@ def update_ratings(spark: SparkSession, root: str, gold: DataFrame, pool_col: st
         newcomers = register_entities(rankings, gold)
     known = rankings.unionByName(newcomers.select(*rankings.columns))
     after = upsert(known, latest_ratings(rated, pool_col).select(*rankings.columns), keys)
-    version = tables.commit_version(spark, root, {"log": rated, "rankings": after}, version)
+    version = tables.commit_version(spark, root, {"log": rated, "rankings": after}, tag)
     return spark.read.schema(log.schema).parquet(f"{root}/v{version}/log")
 
 
@@ -194,17 +195,14 @@ def upcoming_of_pages(pages: DataFrame, html_col: str, as_of) -> DataFrame:
         iso_day(relative_day(as_of, 1)).alias("Date"), "Player 1", "Player 2", "odds")
 
 
-def job_upcoming_pages_to_csv(pages: DataFrame, html_col: str, path: str, as_of,
-                              max_columns: int = 2000) -> DataFrame:
+def job_upcoming_pages_to_csv(pages: DataFrame, html_col: str, path: str, as_of) -> DataFrame:
     """Odds pages to CSV with a column per bookmaker and side, as the upcoming load reads them.
 
-    The columns are those seen in this run; too many of them are an error, not cut off.
+    The columns are those seen in this run: two for each bookmaker, however many rows there are.
     Nothing is written for no rows. Returns the rows with the odds as a map.
     """
     rows = stage(upcoming_of_pages(pages, html_col, as_of), "page-odds")
-    seen = rows.select(F.explode(F.map_keys("odds")).alias("name")).distinct().limit(max_columns + 1).collect()
-    if len(seen) > max_columns:
-        raise ValueError(f"more than {max_columns} odds columns")
+    seen = rows.select(F.explode(F.map_keys("odds")).alias("name")).distinct().collect()
     write_dated_csv(map_to_wide(rows, "odds", sorted(r["name"] for r in seen)), path, "Date")
     return rows
 

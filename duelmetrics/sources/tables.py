@@ -47,21 +47,33 @@ def _fs(spark: SparkSession, path: str):
 
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Committed versions, oldest first."""
+    return _marked(spark, root, "_COMMITTED*")
+
+
+def version_of(spark: SparkSession, root: str, tag: str) -> int | None:
+    """The version committed with ``tag``, if there is one."""
+    found = _marked(spark, root, f"_COMMITTED-{tag}")
+    return found[0] if found else None
+
+
+def _marked(spark: SparkSession, root: str, marker: str) -> list[int]:
     fs, jvm = _fs(spark, root)
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/v*/_COMMITTED"))
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/v*/{marker}"))
     return sorted(int(s.getPath().getParent().getName()[1:]) for s in found)
 
 
 def commit_version(spark: SparkSession, root: str, tables: dict[str, DataFrame],
-                   version: int | None = None, partition_by: dict[str, str] | None = None) -> int:
+                   tag: str | None = None, partition_by: dict[str, str] | None = None) -> int:
     """Write ``tables`` as the next version of ``root`` and make them visible together.
 
-    With a given ``version`` that is committed already, nothing happens: a replay is safe.
+    A ``tag`` names the work that made the version. With one that is committed already nothing
+    happens, so a replay is safe; versions are numbered on whoever writes them.
     """
+    held = version_of(spark, root, tag) if tag else None
+    if held is not None:
+        return held
     done = versions(spark, root)
-    if version is not None and version in done:
-        return version
-    number = version if version is not None else (done[-1] + 1 if done else 1)
+    number = done[-1] + 1 if done else 1
     for name, df in tables.items():
         writer = df.write.mode("overwrite")
         by = (partition_by or {}).get(name)
@@ -69,7 +81,8 @@ def commit_version(spark: SparkSession, root: str, tables: dict[str, DataFrame],
             writer = writer.partitionBy(by)
         writer.parquet(f"{root}/v{number}/{name}")
     fs, jvm = _fs(spark, root)
-    fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/v{number}/_COMMITTED"), True).close()
+    marker = f"_COMMITTED-{tag}" if tag else "_COMMITTED"
+    fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/v{number}/{marker}"), True).close()
     return number
 
 

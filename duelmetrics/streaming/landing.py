@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,11 +35,13 @@ def stream_ratings(spark: SparkSession, path: str, schema: T.StructType, checkpo
                    **elo_options) -> None:
     """Rate newly landed matches batch by batch.
 
-    Each batch commits log and rankings as the version of its own id, so a repeated batch
-    changes nothing. The result equals one batch run if files land in date order.
+    Each batch commits log and rankings with the stream's own id and its number, so a repeated
+    batch changes nothing, and another stream or a batch run on the same folder is no replay.
+    The result equals one batch run if files land in date order.
     """
     def rate(batch: DataFrame, batch_id: int) -> None:
+        own = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
         update_ratings(batch.sparkSession, root, to_matches(batch), pool_col,
-                       version=batch_id + 1, **elo_options)
+                       tag=f"{own}-{batch_id}", **elo_options)
 
     stream_landing(spark, path, schema, checkpoint, rate, format, glob, max_files)

@@ -219,9 +219,9 @@ def test_asof_plan_has_no_product_and_one_python_node(spark):
     assert "BatchEvalPython" not in plan and "FlatMapGroupsInPandas" not in plan
 
 
-def test_repeated_version_changes_nothing(spark, tmp_path):
+def test_repeated_tag_changes_nothing(spark, tmp_path):
     root = str(tmp_path / "ratings")
     m = spark.createDataFrame(random_matches(30, 5), SCHEMA).drop("pool")
-    jobs.update_ratings(spark, root, m, version=1)
-    again = jobs.update_ratings(spark, root, m, version=1)
+    jobs.update_ratings(spark, root, m, tag="stream-0")
+    again = jobs.update_ratings(spark, root, m, tag="stream-0")
     assert again.count() == 30 and tables.versions(spark, root) == [1]

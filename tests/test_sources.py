@@ -171,8 +171,6 @@ def test_upcoming_pages_to_wide_csv(spark, tmp_path):
     jobs.job_upcoming_pages_to_csv(page_rows(spark, PAGE), "html", path, "2025-01-31")
     back = csv_landing.read_csv_wide(spark, f"{path}/*", schemas.UPCOMING_CSV).first()
     assert tuple(back) == ("2025-02-01", "Ann & Co", "Bob", {"X_P1": "1.8"})
-    with pytest.raises(ValueError):
-        jobs.job_upcoming_pages_to_csv(page_rows(spark, PAGE), "html", path, "2025-01-31", max_columns=3)
 
 
 def test_later_block_of_one_bookmaker_wins(spark):
@@ -226,6 +224,21 @@ def test_stream_equals_batch(spark, tmp_path):
     assert len(tables.versions(spark, str(tmp_path / "ratings"))) == 2
 
 
+def test_streams_go_on_from_a_batch_run_and_from_each_other(spark, tmp_path):
+    day = dt.date(2024, 1, 1)
+    rows = [(i, day + dt.timedelta(days=i), f"p{i % 3}", f"p{(i + 1) % 3}", f"p{i % 3}") for i in range(9)]
+    root = str(tmp_path / "ratings")
+    jobs.update_ratings(spark, root, spark.createDataFrame(rows[:3], ORDERS))
+    for n in (1, 2):
+        landing = str(tmp_path / f"in{n}")
+        spark.createDataFrame(rows[3 * n:3 * n + 3], ORDERS).coalesce(1).write.parquet(landing)
+        stream_ratings(spark, landing, spark.createDataFrame([], ORDERS).schema, str(tmp_path / f"ck{n}"), root, lambda b: b)
+    jobs.update_ratings(spark, str(tmp_path / "batch"), spark.createDataFrame(rows, ORDERS))
+    for i in (0, 1):
+        streamed, batch = (jobs.read_ratings(spark, str(tmp_path / d))[i] for d in ("ratings", "batch"))
+        assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+
+
 def test_stream_picks_up_new_files_only(spark, tmp_path):
     seen = []
     folder = land(tmp_path / "in", {"a.csv": "1,x\n2,y\n"})
