@@ -78,11 +78,15 @@ def elo_hot_pool(spark, sf):
 
 
 def stream_rated(spark, sf):
+    """A batch run over the oldest orders, then a stream that meets the others in three batches."""
     root = scratch_dir(spark, "stream")
-    schema = b.table(spark, sf, "orders").schema
-
-    stream_ratings(spark, sf, schema, f"{root}/checkpoint", f"{root}/ratings", b.matches_of, "pool",
-                   glob="orders.parquet")
+    orders = b.table(spark, sf, "orders")
+    day = F.col("o_orderdate").cast("date")
+    ends = [F.lit(d).cast("date") for d in ("1993-07-01", "1995-01-01", "1996-07-01")]
+    jobs.update_ratings(spark, f"{root}/ratings", b.matches_of(orders.where(day < ends[0])), "pool")
+    for part in (day.between(ends[0], ends[1]), (day > ends[1]) & (day < ends[2]), (day >= ends[2]) | day.isNull()):
+        orders.where(part).write.mode("append").parquet(f"{root}/landed")
+        stream_ratings(spark, f"{root}/landed", orders.schema, f"{root}/checkpoint", f"{root}/ratings", b.matches_of, "pool")
     return shown_log(jobs.read_ratings(spark, f"{root}/ratings", "pool", T.LongType())[0])
 
 
