@@ -1,35 +1,22 @@
 """Sequential Elo ratings.
 
 A match needs both ratings as its players' previous matches left them, so the fold is
-serial along each player. Two exact ways to run it in parallel:
-
-* ``grouped``: ratings never cross pools, so each pool is one ordered stream through a
-  task. The task reads Arrow batches in order and holds only the pool's ratings, never
-  its matches; Spark's sort, which spills, does the ordering.
-* ``blocks``: for a pool too large for that, time is cut into blocks. Within a block,
-  matches fall into groups of players who meet directly or through others; the groups
-  share no player and so are rated side by side, and the ratings at the end of a block
-  start the next. With short blocks the groups are small. One player with very many
-  matches makes one long group, never one round per match, and since no block holds more
-than ``max_pool_rows`` matches, no task has to fold more than that in one go.
-
-``auto`` counts the matches of each pool first and sends only the large ones to blocks.
+serial along each player. Ratings never cross pools: a pool is a named group of players, given
+as a column, and each is one ordered stream through a task, side by side with the others. The
+task reads Arrow batches in order and holds only the pool's ratings, never its matches;
+Spark's sort, which spills, does the ordering. Nothing depends on how large a pool is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_dir, stage
-from .components import components
-from .ranking import latest_ratings
-
 K_FACTOR = 32
 BASE_RATING = 1500
 
-_POOL, _KIND, _S1, _S2 = "_pool", "_kind", "_start1", "_start2"
+_POOL, _KIND, _START = "_pool", "_kind", "_start"
 _RATED = ["player1_elo_before", "player2_elo_before", "player1_elo_after", "player2_elo_after",
           "elo_change_p1", "elo_change_p2"]
 
@@ -38,9 +25,8 @@ def _fold(k: float, base: int):
     """Arrow stream -> Arrow stream over rows sorted by (pool, kind, date, match).
 
     Rows of kind 0 carry a starting rating, rows of kind 1 are matches; ``_won`` tells which
-    side won, 0 for neither. A match may also carry the starting ratings of its players, used
-    the first time a player is met. Names become numbers batch by batch, so that the loop
-    works on lists; between batches only the ratings of the pool at hand are kept, by name.
+    side won, 0 for neither. Names become numbers batch by batch, so that the loop works on
+    lists; between batches only the ratings of the pool at hand are kept, by name.
     """
     def run(batches):
         import numpy as np
@@ -66,23 +52,20 @@ def _fold(k: float, base: int):
             stretch = np.concatenate(([0], np.cumsum(at[1:] != at[:-1]))).tolist()
             if pools[at[0]] != pool:
                 carried = {}
-            kinds, start1, start2 = (
-                None if col[c].null_count == len(col[c]) else col[c].to_pylist()
-                for c in ("_kind", "_start1", "_start2"))
+            kinds, given = col["_kind"].to_pylist(), col["_start"].to_pylist()
             rating, met = [None] * len(names), [-1] * len(names)
 
-            def start(code, here, given):
-                known = carried.get(names[code]) if here == 0 else None
-                return known if known is not None else base if given is None else given
+            def start(code, here):
+                return carried.get(names[code], base) if here == 0 else base
 
             before1, before2, change, rows, stranger_after = [], [], [], [], {}
             for i, here in enumerate(stretch):
                 p1, p2, side = ones[i], twos[i], won[i]
                 if kinds[i] == 0:
-                    rating[p1], met[p1] = start1[i], here
+                    rating[p1], met[p1] = given[i], here
                     continue
-                r1 = rating[p1] if met[p1] == here else start(p1, here, start1 and start1[i])
-                r2 = rating[p2] if met[p2] == here else start(p2, here, start2 and start2[i])
+                r1 = rating[p1] if met[p1] == here else start(p1, here)
+                r2 = rating[p2] if met[p2] == here else start(p2, here)
                 if side == 1:
                     gap = r2 - r1
                 elif side == 2:
@@ -90,7 +73,7 @@ def _fold(k: float, base: int):
                 else:
                     # A winner outside the pair gains against side 1 and shows in side 2's slot.
                     p2 = winners[i]
-                    rw = rating[p2] if met[p2] == here else start(p2, here, None)
+                    rw = rating[p2] if met[p2] == here else start(p2, here)
                     gap = r1 - rw
                 gain = gains.get(gap)
                 if gain is None:
@@ -140,152 +123,39 @@ def _run_fold(rows: DataFrame, k: float, base: int) -> DataFrame:
     return ordered.mapInArrow(_fold(k, base), schema)
 
 
-def _as_log(rated: DataFrame, pool_col: str | None) -> DataFrame:
-    return rated.select("match_id", "player1", "player2", *_RATED, "winner", "match_date",
-                        *([pool_col] if pool_col else []))
-
-
-def _grouped(matches: DataFrame, state: DataFrame | None, pool_col: str | None,
-             k: float, base: int) -> DataFrame:
-    pool = F.col(pool_col) if pool_col else F.lit(0)
-    none = F.lit(None).cast("int")
-    rows = matches.select("*", pool.alias(_POOL), F.lit(1).alias(_KIND), none.alias(_S1), none.alias(_S2))
-    if state is not None:
-        types = {f.name: f.dataType for f in matches.schema.fields}
-        given = {"player1": F.col("player"), **({pool_col: F.col(pool_col)} if pool_col else {})}
-        rows = state.select(
-            *[given.get(c, F.lit(None)).cast(types[c]).alias(c) for c in matches.columns],
-            pool.alias(_POOL), F.lit(0).alias(_KIND), F.col("elo").cast("int").alias(_S1),
-            none.alias(_S2)).unionByName(rows)
-    return _as_log(_run_fold(rows, k, base), pool_col)
-
-
-def _block_count(matches: DataFrame, block_rows: int, max_blocks: int, max_pool_rows: int) -> int:
-    """As many blocks as keep the groups small, and always enough to bound one task's share."""
-    n, players = matches.select(F.explode(F.array("player1", "player2")).alias("p"), _POOL).agg(
-        F.count(F.lit(1)), F.approx_count_distinct(F.struct(_POOL, "p"))).first()
-    n //= 2
-    # Half as many matches as players leaves the meeting graph in small pieces.
-    helpful = min(-(-2 * n // max(players, 1)), n // block_rows, max_blocks)
-    return max(helpful, -(-n // max_pool_rows), 1)
-
-
-def _blocks(matches: DataFrame, state: DataFrame | None, pool_col: str | None, k: float, base: int,
-            block_rows: int, max_blocks: int, max_pool_rows: int) -> DataFrame:
-    spark = matches.sparkSession
-    pool = F.col(pool_col) if pool_col else F.lit(0)
-    matches = matches.withColumn(_POOL, pool)
-    blocks = _block_count(matches, block_rows, max_blocks, max_pool_rows)
-    # A range shuffle cuts time into blocks of about equal size; a day may span several.
-    if blocks > 1:
-        matches = matches.repartitionByRange(blocks, "match_date", "match_id") \
-            .withColumn("_block", F.spark_partition_id())
-    else:
-        matches = matches.withColumn("_block", F.lit(0))
-    matches = stage(matches, "matches")
-
-    # Two players hashed to one node would only join two groups, which is still exact.
-    def node(p: str) -> Column:
-        return F.xxhash64("_block", _POOL, p)
-
-    matches = matches.withColumn("_n1", node("player1"))
-    groups = components(matches.withColumn("_n2", node("player2")), "_n1", "_n2")
-    grouped = matches.join(groups, matches["_n1"] == groups["node"], "left") \
-        .withColumn("_group", F.coalesce("component", "_n1")).drop("node", "component", "_n1")
-    grouped = stage(grouped, "blocks", partition_by="_block")
-
-    # The pool's rows keep their name in the state, so that a name may occur in two pools.
-    pool_type = matches.schema[_POOL].dataType
-    schema = T.StructType([T.StructField(_POOL, pool_type), T.StructField("player", T.StringType()),
-                           T.StructField("elo", T.IntegerType())])
-    if state is None:
-        ratings = spark.createDataFrame([], schema)
-    else:
-        ratings = state.select(pool.cast(pool_type).alias(_POOL), "player", F.col("elo").cast("int").alias("elo"))
-
-    root = scratch_dir(spark, "rated")
-    out_schema = None
-    for b in range(blocks):
-        rows = grouped.where(F.col("_block") == b).drop("_block")
-        for p, start in (("player1", _S1), ("player2", _S2)):
-            known = ratings.select(F.col(_POOL).alias("_kp"), F.col("player").alias("_kn"),
-                                   F.col("elo").alias(start))
-            rows = rows.join(known, rows[_POOL].eqNullSafe(known["_kp"]) & (rows[p] == known["_kn"]),
-                             "left").drop("_kp", "_kn")
-        rows = rows.withColumn("poolkey", F.col(_POOL)).drop(_POOL) \
-            .withColumnRenamed("_group", _POOL).withColumn(_KIND, F.lit(1))
-        rated = _run_fold(rows, k, base)
-        rated.write.parquet(f"{root}/log/block={b}")
-        out_schema = rated.schema
-        if b == blocks - 1:
-            break
-        done = spark.read.schema(out_schema).parquet(f"{root}/log/block={b}")
-        changed = latest_ratings(done, "poolkey").withColumnRenamed("poolkey", _POOL)
-        held = ratings.join(changed.select(F.col(_POOL).alias("_kp"), F.col("player").alias("_kn")),
-                            ratings[_POOL].eqNullSafe(F.col("_kp")) & (ratings["player"] == F.col("_kn")),
-                            "left_anti")
-        path = f"{root}/ratings/after={b}"
-        held.unionByName(changed).write.parquet(path)
-        ratings = spark.read.schema(schema).parquet(path)
-    log = spark.read.schema(out_schema).parquet(*[f"{root}/log/block={b}" for b in range(blocks)])
-    return _as_log(log, pool_col)
-
-
-def elo_log(matches: DataFrame, state: DataFrame | None = None, pool_col: str | None = None,
-            k: float = K_FACTOR, base: int = BASE_RATING, method: str = "auto",
-            invalid: str = "reject", date: str = "matchdate", max_pool_rows: int = 5_000_000,
-            block_rows: int = 1_000_000, max_blocks: int = 200) -> DataFrame:
+def elo_log(matches: DataFrame, state: DataFrame | None, pool_col: str,
+            k: float = K_FACTOR, base: int = BASE_RATING, invalid: str = "reject",
+            date: str = "matchdate") -> DataFrame:
     """The rating log of ``matches``: both ratings before and after, and both changes.
 
-    ``matches`` holds match_id, player1, player2, winner and a date; they are rated by
-    (date, match_id). ``state`` (player, elo, and ``pool_col`` if given) holds the ratings
-    so far; other players start at ``base``. Gains are rounded half to even.
-
-    Pools of up to ``max_pool_rows`` matches are streamed through one task each. Larger ones
-    are cut into blocks of at least ``block_rows`` and at most ``max_pool_rows`` matches, and
-    into no more than ``max_blocks`` unless that upper bound asks for it.
+    ``matches`` holds match_id, player1, player2, winner, a date and ``pool_col``; the matches of
+    a pool are rated by (date, match_id). ``state`` (player, elo and ``pool_col``) holds the
+    ratings so far; other players start at ``base``. Gains are rounded half to even. Rows with
+    a null pool form a pool of their own. A name that occurs in two pools is two players.
 
     A match whose winner is neither player, or with one player on both sides, is left out
-    (``invalid="reject"``); ``"keep"`` rates it as is and needs ``method="grouped"``.
+    (``invalid="reject"``); ``"keep"`` rates it as is.
     """
-    if method not in ("auto", "grouped", "blocks"):
-        raise ValueError("method must be 'auto', 'grouped' or 'blocks'")
-    if invalid == "keep" and method != "grouped":
-        raise ValueError("invalid='keep' needs method='grouped'")
-    extra = [pool_col] if pool_col else []
+    if invalid not in ("reject", "keep"):
+        raise ValueError("invalid must be 'reject' or 'keep'")
     rows = matches.select("match_id", F.col("player1").cast("string").alias("player1"),
                           F.col("player2").cast("string").alias("player2"),
                           F.col("winner").cast("string").alias("winner"),
-                          F.col(date).cast("timestamp").alias("match_date"), *extra)
+                          F.col(date).cast("timestamp").alias("match_date"), pool_col)
     if invalid == "reject":
         rows = rows.where(F.col("winner").isin(F.col("player1"), F.col("player2"))
                           & (F.col("player1") != F.col("player2")))
-
+    none = F.lit(None).cast("int")
+    marked = rows.select("*", F.col(pool_col).alias(_POOL), F.lit(1).alias(_KIND), none.alias(_START))
     if state is not None:
         # Only players with a match to rate: an increment does not drag all ratings along.
-        met = rows.select(*extra, F.explode(F.array("player1", "player2", "winner")).alias("player")).distinct()
-        met = met.select(F.col("player").alias("_met"), *(F.col(c).alias("_pool") for c in extra))
-        same = state["player"] == F.col("_met")
-        if pool_col:
-            same &= state[pool_col].eqNullSafe(F.col("_pool"))
-        state = state.join(met, same, "left_semi")
-
-    def run(part: DataFrame, held: DataFrame | None, how: str) -> DataFrame:
-        if how == "grouped":
-            return _grouped(part, held, pool_col, k, base)
-        return _blocks(part, held, pool_col, k, base, block_rows, max_blocks, max_pool_rows)
-
-    if method != "auto":
-        return run(rows, state, method)
-    if not pool_col:
-        return run(rows, state, "grouped" if rows.count() <= max_pool_rows else "blocks")
-    large = rows.groupBy(pool_col).count().where(F.col("count") > max_pool_rows).select(pool_col)
-    if large.isEmpty():
-        return run(rows, state, "grouped")
-    large = stage(large, "large-pools")
-
-    def split(df: DataFrame | None, how: str) -> DataFrame | None:
-        return None if df is None else df.join(large, pool_col, how).select(*df.columns)
-
-    return run(split(rows, "left_anti"), split(state, "left_anti"), "grouped").unionByName(
-        run(split(rows, "left_semi"), split(state, "left_semi"), "blocks"))
+        met = rows.select(F.col(pool_col).alias("_met_pool"),
+                          F.explode(F.array("player1", "player2", "winner")).alias("_met")).distinct()
+        held = state.join(met, (state["player"] == F.col("_met"))
+                          & state[pool_col].eqNullSafe(F.col("_met_pool")), "left_semi")
+        given = {"player1": F.col("player"), pool_col: F.col(pool_col)}
+        marked = held.select(
+            *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema.fields],
+            F.col(pool_col).cast(rows.schema[pool_col].dataType).alias(_POOL), F.lit(0).alias(_KIND),
+            F.col("elo").cast("int").alias(_START)).unionByName(marked)
+    return _run_fold(marked, k, base).select("match_id", "player1", "player2", *_RATED, "winner", "match_date", pool_col)

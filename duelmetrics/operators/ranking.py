@@ -16,19 +16,26 @@ def preview(df: DataFrame, n: int = 3) -> DataFrame:
     return df.limit(n)
 
 
-def distinct_players(matches: DataFrame, p1: str = "player1", p2: str = "player2") -> DataFrame:
-    return sides(matches, {"player": (p1, p2)}).distinct()
-
-
 def register_entities(rankings: DataFrame, matches: DataFrame, base: int = 1500,
-                      p1: str = "player1", p2: str = "player2") -> DataFrame:
+                      p1: str = "player1", p2: str = "player2", pool_col: str | None = None) -> DataFrame:
     """Players of ``matches`` that ``rankings`` lacks, at the base rating.
 
-    The rule is NOT IN over a primary key: a null player is never new.
+    The rule is NOT IN over a primary key: a null player is never new. With ``pool_col`` the
+    key is (pool, player) and a null pool equals another.
     """
-    named = distinct_players(matches, p1, p2).where(F.col("player").isNotNull())
-    known = rankings.select("player")
-    return named.join(known, "player", "left_anti").select("player", F.lit(base).cast("int").alias("elo"))
+    pools = [pool_col] if pool_col else []
+    named = sides(matches, {"player": (p1, p2)}, keep=pools).distinct().where(F.col("player").isNotNull())
+    return without(named, rankings, [*pools, "player"]) \
+        .select("player", F.lit(base).cast("int").alias("elo"), *pools)
+
+
+def without(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ``df`` whose key ``other`` lacks; nulls in a key equal each other."""
+    held = other.select(*[F.col(c).alias(f"_held_{c}") for c in keys])
+    same = F.lit(True)
+    for c in keys:
+        same &= df[c].eqNullSafe(held[f"_held_{c}"])
+    return df.join(held, same, "left_anti")
 
 
 def unprocessed(gold: DataFrame, log: DataFrame, key: str = "match_id") -> DataFrame:

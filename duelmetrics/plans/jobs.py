@@ -6,7 +6,7 @@ DataFrame. ``run_ts`` is a parameter, so a run can be repeated exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,9 +15,9 @@ from ..functions.convert import blank_str, iso_day, relative_day, safe_date, saf
 from ..functions.odds import odds_to_json
 from ..functions.text import slug
 from ..operators.elo import elo_log
-from ..operators.keyed import insert_if_absent, max_id, upsert, with_surrogate_ids
+from ..operators.keyed import insert_if_absent, max_id, with_surrogate_ids
 from ..operators.quality import quality_gate, two_player_rules
-from ..operators.ranking import latest_ratings, register_entities, unprocessed
+from ..operators.ranking import latest_ratings, register_entities, unprocessed, without
 from ..operators.reshape import blocks_to_odds_map, map_to_wide
 from ..operators.star import Star, load_star
 from ..session import stage
@@ -30,13 +30,13 @@ from .predict import predict
 from .refresh import refresh_odds_scores
 
 
-def typed_results(landed: DataFrame, keep: list[str] = ()) -> DataFrame:
-    """Landed texts to the column types of the results tables."""
+def typed_results(landed: DataFrame, keep: list[str] = (), pool: Column | None = None) -> DataFrame:
+    """Landed texts to the column types of the results tables; ``pool`` is null if not given."""
     return landed.select(
         *keep, safe_date("matchdate").alias("matchdate"),
         safe_str("player1").alias("player1"), safe_str("player2").alias("player2"),
         safe_int("player1score").alias("player1score"), safe_int("player2score").alias("player2score"),
-        safe_str("winner").alias("winner"))
+        safe_str("winner").alias("winner"), (F.lit(None) if pool is None else pool).cast("string").alias("pool"))
 
 
 def typed_upcoming(landed: DataFrame, keep: list[str] = ()) -> DataFrame:
@@ -82,10 +82,14 @@ def _load(spark: SparkSession, warehouse: str, name: str, typed: DataFrame, sche
 
 
 def job_results_load(spark: SparkSession, landing: str, warehouse: str,
-                     reject_odd_winners: bool = True) -> DataFrame:
-    """Landed results to bronze, silver and gold. First writer of a match wins."""
+                     reject_odd_winners: bool = True, pool: Column | None = None) -> DataFrame:
+    """Landed results to bronze, silver and gold. First writer of a match wins.
+
+    ``pool`` tells which closed group of players a row belongs to, from the landed columns or
+    ``source_file``. Ratings run pool by pool; without it all matches are one pool.
+    """
     landed = read_csv_landing(spark, landing, schemas.RESULTS_CSV, with_source=True)
-    return _load(spark, warehouse, "results", typed_results(landed, SOURCE),
+    return _load(spark, warehouse, "results", typed_results(landed, SOURCE, pool),
                  schemas.RESULTS_STAGED, schemas.RESULTS_MANDATORY,
                  two_player_rules() if reject_odd_winners else {}, False,
                  "match_id", schemas.RESULTS_GOLD)
@@ -100,54 +104,59 @@ def job_upcoming_load(spark: SparkSession, landing: str, warehouse: str,
                  "id", schemas.UPCOMING)
 
 
-def read_ratings(spark: SparkSession, root: str, pool_col: str | None = None,
+def read_ratings(spark: SparkSession, root: str, pool_col: str = "pool",
                  pool_type: T.DataType | None = None) -> tuple[DataFrame, DataFrame]:
     """(rating log, rankings) of a ratings folder."""
-    log_schema, rank_schema = schemas.RATING_LOG, schemas.RANKINGS
-    if pool_col:
-        extra = [T.StructField(pool_col, pool_type or T.StringType())]
-        log_schema = T.StructType(log_schema.fields + extra)
-        rank_schema = T.StructType(rank_schema.fields + extra)
-    return (tables.read_all(spark, root, "log", log_schema),
-            tables.read_latest(spark, root, "rankings", rank_schema))
+    extra = [T.StructField(pool_col, pool_type or T.StringType())]
+    return (tables.read_all(spark, root, "log", T.StructType(schemas.RATING_LOG.fields + extra)),
+            tables.read_latest(spark, root, "rankings", T.StructType(schemas.RANKINGS.fields + extra)))
 
 
-def update_ratings(spark: SparkSession, root: str, gold: DataFrame, pool_col: str | None = None,
+def update_ratings(spark: SparkSession, root: str, gold: DataFrame, pool_col: str,
                    tag: str | None = None, **elo_options) -> DataFrame:
     """Rate the matches of ``gold`` that the log lacks and commit log and rankings together.
 
     Order holds inside a run: a match that arrives late is rated after those already rated.
     Returns the new log rows, those of the first run where ``tag`` names one committed before.
     """
-    pool_type = gold.schema[pool_col].dataType if pool_col else None
-    log, rankings = read_ratings(spark, root, pool_col, pool_type)
+    log, rankings = read_ratings(spark, root, pool_col, gold.schema[pool_col].dataType)
     held = tables.version_of(spark, root, tag) if tag else None
     if held is not None:
         return spark.read.schema(log.schema).parquet(f"{root}/v{held}/log")
-    new = unprocessed(gold, log)
-    rated = elo_log(new, rankings, pool_col, **elo_options)
-    rated = stage(rated, "rated")
-    if pool_col:
-        keys = [pool_col, "player"]
-        newcomers = rankings.limit(0)
-    else:
-        keys = ["player"]
-        newcomers = register_entities(rankings, gold)
-    known = rankings.unionByName(newcomers.select(*rankings.columns))
-    after = upsert(known, latest_ratings(rated, pool_col).select(*rankings.columns), keys)
+    rated = stage(elo_log(unprocessed(gold, log), rankings, pool_col, **elo_options), "rated")
+    changed = latest_ratings(rated, pool_col).select(*rankings.columns)
+    newcomers = register_entities(rankings, gold, pool_col=pool_col).select(*rankings.columns)
+    after = without(rankings.unionByName(newcomers), changed, [pool_col, "player"]).unionByName(changed)
     version = tables.commit_version(spark, root, {"log": rated, "rankings": after}, tag)
     return spark.read.schema(log.schema).parquet(f"{root}/v{version}/log")
 
 
+def replay_pools(spark: SparkSession, root: str, gold: DataFrame, pools: DataFrame, pool_col: str,
+                 **elo_options) -> DataFrame:
+    """The log as if all matches of ``pools`` (one column, ``pool_col``) had come in order.
+
+    A late match is rated last by ``update_ratings``. Here its pool is rated again from the
+    start; the log of every other pool is taken as it is. Nothing is committed.
+    """
+    log, _ = read_ratings(spark, root, pool_col, gold.schema[pool_col].dataType)
+    named = pools.select(F.col(pool_col).alias("_replayed")).distinct()
+    again = gold.join(named, gold[pool_col].eqNullSafe(F.col("_replayed")), "left_semi")
+    return without(log, pools, [pool_col]).unionByName(elo_log(again, None, pool_col, **elo_options))
+
+
 def job_rating_update(spark: SparkSession, warehouse: str, **elo_options) -> DataFrame:
+    """Rate the published results, each pool of them in a task of its own."""
     gold = tables.read_all(spark, f"{warehouse}/results_gold", "rows", schemas.RESULTS_GOLD)
-    return update_ratings(spark, f"{warehouse}/ratings", gold, **elo_options)
+    return update_ratings(spark, f"{warehouse}/ratings", gold, "pool", **elo_options)
 
 
 def job_predict(spark: SparkSession, warehouse: str, run_ts, side: str = "own") -> DataFrame:
     """Predict the upcoming matches; a match predicted before keeps its first prediction."""
     upcoming = tables.read_all(spark, f"{warehouse}/upcoming_gold", "rows", schemas.UPCOMING)
     log, _ = read_ratings(spark, f"{warehouse}/ratings")
+    known = tables.read_all(spark, f"{warehouse}/predictions", "rows", schemas.PREDICTIONS)
+    # Left out before the work, not only before the write.
+    upcoming = upcoming.join(known.select(F.col("match_id").alias("id")), "id", "left_anti").select(*upcoming.columns)
     made = predict(upcoming, log, side).withColumn("created_at", F.lit(run_ts).cast("timestamp"))
     return _publish(spark, f"{warehouse}/predictions", made, ["match_id"], [], "id",
                     schemas.PREDICTIONS, ["match_id"])
@@ -157,6 +166,9 @@ def job_backtest(spark: SparkSession, warehouse: str, as_of) -> DataFrame:
     """Score the predictions whose match is over; a scored prediction stays as it is."""
     predictions = tables.read_all(spark, f"{warehouse}/predictions", "rows", schemas.PREDICTIONS)
     results = tables.read_all(spark, f"{warehouse}/results_gold", "rows", schemas.RESULTS_GOLD)
+    known = tables.read_all(spark, f"{warehouse}/backtest_log", "rows", schemas.BACKTEST_LOG)
+    predictions = predictions.join(known.select(F.col("prediction_id").alias("id")), "id", "left_anti") \
+        .select(*predictions.columns)
     scored = backtest(predictions, results, as_of).withColumn("run_timestamp", F.lit(as_of).cast("timestamp"))
     return _publish(spark, f"{warehouse}/backtest_log", scored, ["prediction_id"], [], "id",
                     schemas.BACKTEST_LOG, ["prediction_id"])

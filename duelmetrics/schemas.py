@@ -15,13 +15,13 @@ _DATE, _TS = T.DateType(), T.TimestampType()
 
 RESULTS_STAGED = _schema(
     ("id", _L), ("matchdate", _DATE), ("player1", _S), ("player2", _S),
-    ("player1score", _I), ("player2score", _I), ("winner", _S),
+    ("player1score", _I), ("player2score", _I), ("winner", _S), ("pool", _S),
 )
 # Where a staged row came from: the order in which rows landed decides who was first.
 SOURCE_FIELDS = _schema(("source_file", _S), ("source_start", _L)).fields
 RESULTS_GOLD = _schema(
     ("match_id", _L), ("matchdate", _DATE), ("player1", _S), ("player2", _S),
-    ("player1score", _I), ("player2score", _I), ("winner", _S),
+    ("player1score", _I), ("player2score", _I), ("winner", _S), ("pool", _S),
 )
 UPCOMING = _schema(
     ("id", _L), ("matchdate", _DATE), ("player1", _S), ("player2", _S), ("odds", _S),
@@ -78,6 +78,7 @@ FLAT_LISTING = _schema(
     ("market_hash_name", _S), ("name", _S), ("min_price", _S), ("quantity", _S),
 )
 
+# The headers of landed files.
 # Landed results files: target column -> header of the file.
 RESULTS_CSV = {
     "matchdate": "Date",

@@ -30,7 +30,7 @@ def stream_landing(spark: SparkSession, path: str, schema: T.StructType, checkpo
 
 
 def stream_ratings(spark: SparkSession, path: str, schema: T.StructType, checkpoint: str, root: str,
-                   to_matches: Callable[[DataFrame], DataFrame], pool_col: str | None = None,
+                   to_matches: Callable[[DataFrame], DataFrame], pool_col: str,
                    format: str = "parquet", glob: str | None = None, max_files: int | None = None,
                    **elo_options) -> None:
     """Rate newly landed matches batch by batch.

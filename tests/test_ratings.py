@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from duelmetrics.operators import asof, elo, ranking
-from duelmetrics.operators.components import components
 from duelmetrics.plans import jobs
 from duelmetrics.sources import tables
 
@@ -53,55 +52,49 @@ def ranks(df):
 @pytest.mark.parametrize("k, r1, r2, gain", [(32, 1500, 1500, 16), (33, 1500, 1500, 16), (32, 1600, 1400, 8), (32, 1400, 1600, 24)])
 def test_worked_values(spark, k, r1, r2, gain):
     m = spark.createDataFrame([(1, START, "g", "a", "b", "a")], SCHEMA)
-    state = spark.createDataFrame([("a", r1), ("b", r2)], "player string, elo int")
-    assert as_dict(elo.elo_log(m, state, k=k)) == {1: (r1, r2, r1 + gain, r2 - gain, gain, -gain)}
+    state = spark.createDataFrame([("g", "a", r1), ("g", "b", r2)], "pool string, player string, elo int")
+    assert as_dict(elo.elo_log(m, state, "pool", k=k)) == {1: (r1, r2, r1 + gain, r2 - gain, gain, -gain)}
 
 
 def test_grouped_equals_sequential_over_pools(spark):
     rows = random_matches(3000, 8, pools=12)
     m = spark.createDataFrame(rows, SCHEMA)
     want, final = sequential(rows)
-    log = elo.elo_log(m, pool_col="pool", method="grouped")
+    log = elo.elo_log(m, None, "pool")
     assert as_dict(log) == want
     assert ranks(ranking.latest_ratings(log)) == final
 
 
-def test_one_pool_without_pool_column(spark):
+def test_null_pool_is_a_pool(spark):
     rows = random_matches(800, 20)
-    assert as_dict(elo.elo_log(spark.createDataFrame(rows, SCHEMA))) == sequential(rows)[0]
+    m = spark.createDataFrame(rows, SCHEMA).withColumn("pool", F.lit(None).cast("string"))
+    assert as_dict(elo.elo_log(m, None, "pool")) == sequential(rows)[0]
 
 
-@pytest.mark.parametrize("hot", [0.0, 0.4])
-def test_blocks_equal_sequential(spark, hot):
-    rows = random_matches(600, 300, hot=hot, seed=3)
-    m = spark.createDataFrame(rows, SCHEMA)
-    start = [(f"g0p{i}", 1400 + i) for i in range(0, 300, 3)]
-    state = spark.createDataFrame(start, "player string, elo int")
-    log = elo.elo_log(m, state, method="blocks", block_rows=150, max_blocks=5)
-    assert as_dict(log) == sequential(rows, dict(start))[0]
+def test_plan_sends_pools_to_several_tasks(spark):
+    m = spark.createDataFrame(random_matches(50, 5, pools=3), SCHEMA)
+    plan = elo.elo_log(m, None, "pool")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "hashpartitioning(_pool" in plan
 
 
-def test_auto_sends_only_large_pools_to_blocks(spark):
-    rows = [(i, d, "big" if i % 3 == 0 else p, f"{'big' if i % 3 == 0 else p}{a}", f"{'big' if i % 3 == 0 else p}{b}",
-             f"{'big' if i % 3 == 0 else p}{w}") for i, d, p, a, b, w in random_matches(900, 30, pools=6, seed=5)]
-    m = spark.createDataFrame(rows, SCHEMA)
-    start = [(r[2], r[3], 1550) for r in {(r[2], r[3]): r for r in rows[:50]}.values()]
+def test_hot_pool_and_state(spark):
+    rows = random_matches(600, 300, hot=0.4, seed=3)
+    start = [("g0", f"g0p{i}", 1400 + i) for i in range(0, 300, 3)] + [("g0", "idle", 1700)]
     state = spark.createDataFrame(start, "pool string, player string, elo int")
-    log = elo.elo_log(m, state, pool_col="pool", max_pool_rows=250, block_rows=100, max_blocks=3)
+    log = elo.elo_log(spark.createDataFrame(rows, SCHEMA), state, "pool")
     assert as_dict(log) == sequential(rows, {p: e for _, p, e in start})[0]
 
 
 def test_same_name_in_two_pools_has_two_ratings(spark):
     rows = [(1, START, "x", "a", "b", "a"), (2, START, "y", "a", "b", "b"), (3, START, "x", "a", "b", "a")]
     m = spark.createDataFrame(rows, SCHEMA)
-    for method in ("grouped", "blocks"):
-        got = as_dict(elo.elo_log(m, pool_col="pool", method=method, block_rows=1))
-        assert got[2][:2] == (1500, 1500) and got[3][:2] == (1516, 1484)
+    got = as_dict(elo.elo_log(m, None, "pool"))
+    assert got[2][:2] == (1500, 1500) and got[3][:2] == (1516, 1484)
 
 
 def test_log_is_zero_sum_and_chained(spark):
     rows = random_matches(500, 10, seed=9)
-    log = elo.elo_log(spark.createDataFrame(rows, SCHEMA))
+    log = elo.elo_log(spark.createDataFrame(rows, SCHEMA), None, "pool")
     got = sorted(log.collect(), key=lambda r: (r["match_date"], r["match_id"]))
     last = {}
     for r in got:
@@ -114,38 +107,41 @@ def test_log_is_zero_sum_and_chained(spark):
 def test_odd_matches_are_rejected_or_kept(spark):
     rows = [(1, START, "g", "a", "b", "zz"), (2, START, "g", "a", "a", "a"), (3, START, "g", "a", "b", "b")]
     m = spark.createDataFrame(rows, SCHEMA)
-    assert set(as_dict(elo.elo_log(m))) == {3}
-    kept = as_dict(elo.elo_log(m, method="grouped", invalid="keep"))
+    assert set(as_dict(elo.elo_log(m, None, "pool"))) == {3}
+    kept = as_dict(elo.elo_log(m, None, "pool", invalid="keep"))
     # The stranger takes the points of side 1 and shows in the slot of side 2.
     assert kept[1] == (1500, 1500, 1484, 1516, -16, 16)
     assert kept[2][:2] == (1484, 1484) and kept[3][0] == 1484 - 16
     with pytest.raises(ValueError):
-        elo.elo_log(m, invalid="keep")
+        elo.elo_log(m, None, "pool", invalid="drop")
 
 
-def test_incremental_run_equals_one_run(spark, tmp_path):
+@pytest.mark.parametrize("pool", ["x", None])
+def test_incremental_run_equals_one_run(spark, tmp_path, pool):
     rows = random_matches(400, 12, seed=11)
-    m = spark.createDataFrame(rows, SCHEMA).drop("pool")
+    m = spark.createDataFrame(rows, SCHEMA).withColumn("pool", F.lit(pool).cast("string"))
     root = str(tmp_path / "ratings")
     for cut in (20, 40, 60):
-        jobs.update_ratings(spark, root, m.where(F.col("matchdate") < F.lit(START + dt.timedelta(days=cut))))
+        jobs.update_ratings(spark, root, m.where(F.col("matchdate") < F.lit(START + dt.timedelta(days=cut))), "pool")
     want, final = sequential(rows)
     log, rankings = jobs.read_ratings(spark, root)
-    assert as_dict(log) == want and ranks(rankings) == final
-    jobs.update_ratings(spark, root, m)
+    assert as_dict(log) == want and ranks(rankings) == final and rankings.count() == len(final)
+    jobs.update_ratings(spark, root, m, "pool")
     assert jobs.read_ratings(spark, root)[0].count() == len(rows)
 
 
-def test_late_match_is_rated_after_the_others(spark, tmp_path):
+def test_late_match_is_rated_after_the_others_or_its_pool_replayed(spark, tmp_path):
     root = str(tmp_path / "ratings")
-    schema = "match_id long, matchdate date, player1 string, player2 string, winner string"
-    first = spark.createDataFrame([(2, START + dt.timedelta(days=5), "a", "b", "a")], schema)
-    both = first.union(spark.createDataFrame([(1, START, "a", "b", "a")], schema))
-    jobs.update_ratings(spark, root, first)
-    jobs.update_ratings(spark, root, both)
+    first = spark.createDataFrame([(2, START + dt.timedelta(days=5), "x", "a", "b", "a"),
+                                   (3, START, "y", "a", "b", "a")], SCHEMA)
+    both = first.union(spark.createDataFrame([(1, START, "x", "a", "b", "a")], SCHEMA))
+    jobs.update_ratings(spark, root, first, "pool")
+    jobs.update_ratings(spark, root, both, "pool")
     log, rankings = jobs.read_ratings(spark, root)
     assert as_dict(log)[1][:2] == (1516, 1484)
-    assert ranks(rankings) == {"a": 1516 + 15, "b": 1484 - 15}
+    assert ranks(rankings.where("pool = 'x'")) == {"a": 1516 + 15, "b": 1484 - 15}
+    again = as_dict(jobs.replay_pools(spark, root, both, both.where("match_id = 1").select("pool"), "pool"))
+    assert again[1][:2] == (1500, 1500) and again[2][:2] == (1516, 1484) and again[3] == as_dict(log)[3]
 
 
 def test_register_and_unprocessed(spark):
@@ -159,13 +155,6 @@ def test_register_and_unprocessed(spark):
     assert ranking.pending_count(marks).first()[0] == 2
 
 
-def test_components_of_chains_and_stars(spark):
-    edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
-    found = components(spark.createDataFrame(edges, "a long, b long"), "a", "b")
-    got = {r["node"]: r["component"] for r in found.collect()}
-    assert got == {**{i: 0 for i in range(1, 61)}, **{i: 100 for i in range(101, 160)}}
-
-
 LOG = [(1, "a", "b", 1510, 1490, 1), (2, "b", "c", 1480, 1520, 2), (3, "a", "c", 1515, 1510, 2)]
 
 
@@ -188,9 +177,17 @@ def test_asof_worked_values(spark):
     assert looked_up(spark, "first", 3) == (1480, 2, 1515, 2)
 
 
+def test_null_value_never_hides_an_earlier_one(spark):
+    log = spark.createDataFrame([(1, "b", "x", 1490, 1, dt.datetime(2024, 1, 2)), (2, "b", "x", 1510, 1, dt.datetime(2024, 1, 3)),
+                                 (3, "b", "x", None, 1, dt.datetime(2024, 1, 3))], small_log(spark).schema)
+    req = spark.createDataFrame([(1, dt.date(2024, 1, 4), "b", "q")], "id long, matchdate date, player1 string, player2 string")
+    got = asof.asof_both_sides(req, log).first()
+    assert (got["player1_elo"], got["player1_match_count"]) == (1510, 3)
+
+
 def test_asof_against_brute_force(spark):
     rows = random_matches(400, 15, seed=21, days=25)
-    log = elo.elo_log(spark.createDataFrame(rows, SCHEMA))
+    log = elo.elo_log(spark.createDataFrame(rows, SCHEMA), None, "pool")
     facts = log.collect()
     req = spark.createDataFrame(rows, SCHEMA).select("match_id", "matchdate", "player1", "player2")
     for side in ("own", "first"):
@@ -214,14 +211,14 @@ def test_self_match_counts_once(spark):
 def test_asof_plan_has_no_product_and_one_python_node(spark):
     rows = random_matches(50, 5)
     m = spark.createDataFrame(rows, SCHEMA)
-    plan = asof.asof_both_sides(m, elo.elo_log(m))._jdf.queryExecution().executedPlan().toString()
+    plan = asof.asof_both_sides(m, elo.elo_log(m, None, "pool"))._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert "BatchEvalPython" not in plan and "FlatMapGroupsInPandas" not in plan
 
 
 def test_repeated_tag_changes_nothing(spark, tmp_path):
     root = str(tmp_path / "ratings")
-    m = spark.createDataFrame(random_matches(30, 5), SCHEMA).drop("pool")
-    jobs.update_ratings(spark, root, m, tag="stream-0")
-    again = jobs.update_ratings(spark, root, m, tag="stream-0")
+    m = spark.createDataFrame(random_matches(30, 5), SCHEMA)
+    jobs.update_ratings(spark, root, m, "pool", tag="stream-0")
+    again = jobs.update_ratings(spark, root, m, "pool", tag="stream-0")
     assert again.count() == 30 and tables.versions(spark, root) == [1]

@@ -204,39 +204,39 @@ def test_pages_to_csv_and_back(spark, tmp_path):
     assert [p.name for p in (tmp_path / "labelled").iterdir() if p.is_dir()] == ["label=World_-_Cup_A"]
 
 
-ORDERS = "match_id long, matchdate date, player1 string, player2 string, winner string"
+ORDERS = "match_id long, matchdate date, player1 string, player2 string, winner string, pool string"
 
 
 def test_stream_equals_batch(spark, tmp_path):
     day = dt.date(2024, 1, 1)
-    rows = [(i, day + dt.timedelta(days=i // 4), f"p{i % 5}", f"p{(i + 1 + i % 4) % 5}", f"p{i % 5}") for i in range(40)]
+    rows = [(i, day + dt.timedelta(days=i // 4), f"p{i % 5}", f"p{(i + 1 + i % 4) % 5}", f"p{i % 5}", "x") for i in range(40)]
     rows = [r for r in rows if r[2] != r[3]]
     landing = str(tmp_path / "in")
-    args = (landing, spark.createDataFrame([], ORDERS).schema, str(tmp_path / "ck"), str(tmp_path / "ratings"), lambda b: b)
+    args = (landing, spark.createDataFrame([], ORDERS).schema, str(tmp_path / "ck"), str(tmp_path / "ratings"), lambda b: b, "pool")
     for part in (rows[:15], rows[15:]):
         spark.createDataFrame(part, ORDERS).coalesce(1).write.mode("append").parquet(landing)
         stream_ratings(spark, *args)
     stream_ratings(spark, *args)
-    jobs.update_ratings(spark, str(tmp_path / "batch"), spark.createDataFrame(rows, ORDERS))
+    jobs.update_ratings(spark, str(tmp_path / "batch"), spark.createDataFrame(rows, ORDERS), "pool")
     for i in (0, 1):
         streamed, batch = (jobs.read_ratings(spark, str(tmp_path / d))[i] for d in ("ratings", "batch"))
-        assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+        assert sorted(map(tuple, streamed.collect()), key=str) == sorted(map(tuple, batch.collect()), key=str)
     assert len(tables.versions(spark, str(tmp_path / "ratings"))) == 2
 
 
 def test_streams_go_on_from_a_batch_run_and_from_each_other(spark, tmp_path):
     day = dt.date(2024, 1, 1)
-    rows = [(i, day + dt.timedelta(days=i), f"p{i % 3}", f"p{(i + 1) % 3}", f"p{i % 3}") for i in range(9)]
+    rows = [(i, day + dt.timedelta(days=i), f"p{i % 3}", f"p{(i + 1) % 3}", f"p{i % 3}", None) for i in range(9)]
     root = str(tmp_path / "ratings")
-    jobs.update_ratings(spark, root, spark.createDataFrame(rows[:3], ORDERS))
+    jobs.update_ratings(spark, root, spark.createDataFrame(rows[:3], ORDERS), "pool")
     for n in (1, 2):
         landing = str(tmp_path / f"in{n}")
         spark.createDataFrame(rows[3 * n:3 * n + 3], ORDERS).coalesce(1).write.parquet(landing)
-        stream_ratings(spark, landing, spark.createDataFrame([], ORDERS).schema, str(tmp_path / f"ck{n}"), root, lambda b: b)
-    jobs.update_ratings(spark, str(tmp_path / "batch"), spark.createDataFrame(rows, ORDERS))
+        stream_ratings(spark, landing, spark.createDataFrame([], ORDERS).schema, str(tmp_path / f"ck{n}"), root, lambda b: b, "pool")
+    jobs.update_ratings(spark, str(tmp_path / "batch"), spark.createDataFrame(rows, ORDERS), "pool")
     for i in (0, 1):
         streamed, batch = (jobs.read_ratings(spark, str(tmp_path / d))[i] for d in ("ratings", "batch"))
-        assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+        assert sorted(map(tuple, streamed.collect()), key=str) == sorted(map(tuple, batch.collect()), key=str)
 
 
 def test_stream_picks_up_new_files_only(spark, tmp_path):

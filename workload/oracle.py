@@ -173,6 +173,7 @@ HEADING = _plain("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")
 ALL = {
     "elo_log": _with(*POOLED) + SHOW_LOG,
     "elo_incremental": _with(*POOLED) + SHOW_LOG,
+    "late_match": _with(*POOLED) + SHOW_LOG,
     "stream_rated": _with(*POOLED) + SHOW_LOG,
     "elo_rankings": _with(*POOLED, RANKS) + "SELECT player, elo FROM ranks",
     "elo_single_pool": _with(OPEN.format(pool="0"), LOG) + SHOW_LOG,

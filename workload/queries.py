@@ -44,7 +44,7 @@ def shown_log(log: DataFrame) -> DataFrame:
 
 
 def pooled_log(spark: SparkSession, sf: str) -> DataFrame:
-    return elo.elo_log(b.matches(spark, sf), pool_col="pool")
+    return elo.elo_log(b.matches(spark, sf), None, "pool")
 
 
 # ratings
@@ -67,14 +67,24 @@ def elo_incremental(spark, sf):
 
 
 def elo_single_pool(spark, sf):
-    return shown_log(elo.elo_log(b.open_matches(spark, sf), method="blocks", block_rows=4000, max_blocks=4))
+    """All matches in one pool: serial by nature, a stream through one task."""
+    return shown_log(elo.elo_log(b.open_matches(spark, sf).withColumn("pool", F.lit(0)), None, "pool"))
 
 
 def elo_hot_pool(spark, sf):
-    """One pool holds a third of the matches and goes to blocks, the others are streamed."""
-    m = b.uneven_matches(spark, sf)
-    return shown_log(elo.elo_log(m, pool_col="pool", max_pool_rows=m.count() // 10,
-                                 block_rows=2000, max_blocks=3))
+    """One pool holds a third of the matches; the others run beside it."""
+    return shown_log(elo.elo_log(b.uneven_matches(spark, sf), None, "pool"))
+
+
+def late_match(spark, sf):
+    """The matches of one status arrive late; the pools they touch are then rated again."""
+    root = scratch_dir(spark, "late")
+    m = b.matches(spark, sf)
+    late = b.table(spark, sf, "orders").where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("match_id"))
+    jobs.update_ratings(spark, root, m.join(late, "match_id", "left_anti").select(*m.columns), "pool")
+    jobs.update_ratings(spark, root, m, "pool")
+    touched = m.join(late, "match_id", "left_semi").select("pool").distinct()
+    return shown_log(jobs.replay_pools(spark, root, m, touched, "pool"))
 
 
 def stream_rated(spark, sf):
@@ -92,7 +102,7 @@ def stream_rated(spark, sf):
 
 def register_entities(spark, sf):
     m = b.matches(spark, sf)
-    known = ranking.latest_ratings(elo.elo_log(m.where("matchdate < date'1995-07-01'"), pool_col="pool"))
+    known = ranking.latest_ratings(elo.elo_log(m.where("matchdate < date'1995-07-01'"), None, "pool"))
     return ranking.register_entities(known, m)
 
 
@@ -470,7 +480,7 @@ def match_chain(spark, sf):
     """Ratings, predictions and backtest as jobs over one warehouse folder."""
     warehouse = scratch_dir(spark, "warehouse")
     m = b.matches(spark, sf)
-    gold = keyed.first_per_key(m.drop("pool"), ["player1", "player2", "matchdate"], ["match_id"])
+    gold = keyed.first_per_key(m.withColumn("pool", F.col("pool").cast("string")), ["player1", "player2", "matchdate"], ["match_id"])
     tables.commit_version(spark, f"{warehouse}/results_gold", {"rows": gold.select(*schemas.RESULTS_GOLD.names)})
     tables.commit_version(spark, f"{warehouse}/upcoming_gold", {"rows": b.upcoming(spark, sf)})
     jobs.job_rating_update(spark, warehouse)
@@ -641,7 +651,7 @@ def upcoming_pages_to_csv(spark, sf):
 
 
 ALL = {f.__name__: f for f in (
-    elo_log, elo_rankings, elo_incremental, elo_single_pool, elo_hot_pool, stream_rated, register_entities,
+    elo_log, elo_rankings, elo_incremental, elo_single_pool, elo_hot_pool, late_match, stream_rated, register_entities,
     unprocessed, pending, pending_count, asof_own, asof_first_slot, asof_count, predict, backtest, odds_refresh,
     best_odds, implied_edge, devig, win_probability, log_loss_winner, log_loss_clipped, brier, wide_to_map,
     match_sides, quality_gate_clean, quality_gate_rejects, quality_gate_audit, quality_gate_blank, safe_casts,
