@@ -68,13 +68,16 @@ def _load(spark: SparkSession, warehouse: str, name: str, typed: DataFrame, sche
           mandatory: list[str], rules: dict, blank_is_null: bool, gold_id: str,
           gold_schema: T.StructType) -> DataFrame:
     # Staged ids only have to be unique and to grow inside a file, so nothing is sorted.
-    schema = T.StructType(schema.fields + schemas.SOURCE_FIELDS)
+    clean_schema = T.StructType(schema.fields + schemas.SOURCE_FIELDS)
+    schema = T.StructType(clean_schema.fields + schemas.LANDED_FIELDS)
     bronze = typed.withColumn("id", F.col("source_row") + 1).select(*schema.names)
     tables.truncate_and_load(bronze, f"{warehouse}/{name}_bronze")
     bronze = tables.read_latest(spark, f"{warehouse}/{name}_bronze", "rows", schema)
-    gate = quality_gate(bronze, mandatory, blank_is_null=blank_is_null, rules=rules)
-    tables.commit_version(spark, f"{warehouse}/{name}_silver", {"rows": gate.clean, "rejects": gate.rejects})
-    silver = tables.read_latest(spark, f"{warehouse}/{name}_silver", "rows", schema)
+    gate = quality_gate(bronze, mandatory, blank_is_null=blank_is_null,
+                        rules={**rules, "cells_fit": F.col("cells_fit")})
+    tables.commit_version(spark, f"{warehouse}/{name}_silver", {
+        "rows": gate.clean.select(*clean_schema.names), "rejects": gate.rejects})
+    silver = tables.read_latest(spark, f"{warehouse}/{name}_silver", "rows", clean_schema)
     inserted = _publish(spark, f"{warehouse}/{name}_gold", silver, ["player1", "player2", "matchdate"],
                         ["source_file", "source_start", "id"], gold_id, gold_schema,
                         ["matchdate", "player1", "player2"], prune_by="matchdate")
@@ -95,6 +98,13 @@ def job_results_load(spark: SparkSession, landing: str, warehouse: str,
                  "match_id", schemas.RESULTS_GOLD)
 
 
+def read_rejects(spark: SparkSession, warehouse: str, name: str, schema: T.StructType) -> DataFrame:
+    """The rows that the last load of ``name`` kept back: typed, as text, and the checks failed."""
+    failed = T.StructField("failed", T.ArrayType(T.StringType()))
+    fields = [*schema.fields, *schemas.SOURCE_FIELDS, *schemas.LANDED_FIELDS, failed]
+    return tables.read_latest(spark, f"{warehouse}/{name}_silver", "rejects", T.StructType(fields))
+
+
 def job_upcoming_load(spark: SparkSession, landing: str, warehouse: str,
                       blank_is_null: bool = False) -> DataFrame:
     """Landed odds files to bronze, silver and gold. The first odds of a match stay."""

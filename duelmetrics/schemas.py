@@ -19,6 +19,8 @@ RESULTS_STAGED = _schema(
 )
 # Where a staged row came from: the order in which rows landed decides who was first.
 SOURCE_FIELDS = _schema(("source_file", _S), ("source_start", _L)).fields
+# What a row held when it landed: kept with the rejects.
+LANDED_FIELDS = _schema(("raw", _S), ("cells_fit", T.BooleanType())).fields
 RESULTS_GOLD = _schema(
     ("match_id", _L), ("matchdate", _DATE), ("player1", _S), ("player2", _S),
     ("player1score", _I), ("player2score", _I), ("winner", _S), ("pool", _S),

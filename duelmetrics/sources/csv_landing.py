@@ -3,7 +3,9 @@
 All files are read in one scan as numbered text columns; each file's own header, found by
 a peek at the head of the file, then names the values of its rows. One plan serves any
 number of different headers. A record is one line: line breaks inside quotes would keep
-Spark from splitting a large file.
+Spark from splitting a large file. Only the first line of a file is its header: one that
+comes again is a row like any other, for the quality gate to judge. A row with more values
+than its header has names is kept, marked, with its text.
 """
 
 from __future__ import annotations
@@ -15,12 +17,13 @@ from ..functions.convert import MISSING_TOKENS, missing_to_null
 from ..session import stage
 
 
-# Columns that tell where a row came from; in this order they sort rows as they landed.
-SOURCE = ["source_file", "source_start", "source_row"]
+# Columns that tell where a row came from; in this order they sort rows as they landed. Then
+# the row's text, and whether its values fit the names of the header.
+SOURCE = ["source_file", "source_start", "source_row", "raw", "cells_fit"]
 
 
 def _peek():
-    """Paths in, (path, header, head_line) out; reads the first record of each file only.
+    """Paths in, (path, header) out; reads the first record of each file only.
 
     The function is built here so that it travels to the workers by value.
     """
@@ -34,7 +37,7 @@ def _peek():
         from pyarrow import fs
 
         for batch in batches:
-            headers, lines = [], []
+            headers = []
             for uri in batch["path"]:
                 plain = re.sub(r"^file:/+", "/", uri)
                 if plain.startswith("/"):
@@ -43,7 +46,9 @@ def _peek():
                     source, name = fs.FileSystem.from_uri(uri)
                 with source.open_input_stream(name) as raw:
                     text = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="")
-                    names, seen = next(csv.reader(text), []), {}
+                    # Spark takes the first line that is not blank.
+                    heads = (r for r in csv.reader(text) if len(r) > 1 or "".join(r).strip())
+                    names, seen = next(heads, []), {}
                 # A repeated name gets a number, so that a row can become a map.
                 unique = []
                 for n in names:
@@ -51,17 +56,16 @@ def _peek():
                     seen[n] = again + 1
                     unique.append(f"{n}.{again}" if again else n)
                 headers.append(unique)
-                lines.append("\x1f".join(n for n in names if n))
-            yield pd.DataFrame({"path": batch["path"], "header": headers, "head_line": lines})
+            yield pd.DataFrame({"path": batch["path"], "header": headers})
 
     return read
 
 
 def landed_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """(path, header, head_line) of every non-empty file; lists paths and scans no contents."""
+    """(path, header) of every non-empty file; lists paths and scans no contents."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path) \
         .where("length > 0").select(F.col("_metadata.file_path").alias("path"))
-    return files.mapInPandas(_peek(), "path string, header array<string>, head_line string").where(F.size("header") > 0)
+    return files.mapInPandas(_peek(), "path string, header array<string>").where(F.size("header") > 0)
 
 
 def read_named_cells(spark: SparkSession, path: str, columns: dict[str, str], glob: str = "*.csv",
@@ -69,28 +73,35 @@ def read_named_cells(spark: SparkSession, path: str, columns: dict[str, str], gl
     """The chosen columns of each data row, with ``cells`` and ``header`` for the others.
 
     Also adds where a row came from: ``source_file``, ``source_start`` and the increasing
-    ``source_row``. Missing values are null.
+    ``source_row``; its text as ``raw``; and ``cells_fit``, false for a row that holds a value
+    beyond the last name of its header. Missing values are null.
     """
     headers = stage(landed_headers(spark, path, glob), "headers")
     # The position of a column is looked up once per file; a column it lacks has none.
     places = [F.nullif(F.array_position("header", F.lit(h)), F.lit(0).cast("bigint")).cast("int")
               for h in columns.values()]
-    heads = headers.select(F.col("path").alias("head_path"), "header", "head_line", F.array(*places).alias("places"))
+    heads = headers.select(F.col("path").alias("head_path"), "header", F.array(*places).alias("places"))
     width = headers.agg(F.max(F.size("header"))).first()[0] or 1
     names = [f"c{i}" for i in range(width)]
-    lines = spark.read.schema(", ".join(f"{n} string" for n in names)) \
-        .option("pathGlobFilter", glob).option("header", False).option("mode", "PERMISSIVE") \
+    # Spark skips the first line of each file; rows of another width come with their text.
+    lines = spark.read.schema(", ".join(f"{n} string" for n in [*names, "_text"])) \
+        .option("columnNameOfCorruptRecord", "_text").option("mode", "PERMISSIVE") \
+        .option("pathGlobFilter", glob).option("header", True) \
         .option("quote", '"').option("escape", '"').csv(path) \
-        .select(F.array(*names).alias("cells"), F.col("_metadata.file_path").alias("source_file"),
+        .select(F.array(*names).alias("cells"), "_text",
+                F.coalesce("_text", F.to_csv(F.struct(*names), {"escape": '"'})).alias("raw"),
+                F.col("_metadata.file_path").alias("source_file"),
                 F.col("_metadata.file_block_start").alias("source_start"),
                 F.monotonically_increasing_id().alias("source_row"))
     named = lines.join(heads, lines["source_file"] == heads["head_path"])
-    # A file's header comes back as its first record, which alone spells the header itself.
-    # A file's header comes back as its first record, which alone spells the header itself.
-    is_data = F.regexp_replace(F.array_join("cells", "\x1f"), "^\ufeff", "") != F.col("head_line")
+    # Commas outside quotes, but for those that only end the line.
+    bare = F.regexp_replace(F.regexp_replace("_text", '"[^"]*"', ""), r"[,\s]+$", "")
+    beyond = F.exists(F.slice("cells", F.size("header") + 1, F.lit(width)), lambda v: v.isNotNull()) \
+        | F.coalesce(F.size(F.split(bare, ",")) > width, F.lit(False))
     value = [missing_to_null(F.get("cells", F.get("places", F.lit(i)) - 1), missing_tokens).alias(n)
              for i, n in enumerate(columns)]
-    return named.where(is_data).select(*value, "cells", "header", "source_file", "source_start", "source_row")
+    return named.select(*value, "cells", "header", "source_file", "source_start", "source_row", "raw",
+                        (~beyond).alias("cells_fit"))
 
 
 def read_csv_landing(spark: SparkSession, path: str, columns: dict[str, str],

@@ -52,6 +52,23 @@ def test_landing_reads_by_name_whatever_the_header(spark, tmp_path):
     assert [r["winner"] for r in typed if r["matchdate"] == dt.date(2024, 1, 9)] == [None]
 
 
+def test_repeated_headers_and_long_rows_are_counted(spark, tmp_path):
+    text = "Date,Player 1,Player 2,Player 1 Score,Player 2 Score,Winner"
+    landing = land(tmp_path / "in", {
+        "a.csv": "\n".join(["", text, "2024-01-01,Ann,Bob,3,1,Ann", text, "2024-01-02,Ann,Bob,3,1,Ann,extra",
+                            "2024-01-03,Ann,Bob,3,1,Ann,,", '2024-01-04,"A, nn",Bob,3,1,Bob', "2024-01-05,Ann,Bob,x"]),
+        "b.csv": "Player 1,Player 2\nAnn,Bob,left over\nAnn,Bob"})
+    warehouse = str(tmp_path / "wh")
+    audit = jobs.job_results_load(spark, landing, warehouse).first()
+    assert (audit["rows_read"], audit["rows_clean"], audit["failed_cells_fit"]) == (8, 3, 2)
+    kept_back = jobs.read_rejects(spark, warehouse, "results", schemas.RESULTS_STAGED).collect()
+    raw = {r["raw"].rstrip(","): r["failed"] for r in kept_back}
+    assert set(raw) == {text, "2024-01-02,Ann,Bob,3,1,Ann,extra", "2024-01-05,Ann,Bob,x", "Ann,Bob,left over", "Ann,Bob"}
+    assert raw["2024-01-02,Ann,Bob,3,1,Ann,extra"] == ["cells_fit"]
+    rows = csv_landing.read_csv_landing(spark, landing, schemas.RESULTS_CSV, with_source=True)
+    assert rows.where(~F.col("cells_fit")).count() == 2 and rows.count() == 8
+
+
 def test_results_job_gates_and_keeps_the_first(spark, tmp_path):
     landing, warehouse = results_files(tmp_path / "in"), str(tmp_path / "wh")
     audit = jobs.job_results_load(spark, landing, warehouse).first().asDict()

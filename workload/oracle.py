@@ -340,7 +340,29 @@ FROM customer LEFT JOIN (SELECT o_custkey, max(o_totalprice) AS top, max(o_order
 SELECT l_partkey, l_returnflag, 2 * count(*) AS n, round(max(l_extendedprice), 2) AS top
 FROM lineitem GROUP BY 1, 2""",
     "csv_landing": _with(MATCHES, LANDED) + """
-SELECT match_id, matchdate::VARCHAR AS matchdate, player1, player2, player1score, player2score, winner FROM landed""",
+SELECT match_id, NOT (match_id % 3 = 0 AND match_id % 11 = 0) AS cells_fit, matchdate::VARCHAR AS matchdate,
+       player1, player2, player1score, player2score, winner FROM landed
+UNION ALL SELECT NULL, true, NULL, 'Player 1', 'Player 2', NULL, NULL, 'Winner' FROM m
+WHERE match_id % 3 = 0 AND match_id % 101 = 0""",
+    "csv_rejects": _with(MATCHES) + """
+, t AS (
+  SELECT match_id AS i, match_id || ',' || matchdate AS head,
+         player1score || CASE WHEN match_id % 2 = 0 THEN '.0' ELSE '' END AS s1,
+         CASE WHEN match_id % 37 = 0 THEN 'abc' ELSE player2score::VARCHAR END AS s2, player1 AS p1,
+         CASE WHEN match_id % 31 = 0 THEN 'N/A' ELSE player2 END AS p2, winner AS w, matchdate FROM m),
+u AS (
+  SELECT CASE i % 3 WHEN 0 THEN concat_ws(',', head, p1, p2, s1, s2, w) || CASE WHEN i % 11 = 0 THEN ',,extra' ELSE '' END
+                    WHEN 1 THEN concat_ws(',', w, s2, s1, p2, p1, matchdate, i)
+                    ELSE concat_ws(',', head, p1, p2, s1, s2, '"90,5"') END AS raw,
+         concat_ws(',', CASE WHEN p2 = 'N/A' THEN 'player2' END, CASE WHEN s2 = 'abc' THEN 'player2score' END,
+                   CASE WHEN i % 3 = 2 THEN 'winner' END,
+                   CASE WHEN i % 3 = 2 OR (p2 = 'N/A' AND w <> p1) THEN 'winner_is_a_player' END,
+                   CASE WHEN p2 = 'N/A' THEN 'two_players' END,
+                   CASE WHEN i % 3 = 0 AND i % 11 = 0 THEN 'cells_fit' END) AS failed FROM t)
+SELECT raw, failed FROM u WHERE failed <> ''
+UNION ALL SELECT 'Match Id,Date,Player 1,Player 2,Player 1 Score,Player 2 Score,Winner',
+                 'matchdate,player1score,player2score,winner_is_a_player' FROM m
+WHERE match_id % 3 = 0 AND match_id % 101 = 0""",
     "csv_wide": _with(MATCHES, LINES) + """
 SELECT lines.id, line, matchdate::VARCHAR AS matchdate, player1,
        CASE WHEN lines.id % 41 = 0 THEN '' ELSE player2 END AS player2,
@@ -351,9 +373,15 @@ SELECT lines.id, line, matchdate::VARCHAR AS matchdate, player1,
 FROM (SELECT *, CASE WHEN line % 3 = 0 THEN 3 ELSE line % 3 END AS bk FROM lines) lines JOIN m ON m.match_id = lines.id""",
     "dated_csv": _with(MATCHES) + "SELECT match_id, matchdate::VARCHAR AS matchdate, player1 FROM m",
     "upcoming_job": _with(MATCHES, LINES) + """
-SELECT row_number() OVER (ORDER BY matchdate, player1, player2) AS id, matchdate::VARCHAR AS matchdate, player1, player2
-FROM (SELECT DISTINCT matchdate, player1, CASE WHEN match_id % 41 = 0 THEN '' ELSE player2 END AS player2
-      FROM m JOIN lines ON lines.id = m.match_id)""",
+, landed AS (
+  SELECT matchdate, player1, CASE WHEN match_id % 41 = 0 THEN '' ELSE player2 END AS player2, match_id, line,
+         CASE WHEN line NOT IN (2, 3) THEN round(v1, 9) END AS best_p1, CASE WHEN line <> 5 THEN round(v2, 9) END AS best_p2
+  FROM m JOIN lines ON lines.id = m.match_id),
+firsts AS (
+  SELECT * FROM landed
+  QUALIFY row_number() OVER (PARTITION BY matchdate, player1, player2 ORDER BY (line + 2) % 3, match_id, line) = 1)
+SELECT row_number() OVER (ORDER BY matchdate, player1, player2) AS id, matchdate::VARCHAR AS matchdate, player1, player2,
+       best_p1, best_p2 FROM firsts""",
     "stream_landed": "SELECT event_type, count(*) AS n, max(event_id) AS last FROM events GROUP BY 1",
     "star_load_prices": _with(STAR) + """
 SELECT id AS item_id, market_id, count(*) AS n, round(max(price), 2) AS price, sum(volume)::BIGINT AS volume,

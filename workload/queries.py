@@ -401,8 +401,11 @@ def append_rows(spark, sf):
 
 # landed files
 
-def _land_results(spark, sf):
-    """Results as CSV files with three different headers."""
+def _land_results(spark, sf, odd=False):
+    """Results as CSV files with three different headers.
+
+    With ``odd`` the first of them repeats its header between the rows and holds too long rows.
+    """
     root = scratch_dir(spark, "landing")
     m = b.matches(spark, sf).select(
         F.col("match_id").alias("Match Id"), F.date_format("matchdate", "yyyy-MM-dd").alias("Date"),
@@ -414,32 +417,46 @@ def _land_results(spark, sf):
     parts = [m.where("match_id % 3 = 0"),
              m.where("match_id % 3 = 1").select(*reversed(m.columns)),
              m.where("match_id % 3 = 2").drop("Winner").withColumn("Average, Player 1", F.lit("90,5"))]
+    if odd:
+        # One column of whole lines, for the extra cells have no name.
+        line, head = F.concat_ws(",", *[F.trim(F.col(c).cast("string")) for c in m.columns]), ",".join(m.columns)
+        lines = parts[0].select("Match Id", F.concat(line, F.expr("if(`Match Id` % 11 = 0, ',,extra', '')")).alias(head))
+        again = lines.where("`Match Id` % 101 = 0").select(F.lit(head).alias(head))
+        parts[0] = lines.select(head).union(again)
     for name, part in zip("abc", parts):
-        part.write.option("header", True).option("escape", '"').csv(f"{root}/{name}")
+        sep = "\t" if len(part.columns) == 1 else ","
+        part.write.option("header", True).option("sep", sep).option("escape", '"').csv(f"{root}/{name}")
     return f"{root}/*"
 
 
 def csv_landing(spark, sf):
     columns = {"match_id": "Match Id", **schemas.RESULTS_CSV}
-    rows = landing.read_csv_landing(spark, _land_results(spark, sf), columns)
-    typed = jobs.typed_results(rows, ["match_id"])
-    return typed.select(F.col("match_id").cast("bigint").alias("match_id"), day("matchdate"), "player1", "player2",
+    rows = landing.read_csv_landing(spark, _land_results(spark, sf, odd=True), columns, with_source=True)
+    typed = jobs.typed_results(rows, ["match_id", "cells_fit"])
+    return typed.select(F.col("match_id").try_cast("bigint").alias("match_id"), "cells_fit", day("matchdate"), "player1", "player2",
                         "player1score", "player2score", "winner")
 
 
+def csv_rejects(spark, sf):
+    """The texts of the rows that the results load keeps back, and why."""
+    warehouse = scratch_dir(spark, "warehouse")
+    jobs.job_results_load(spark, _land_results(spark, sf, odd=True), warehouse)
+    return jobs.read_rejects(spark, warehouse, "results", schemas.RESULTS_STAGED).select("raw", joined("failed"))
+
+
 def _land_upcoming(spark, sf):
-    """Odds files whose bookmaker columns differ."""
+    """Odds files whose bookmaker columns differ; folder, file and line follow a fixed order."""
     root = scratch_dir(spark, "landing")
     lines = b.quoted_lines(spark, sf).join(
         b.matches(spark, sf).select(F.col("match_id").alias("id"), "matchdate", "player1", "player2"), "id")
     for n in (1, 2, 3):
-        lines.where(F.col("line") % 3 == n % 3).select(
+        lines.where(F.col("line") % 3 == n % 3).repartitionByRange("id").sortWithinPartitions("id", "line").select(
             F.col("id").alias("Match Id"), F.date_format("matchdate", "yyyy-MM-dd").alias("Date"), F.col("player1").alias("Player 1"),
             F.expr("if(id % 41 = 0, null, player2)").alias("Player 2"),
             F.col("p1").alias(f"book{n}_P1"), F.col("p2").alias(f"book{n}_P2"),
             F.col("line").alias("No"),
-        ).write.mode("append").option("header", True).csv(root)
-    return root
+        ).write.option("header", True).csv(f"{root}/{n}")
+    return f"{root}/*"
 
 
 def csv_wide(spark, sf):
@@ -473,7 +490,10 @@ def upcoming_job(spark, sf):
     warehouse = scratch_dir(spark, "warehouse")
     jobs.job_upcoming_load(spark, _land_upcoming(spark, sf), warehouse)
     gold = tables.read_all(spark, f"{warehouse}/upcoming_gold", "rows", schemas.UPCOMING)
-    return gold.select("id", day("matchdate"), "player1", "player2")
+    m = odds.parse_odds("odds")
+    return gold.select("id", day("matchdate"), "player1", "player2",
+                       F.round(odds.best_odds(m, "_P1"), 9).alias("best_p1"),
+                       F.round(odds.best_odds(m, "_P2"), 9).alias("best_p2"))
 
 
 def match_chain(spark, sf):
@@ -656,7 +676,7 @@ ALL = {f.__name__: f for f in (
     best_odds, implied_edge, devig, win_probability, log_loss_winner, log_loss_clipped, brier, wide_to_map,
     match_sides, quality_gate_clean, quality_gate_rejects, quality_gate_audit, quality_gate_blank, safe_casts,
     parse_datetimes, insert_if_absent, insert_if_absent_idempotent, load_audit, surrogate_ids, upsert_last_wins,
-    update_columns, truncate_and_load, append_rows, csv_landing, csv_wide, dated_csv, results_job, upcoming_job,
+    update_columns, truncate_and_load, append_rows, csv_landing, csv_rejects, csv_wide, dated_csv, results_job, upcoming_job,
     match_chain, stream_landed, star_load_prices, star_items, snapshot_pages, flat_json_items, listing_filter,
     symbol_extract, newest_posts_symbols, newest_rows, newest_preview, page_titles, page_links, match_pages,
     odds_blocks, blocks_to_odds, match_list, region_links, pages_to_csv, upcoming_pages_to_csv)}
