@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.convert import first_non_empty, number_or_zero
 from ..schemas import MARKETS
+from ..session import stage
 from .keyed import insert_if_absent, max_id, with_surrogate_ids
 
 # Per kind of listing, the fields of price and volume and the sales fee.
@@ -44,11 +45,11 @@ def add_market(markets: DataFrame, market: str, fee: float) -> tuple[DataFrame,
     return markets.unionByName(row), new_id
 
 
-def add_names(dimension: DataFrame, batch: DataFrame, id_col: str = "id") -> DataFrame:
-    """``dimension`` with the names of ``batch`` it lacks, numbered in name order."""
+def new_names(dimension: DataFrame, batch: DataFrame, id_col: str = "id") -> DataFrame:
+    """The names of ``batch`` that ``dimension`` lacks, numbered after its highest id in name order."""
     new = insert_if_absent(dimension, batch, ["name"])
     numbered = with_surrogate_ids(new, max_id(dimension, id_col), ["name"], id_col)
-    return dimension.unionByName(numbered.select(*dimension.columns))
+    return numbered.select(*dimension.columns)
 
 
 def resolve_prices(rows: DataFrame, items: DataFrame, market_id: int) -> DataFrame:
@@ -60,11 +61,12 @@ def resolve_prices(rows: DataFrame, items: DataFrame, market_id: int) -> DataFra
 
 def load_star(markets: DataFrame, items: DataFrame, listing: DataFrame, fields: dict[str, str],
               market: str, fee: float) -> Star:
-    """One snapshot of one market: new dimension tables and the price rows to append.
+    """One snapshot of one market: all markets, and the items and price rows to append.
 
-    Dimensions keep the first row of a name; an item listed twice gives two price rows.
+    Dimensions keep the first row of a name; an item listed twice gives two price rows. The
+    listing is parsed once.
     """
-    rows = named_prices(listing, fields)
+    rows = stage(named_prices(listing, fields), "listed")
     all_markets, market_id = add_market(markets, market, fee)
-    all_items = add_names(items, rows.select("name"))
-    return Star(all_markets, all_items, resolve_prices(rows, all_items, market_id))
+    added = stage(new_names(items, rows.select("name")), "new-items")
+    return Star(all_markets, added, resolve_prices(rows, items.unionByName(added), market_id))

@@ -20,7 +20,7 @@ from ..operators.quality import quality_gate, two_player_rules
 from ..operators.ranking import latest_ratings, register_entities, unprocessed, without
 from ..operators.reshape import blocks_to_odds_map, map_to_wide
 from ..operators.star import Star, load_star
-from ..session import stage
+from ..session import stage, temporary_stages
 from ..sources import tables
 from ..sources.csv_landing import SOURCE, read_csv_landing, read_csv_wide
 from ..sources.pages import extract_match_pages, extract_odds_blocks
@@ -50,11 +50,12 @@ def _publish(spark: SparkSession, root: str, batch: DataFrame, keys: list[str],
              id_col: str, schema: T.StructType, ids_by: list[str], prune_by: str | None = None) -> DataFrame:
     """Append the rows of ``batch`` whose key the table lacks, numbered from its highest id."""
     target = tables.read_all(spark, root, "rows", schema)
-    # Written once before it is numbered: the range sort reads its input twice.
-    new = stage(insert_if_absent(target, batch, keys, order, prune_by), "new-rows")
-    numbered = with_surrogate_ids(new.select(*[c for c in schema.names if c != id_col]),
-                                  max_id(target, id_col), ids_by, id_col)
-    version = tables.commit_version(spark, root, {"rows": numbered.select(*schema.names)})
+    with temporary_stages(spark):
+        # Written once before it is numbered: the range sort reads its input twice.
+        new = stage(insert_if_absent(target, batch, keys, order, prune_by), "new-rows")
+        numbered = with_surrogate_ids(new.select(*[c for c in schema.names if c != id_col]),
+                                      max_id(target, id_col), ids_by, id_col)
+        version = tables.commit_version(spark, root, {"rows": numbered.select(*schema.names)})
     return spark.read.schema(schema).parquet(f"{root}/v{version}/rows")
 
 
@@ -77,6 +78,7 @@ def _load(spark: SparkSession, warehouse: str, name: str, typed: DataFrame, sche
                         rules={**rules, "cells_fit": F.col("cells_fit")})
     tables.commit_version(spark, f"{warehouse}/{name}_silver", {
         "rows": gate.clean.select(*clean_schema.names), "rejects": gate.rejects})
+    tables.expire_versions(spark, f"{warehouse}/{name}_silver", 2)
     silver = tables.read_latest(spark, f"{warehouse}/{name}_silver", "rows", clean_schema)
     inserted = _publish(spark, f"{warehouse}/{name}_gold", silver, ["player1", "player2", "matchdate"],
                         ["source_file", "source_start", "id"], gold_id, gold_schema,
@@ -91,11 +93,12 @@ def job_results_load(spark: SparkSession, landing: str, warehouse: str,
     ``pool`` tells which closed group of players a row belongs to, from the landed columns or
     ``source_file``. Ratings run pool by pool; without it all matches are one pool.
     """
-    landed = read_csv_landing(spark, landing, schemas.RESULTS_CSV, with_source=True)
-    return _load(spark, warehouse, "results", typed_results(landed, SOURCE, pool),
-                 schemas.RESULTS_STAGED, schemas.RESULTS_MANDATORY,
-                 two_player_rules() if reject_odd_winners else {}, False,
-                 "match_id", schemas.RESULTS_GOLD)
+    with temporary_stages(spark):
+        landed = read_csv_landing(spark, landing, schemas.RESULTS_CSV, with_source=True)
+        return _load(spark, warehouse, "results", typed_results(landed, SOURCE, pool),
+                     schemas.RESULTS_STAGED, schemas.RESULTS_MANDATORY,
+                     two_player_rules() if reject_odd_winners else {}, False,
+                     "match_id", schemas.RESULTS_GOLD)
 
 
 def read_rejects(spark: SparkSession, warehouse: str, name: str, schema: T.StructType) -> DataFrame:
@@ -108,10 +111,11 @@ def read_rejects(spark: SparkSession, warehouse: str, name: str, schema: T.Struc
 def job_upcoming_load(spark: SparkSession, landing: str, warehouse: str,
                       blank_is_null: bool = False) -> DataFrame:
     """Landed odds files to bronze, silver and gold. The first odds of a match stay."""
-    landed = read_csv_wide(spark, landing, schemas.UPCOMING_CSV, with_source=True)
-    return _load(spark, warehouse, "upcoming", typed_upcoming(landed, SOURCE),
-                 schemas.UPCOMING, schemas.UPCOMING_MANDATORY, {}, blank_is_null,
-                 "id", schemas.UPCOMING)
+    with temporary_stages(spark):
+        landed = read_csv_wide(spark, landing, schemas.UPCOMING_CSV, with_source=True)
+        return _load(spark, warehouse, "upcoming", typed_upcoming(landed, SOURCE),
+                     schemas.UPCOMING, schemas.UPCOMING_MANDATORY, {}, blank_is_null,
+                     "id", schemas.UPCOMING)
 
 
 def read_ratings(spark: SparkSession, root: str, pool_col: str = "pool",
@@ -133,11 +137,12 @@ def update_ratings(spark: SparkSession, root: str, gold: DataFrame, pool_col: st
     held = tables.version_of(spark, root, tag) if tag else None
     if held is not None:
         return spark.read.schema(log.schema).parquet(f"{root}/v{held}/log")
-    rated = stage(elo_log(unprocessed(gold, log), rankings, pool_col, **elo_options), "rated")
-    changed = latest_ratings(rated, pool_col).select(*rankings.columns)
-    newcomers = register_entities(rankings, gold, pool_col=pool_col).select(*rankings.columns)
-    after = without(rankings.unionByName(newcomers), changed, [pool_col, "player"]).unionByName(changed)
-    version = tables.commit_version(spark, root, {"log": rated, "rankings": after}, tag)
+    with temporary_stages(spark):
+        rated = stage(elo_log(unprocessed(gold, log), rankings, pool_col, **elo_options), "rated")
+        changed = latest_ratings(rated, pool_col).select(*rankings.columns)
+        newcomers = register_entities(rankings, gold, pool_col=pool_col).select(*rankings.columns)
+        after = without(rankings.unionByName(newcomers), changed, [pool_col, "player"]).unionByName(changed)
+        version = tables.commit_version(spark, root, {"log": rated, "rankings": after}, tag)
     return spark.read.schema(log.schema).parquet(f"{root}/v{version}/log")
 
 
@@ -197,11 +202,12 @@ def job_market_snapshot(spark: SparkSession, warehouse: str, listing: DataFrame,
                         market: str, fee: float) -> Star:
     """Load one listing: dimensions and price rows become visible together."""
     root = f"{warehouse}/market"
-    star = load_star(tables.read_latest(spark, root, "markets", schemas.MARKETS),
-                     tables.read_latest(spark, root, "items", schemas.ITEMS), listing, fields, market, fee)
-    tables.commit_version(spark, root, star._asdict())
+    with temporary_stages(spark):
+        star = load_star(tables.read_latest(spark, root, "markets", schemas.MARKETS),
+                         tables.read_all(spark, root, "items", schemas.ITEMS), listing, fields, market, fee)
+        tables.commit_version(spark, root, star._asdict())
     return Star(tables.read_latest(spark, root, "markets", schemas.MARKETS),
-                tables.read_latest(spark, root, "items", schemas.ITEMS),
+                tables.read_all(spark, root, "items", schemas.ITEMS),
                 tables.read_all(spark, root, "prices", schemas.PRICES))
 
 

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Folders made inside the innermost ``temporary_stages`` of this thread.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def get_session(app: str = "duelmetrics", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the operators assume: UTC, ANSI, AQE."""
     builder = SparkSession.builder.appName(app)
@@ -41,7 +48,31 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="duelmetrics-"))
         root = sc.getCheckpointDir()
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _made.get() is not None:
+        _made.get().append(path)
+    return path
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Delete the folders staged inside at the end, also after an error.
+
+    For jobs whose results are committed tables: a DataFrame that still reads a staged folder
+    must not leave the block.
+    """
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        for path in _made.get():
+            delete_folder(spark, path)
+        _made.reset(token)
 
 
 def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:

@@ -27,11 +27,10 @@ def read_json_pages(spark: SparkSession, path: str, schema: T.StructType = schem
 
 
 def read_json_items(spark: SparkSession, path: str, schema: T.StructType = schemas.FLAT_LISTING,
-                    multi_line: bool = True) -> DataFrame:
-    """One row per object of the top-level array of each file.
+                    multi_line: bool = False) -> DataFrame:
+    """One row per object of each line's top-level array; Spark splits large files.
 
-    With ``multi_line=False`` every line of a file holds a payload of its own, which lets
-    Spark split large files.
+    With ``multi_line=True`` a file is one payload over several lines, read whole by a task.
     """
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import empty
+from ..session import delete_folder
 
 
 def read_table(spark: SparkSession, name: str, columns: list[str] | None = None,
@@ -102,9 +103,22 @@ def read_all(spark: SparkSession, root: str, name: str, schema: T.StructType) ->
     return spark.read.schema(schema).parquet(*[f"{root}/v{v}/{name}" for v in done])
 
 
-def truncate_and_load(df: DataFrame, root: str, name: str = "rows") -> int:
-    """Replace the table's contents by ``df``, which may read the old contents."""
-    return commit_version(df.sparkSession, root, {name: df})
+def expire_versions(spark: SparkSession, root: str, keep: int) -> None:
+    """Delete all but the newest ``keep`` versions: for tables of which only the newest counts."""
+    for old in versions(spark, root)[:-keep]:
+        delete_folder(spark, f"{root}/v{old}")
+
+
+def truncate_and_load(df: DataFrame, root: str, name: str = "rows", keep: int = 2) -> int:
+    """Replace the table's contents by ``df``, which may read the old contents.
+
+    ``keep`` versions stay, so that whoever reads the one before may finish.
+    """
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
+    version = commit_version(df.sparkSession, root, {name: df})
+    expire_versions(df.sparkSession, root, keep)
+    return version
 
 
 def append_rows(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:

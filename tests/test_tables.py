@@ -1,6 +1,7 @@
 """Keyed writes, versions, gate, star schema."""
 
 import datetime as dt
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -8,6 +9,7 @@ from duelmetrics import schemas
 from duelmetrics.operators import keyed, quality, ranking, reshape, star
 from duelmetrics.plans import jobs
 from duelmetrics.plans.mentions import symbol_mentions
+from duelmetrics.session import scratch_dir
 from duelmetrics.sources import json_payloads, sinks, tables
 
 KV = "k string, d int, v string, at int"
@@ -80,6 +82,28 @@ def test_versions_replace_append_and_ignore_unfinished(spark, tmp_path):
     assert rows(tables.read_all(spark, root, "rows", schemas.RANKINGS)) == [("a", 1), ("a", 2)]
 
 
+def test_reload_keeps_the_newest_versions(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for elo in (1, 2, 3):
+        tables.truncate_and_load(spark.createDataFrame([("a", elo)], schemas.RANKINGS), root)
+    assert tables.versions(spark, root) == [2, 3] and not (tmp_path / "t" / "v1").exists()
+    assert rows(tables.read_latest(spark, root, "rows", schemas.RANKINGS)) == [("a", 3)]
+
+
+def test_jobs_leave_nothing_staged(spark, tmp_path):
+    left = Path(scratch_dir(spark, "probe").removeprefix("file:")).parent
+    before = set(left.iterdir()) if left.exists() else set()
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "r.csv").write_text(
+        "Date,Player 1,Player 2,Player 1 Score,Player 2 Score,Winner\n2024-01-01,a,b,3,1,a\n2024-01-02,a,b,3,1,b")
+    warehouse = str(tmp_path / "wh")
+    jobs.job_results_load(spark, str(tmp_path / "in"), warehouse).collect()
+    jobs.job_rating_update(spark, warehouse).collect()
+    listing = spark.createDataFrame([("knife", None, "10.5", "3")], schemas.FLAT_LISTING)
+    jobs.job_market_snapshot(spark, warehouse, listing, star.FLAT_FIELDS, "east", star.FLAT_FEE)
+    assert set(left.iterdir()) == before
+
+
 def test_lookup_with_default(spark, tmp_path):
     path = str(tmp_path / "ranks")
     spark.createDataFrame([("a", 1600)], "player string, elo int").write.parquet(path)
@@ -137,7 +161,7 @@ def test_paged_listing_rules(spark, tmp_path):
 
 def test_flat_listing_array_over_several_lines(spark, tmp_path):
     (tmp_path / "f.json").write_text('[\n {"market_hash_name": "a", "min_price": 1.5, "quantity": 2},\n {"name": "b"}\n]')
-    got = json_payloads.read_json_items(spark, str(tmp_path))
+    got = json_payloads.read_json_items(spark, str(tmp_path), multi_line=True)
     assert rows(got.select("market_hash_name", "name", "min_price")) == [("a", None, "1.5"), (None, "b", None)]
     assert json_payloads.listing_filter(got, name="b").count() == 1
 

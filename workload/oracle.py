@@ -170,6 +170,13 @@ p AS (SELECT doc_id AS id, 1700000000 + doc_id * 3600 AS created_utc, source AS
 TITLE = _plain("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")
 HEADING = _plain("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")
 
+PAGED = """
+SELECT l_suppkey AS market, CASE WHEN l_partkey % 6 = 0 THEN 'alt ' || l_partkey ELSE 'part ' || l_partkey END AS name,
+       CASE WHEN l_partkey % 7 = 0 THEN 0 ELSE max(l_extendedprice) END AS price, sum(l_quantity)::INTEGER AS volume
+FROM lineitem
+WHERE (l_partkey % 120 + 1) % 9 <> 0 AND l_partkey % 12 <> 0
+GROUP BY l_suppkey, l_partkey"""
+
 ALL = {
     "elo_log": _with(*POOLED) + SHOW_LOG,
     "elo_incremental": _with(*POOLED) + SHOW_LOG,
@@ -200,6 +207,16 @@ FROM asof1 JOIN asof2 USING (match_id)""",
     "asof_count": _with(*POOLED, STATES) + """
 SELECT match_id, asof1.n AS player1_match_count, asof2.n AS player2_match_count
 FROM asof1 JOIN asof2 USING (match_id)""",
+    "asof_null_value": """
+WITH f AS (SELECT o_custkey, o_orderdate::DATE AS d, o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS v
+           FROM orders),
+q AS (SELECT DISTINCT o_custkey, d FROM f)
+SELECT q.o_custkey, q.d::VARCHAR AS day,
+       coalesce(arg_max(f.v, (f.d, f.o_orderkey)) FILTER (f.v IS NOT NULL), -1.0) AS last, count(f.o_orderkey) AS n
+FROM q LEFT JOIN f ON f.o_custkey = q.o_custkey AND f.d < q.d GROUP BY q.o_custkey, q.d""",
+    "lookup_default": """
+SELECT o_orderkey, coalesce(c_nationkey, -1)::BIGINT AS nation
+FROM orders LEFT JOIN customer ON c_custkey = o_custkey * 2""",
     "predict": _with(*POOLED, STATES, LINES, PRED) + f"""
 SELECT match_id, matchdate::VARCHAR AS matchdate, player1, player2, n1::INTEGER AS player1_match_count,
        n2::INTEGER AS player2_match_count, e1 AS player1_elo, e2 AS player2_elo,
@@ -384,17 +401,18 @@ SELECT row_number() OVER (ORDER BY matchdate, player1, player2) AS id, matchdate
        best_p1, best_p2 FROM firsts""",
     "stream_landed": "SELECT event_type, count(*) AS n, max(event_id) AS last FROM events GROUP BY 1",
     "star_load_prices": _with(STAR) + """
+, paged AS ({PAGED}),
+more AS (SELECT name, row_number() OVER (ORDER BY name) + (SELECT count(*) FROM items) AS id
+         FROM (SELECT DISTINCT name FROM paged WHERE name NOT IN (SELECT name FROM items))),
+known AS (SELECT name, id FROM items UNION ALL SELECT name, id FROM more),
+listed AS (SELECT 1 AS market_id, name, price, volume FROM l UNION ALL SELECT 2, name, price, volume FROM paged)
 SELECT id AS item_id, market_id, count(*) AS n, round(max(price), 2) AS price, sum(volume)::BIGINT AS volume,
-       items.name AS item, market, fee_percent
-FROM l JOIN items USING (name), (VALUES (1, 'east', 0.12::DOUBLE), (2, 'west', 0.02::DOUBLE)) k(market_id, market, fee_percent)
-GROUP BY ALL""",
+       known.name AS item, market, fee_percent
+FROM listed JOIN known USING (name)
+JOIN (VALUES (1, 'east', 0.12::DOUBLE), (2, 'west', 0.02::DOUBLE)) k(market_id, market, fee_percent) USING (market_id)
+GROUP BY ALL""".replace("{PAGED}", PAGED),
     "star_items": _with(STAR) + "SELECT id, name FROM items",
-    "snapshot_pages": """
-SELECT l_suppkey AS market, CASE WHEN l_partkey % 6 = 0 THEN 'alt ' || l_partkey ELSE 'part ' || l_partkey END AS name,
-       CASE WHEN l_partkey % 7 = 0 THEN 0 ELSE max(l_extendedprice) END AS price, sum(l_quantity)::INTEGER AS volume
-FROM lineitem
-WHERE (l_partkey % 120 + 1) % 9 <> 0 AND l_partkey % 12 <> 0
-GROUP BY l_suppkey, l_partkey""",
+    "snapshot_pages": PAGED,
     "flat_json_items": _with(STAR) + """
 SELECT name, 2 * count(*) AS n, round(max(price), 2) AS price, 2 * sum(volume)::BIGINT AS volume
 FROM l WHERE name IS NOT NULL GROUP BY name""",

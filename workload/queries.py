@@ -148,6 +148,22 @@ def asof_count(spark, sf):
     return asof.asof_count(m, log).select("match_id", "player1_match_count", "player2_match_count")
 
 
+def asof_null_value(spark, sf):
+    """Every third price is unknown: it counts, but never hides an earlier one."""
+    facts = b.table(spark, sf, "orders").select(
+        "o_custkey", F.col("o_orderdate").cast("date").alias("day"), "o_orderkey",
+        F.expr("if(o_orderkey % 3 = 0, null, o_totalprice)").alias("price"))
+    states = asof.asof_states(facts, facts, "o_custkey", "day", "o_orderkey", "price")
+    return states.select("o_custkey", day("day"), F.coalesce("last", F.lit(-1.0)).alias("last"), "n")
+
+
+def lookup_default(spark, sf):
+    nations = tables.read_lookup(spark, f"{sf}/customer.parquet", "c_custkey", "c_nationkey")
+    o = b.table(spark, sf, "orders").select("o_orderkey", (F.col("o_custkey") * 2).alias("asked"))
+    found = tables.left_lookup(o, nations, "asked", "c_custkey", "c_nationkey", "nation", -1)
+    return found.select("o_orderkey", F.col("nation").cast("bigint").alias("nation"))
+
+
 PREDICTED = ["player1_elo", "player2_elo", "predicted_p1_prob", "predicted_p2_prob", "best_p1_odds",
              "best_p1_implied_prob", "value_p1", "best_p2_odds", "best_p2_implied_prob", "value_p2"]
 
@@ -534,11 +550,12 @@ def _star_parts(spark, sf):
 
 
 def star_load_prices(spark, sf):
-    """The whole listing loaded for two markets, one after the other."""
-    warehouse = scratch_dir(spark, "market")
-    listing = _star_parts(spark, sf)
-    jobs.job_market_snapshot(spark, warehouse, listing, star.FLAT_FIELDS, "east", star.FLAT_FEE)
-    s = jobs.job_market_snapshot(spark, warehouse, listing, star.FLAT_FIELDS, "west", star.PAGED_FEE)
+    """A flat listing for one market, then the landed pages of a paged one for another."""
+    warehouse, path = scratch_dir(spark, "market"), scratch_dir(spark, "pages")
+    jobs.job_market_snapshot(spark, warehouse, _star_parts(spark, sf), star.FLAT_FIELDS, "east", star.FLAT_FEE)
+    b.paged_listings(spark, sf).write.json(path)
+    paged = json_payloads.read_json_pages(spark, path)
+    s = jobs.job_market_snapshot(spark, warehouse, paged, star.PAGED_FIELDS, "west", star.PAGED_FEE)
     return s.prices.groupBy("item_id", "market_id").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.max("price"), 2).alias("price"), F.sum("volume").alias("volume")) \
         .join(s.items.select(F.col("id").alias("item_id"), F.col("name").alias("item")), "item_id") \
@@ -564,7 +581,7 @@ def flat_json_items(spark, sf):
     path = scratch_dir(spark, "flat")
     offer = F.struct("market_hash_name", "name", "min_price", "quantity")
     _star_parts(spark, sf).select(F.to_json(F.array(offer, offer)).alias("value")).write.text(path)
-    items = json_payloads.read_json_items(spark, path, multi_line=False)
+    items = json_payloads.read_json_items(spark, path)
     return star.named_prices(items, star.FLAT_FIELDS).groupBy("name").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.max("price"), 2).alias("price"), F.sum("volume").alias("volume"))
 
@@ -672,7 +689,7 @@ def upcoming_pages_to_csv(spark, sf):
 
 ALL = {f.__name__: f for f in (
     elo_log, elo_rankings, elo_incremental, elo_single_pool, elo_hot_pool, late_match, stream_rated, register_entities,
-    unprocessed, pending, pending_count, asof_own, asof_first_slot, asof_count, predict, backtest, odds_refresh,
+    unprocessed, pending, pending_count, asof_own, asof_first_slot, asof_count, asof_null_value, lookup_default, predict, backtest, odds_refresh,
     best_odds, implied_edge, devig, win_probability, log_loss_winner, log_loss_clipped, brier, wide_to_map,
     match_sides, quality_gate_clean, quality_gate_rejects, quality_gate_audit, quality_gate_blank, safe_casts,
     parse_datetimes, insert_if_absent, insert_if_absent_idempotent, load_audit, surrogate_ids, upsert_last_wins,
