@@ -482,3 +482,33 @@ ALL["results_job"] = _with(MATCHES, LANDED) + """
 SELECT row_number() OVER (ORDER BY matchdate, player1, player2) AS match_id, matchdate::VARCHAR AS matchdate,
        player1, player2, player1score, player2score, winner
 FROM ok"""
+ALL["file_chain"] = _with(
+    MATCHES.replace("m AS MATERIALIZED (", "mall AS (") + """,
+ok AS (
+  SELECT * FROM mall WHERE match_id % 31 <> 0 AND match_id % 37 <> 0 AND match_id % 3 <> 2
+    AND NOT (match_id % 3 = 0 AND match_id % 11 = 0)
+  QUALIFY row_number() OVER (PARTITION BY player1, player2, matchdate ORDER BY match_id % 3, match_id) = 1),
+m AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY matchdate, player1, player2) AS match_id, matchdate, pool, a, b, won, places,
+         player1, player2, winner,
+         row_number() OVER (PARTITION BY pool ORDER BY matchdate, player1, player2) AS rn FROM ok)""",
+    LOG, LINES, """
+offered AS (
+  SELECT matchdate, player1, CASE WHEN match_id % 41 = 0 THEN '' ELSE player2 END AS player2, match_id AS source, line,
+         CASE WHEN line NOT IN (2, 3) THEN v1 END AS o1, CASE WHEN line <> 5 THEN v2 END AS o2
+  FROM mall JOIN lines ON lines.id = mall.match_id),
+up AS (
+  SELECT row_number() OVER (ORDER BY matchdate, player1, player2) AS match_id, matchdate, player1, player2, o1, o2
+  FROM offered
+  QUALIFY row_number() OVER (PARTITION BY matchdate, player1, player2 ORDER BY (line + 2) % 3, source, line) = 1)""",
+    STATES.replace("FROM m q", "FROM up q"), """
+pred AS (
+  SELECT up.*, asof1.n AS n1, 1 / (1 + pow(10, (coalesce(asof2.own, 1500) - coalesce(asof1.own, 1500)) / 400.0)) AS p1
+  FROM up JOIN asof1 USING (match_id) JOIN asof2 USING (match_id)),
+done AS (SELECT row_number() OVER (ORDER BY match_id) AS prediction_id, * FROM pred)""") + f"""
+SELECT row_number() OVER (ORDER BY prediction_id) AS id, prediction_id, done.player1, done.player2,
+       r.winner AS actual_winner, n1::INTEGER AS player1_match_count, {R('p1', 'predicted_p1_prob')},
+       {R('o2', 'best_p2_odds')},
+       {R('-ln(CASE WHEN r.winner = done.player1 THEN p1 ELSE 1 - p1 END)', 'log_loss')}
+FROM done JOIN (SELECT player1, player2, matchdate, winner FROM m) r USING (player1, player2, matchdate)
+WHERE done.matchdate < TIMESTAMP '{AS_OF}'"""

@@ -526,6 +526,25 @@ def match_chain(spark, sf):
                          rounded("predicted_p1_prob"), rounded("best_p2_odds"), rounded("log_loss"))
 
 
+def file_chain(spark, sf):
+    """Landed results and odds to published tables, ratings, predictions and backtest; run twice.
+
+    The second run reads the same files again and adds nothing.
+    """
+    warehouse = scratch_dir(spark, "warehouse")
+    results, upcoming = _land_results(spark, sf, odd=True), _land_upcoming(spark, sf)
+    pool = F.expr("try_cast(substring(trim(player1), 2) as bigint) div 5")
+    for _ in range(2):
+        jobs.job_results_load(spark, results, warehouse, pool=pool)
+        jobs.job_upcoming_load(spark, upcoming, warehouse)
+        jobs.job_rating_update(spark, warehouse)
+        jobs.job_predict(spark, warehouse, AS_OF)
+        jobs.job_backtest(spark, warehouse, AS_OF)
+    scored = tables.read_all(spark, f"{warehouse}/backtest_log", "rows", schemas.BACKTEST_LOG)
+    return scored.select("id", "prediction_id", "player1", "player2", "actual_winner", "player1_match_count",
+                         rounded("predicted_p1_prob"), rounded("best_p2_odds"), rounded("log_loss"))
+
+
 def stream_landed(spark, sf):
     root = scratch_dir(spark, "stream")
     schema = b.table(spark, sf, "events").schema
@@ -694,6 +713,6 @@ ALL = {f.__name__: f for f in (
     match_sides, quality_gate_clean, quality_gate_rejects, quality_gate_audit, quality_gate_blank, safe_casts,
     parse_datetimes, insert_if_absent, insert_if_absent_idempotent, load_audit, surrogate_ids, upsert_last_wins,
     update_columns, truncate_and_load, append_rows, csv_landing, csv_rejects, csv_wide, dated_csv, results_job, upcoming_job,
-    match_chain, stream_landed, star_load_prices, star_items, snapshot_pages, flat_json_items, listing_filter,
+    match_chain, file_chain, stream_landed, star_load_prices, star_items, snapshot_pages, flat_json_items, listing_filter,
     symbol_extract, newest_posts_symbols, newest_rows, newest_preview, page_titles, page_links, match_pages,
     odds_blocks, blocks_to_odds, match_list, region_links, pages_to_csv, upcoming_pages_to_csv)}
