@@ -78,6 +78,27 @@ def test_small_regions_find_the_same(spark, crowd):
     assert np.mean(agree) > 0.97
 
 
+def test_small_regions_find_all(spark, crowd):
+    got = judged(spark, crowd, region_rows=16)
+    assert {i: r.component_id for i, r in got.items()} == {i: c for i, (_, c) in components(crowd).items()}
+
+
+def test_pairs_among_texts_from_one_template(spark):
+    """All texts are about 0.75 alike; only the pairs of some reach 0.85, and no region of 16 holds them all."""
+    rng = np.random.default_rng(23)
+    rows = []
+    for k in range(240):
+        own = [f"o{k}x{n}" for n in range(22)]
+        rows.append((2 * k, " ".join([f"t{n}" for n in range(180)] + own)))
+        if k % 3 == 0:
+            at = int(rng.integers(1, 6))
+            rows.append((2 * k + 1, " ".join([f"t{n}" for n in range(180)] + own[:-at] + [f"p{k}x{n}" for n in range(12 + at)])))
+    want = {i: c for i, (_, c) in components(rows).items()}
+    assert 60 < sum(i != c for i, c in want.items()) <= 80
+    got = judged(spark, rows, region_rows=16)
+    assert {i: r.component_id for i, r in got.items()} == want
+
+
 def test_whole_signatures_alike(spark):
     """Sets that differ in one of very many shingles often have one signature."""
     words = [f"w{k}" for k in range(6000)]
