@@ -26,6 +26,8 @@ SAMPLE_DOC_CHARS = 20_000
 SAMPLE_CHARS = 40_000
 #: Phrases end at multiples of so many characters, so that long texts are parsed in parallel.
 BLOCK = 2048
+#: Columns of the table of moves: the gap, unknown letters and the most frequent letters. Moves by other letters are looked up.
+DENSE = 64
 _SLICE_CHARS = 3_000_000
 
 _parsers: dict[tuple, "Parser"] = {}
@@ -79,23 +81,31 @@ class Parser:
         seen = Counter()
         for s in strings.values():
             seen.update(s.tolist())
-        alphabet = sorted(c for c in seen if c)[:254]
+        alphabet = sorted((c for c in seen if c), key=lambda c: (-seen[c], c))
         self.width = len(alphabet) + 2
-        self.classes = np.ones(0x110000, np.uint8)  # 1: a letter that no sample has
+        self.dense = min(DENSE, self.width)
+        self.classes = np.ones(0x110000, np.int32)  # 1: a letter that no sample has
         self.classes[0] = 0
         self.classes[alphabet] = np.arange(2, self.width)
-        self.starts, self.bits, tables, base = [], [], [], 0
+        self.starts, self.bits, tables, far, restarts, base = [], [], [], [], [], 0
         for s in strings.values():
-            table = self._table(self.classes[s].tolist(), base)
+            table, *rest = self._table(self.classes[s].tolist(), base)
+            far.append(rest[:2])
+            restarts.append(rest[2])
             self.starts.append(base + len(table) - 1)
             self.bits.append(math.log2(max(2, len(s))))
             tables.append(table)
             base += len(table)
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
+        # Moves by letters beyond the table, by state * width + letter; languages have ascending states.
+        self.far_keys, self.far_moves = (np.concatenate(x) for x in zip(*far)) if far else (np.zeros(0, np.int64),) * 2
+        self.far_restarts = np.array(restarts).T if restarts else np.zeros((0, 0), np.int32)
 
-    def _table(self, string: list[int], base: int) -> np.ndarray:
+    def _table(self, string: list[int], base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """next state * 2 + 1 if a new phrase begins, for each state and character.
 
+        Of the characters from ``dense`` on: keys and values of the moves within a phrase, and the value that begins one.
+
         The last state is that before a text and after a letter that the sample lacks, which is a phrase of its own.
         """
         moves: list[dict[int, int]] = [{}]
@@ -125,11 +135,22 @@ class Parser:
         restart = np.full(self.width, base + len(moves), np.int32)
         for c, q in moves[0].items():
             restart[c] = base + q
-        table = np.tile(restart * 2 + 1, (len(moves) + 1, 1))
+        restart = restart * 2 + 1
+        table = np.tile(restart[:self.dense], (len(moves) + 1, 1))
         states = np.repeat(np.arange(len(moves)), [len(m) for m in moves])
         chars = np.fromiter((c for m in moves for c in m), np.int64, len(states))
-        table[states, chars] = 2 * (base + np.fromiter((q for m in moves for q in m.values()), np.int64, len(states)))
-        return table
+        values = 2 * (base + np.fromiter((q for m in moves for q in m.values()), np.int64, len(states)))
+        near = chars < self.dense
+        table[states[near], chars[near]] = values[near]
+        keys = ((base + states) * self.width + chars)[~near]
+        order = np.argsort(keys)
+        return table, keys[order], values[~near][order], restart[self.dense:]
+
+    def _far(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The moves of rows of states, one per language, by a letter each that the table lacks."""
+        keys = state * self.width + letter[:, None]
+        at = np.minimum(np.searchsorted(self.far_keys, keys), len(self.far_keys) - 1)
+        return np.where(self.far_keys[at] == keys, self.far_moves[at], self.far_restarts[letter - self.dense])
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(bits a character per text and language, letters and gaps of each text)."""
@@ -152,9 +173,15 @@ class Parser:
         phrases = np.zeros((lanes, langs), np.int32)
         state = np.tile(np.array(self.starts, np.int64), (lanes, 1))
         active = np.searchsorted(-lane_size, -np.arange(1, (lane_size[0] if lanes else 0) + 1), side="right")
+        any_far = bool((code >= self.dense).any())
         for j, n in enumerate(active.tolist()):
-            at = state[:n] * self.width + code[lane_start[:n] + j][:, None]
+            letter = code[lane_start[:n] + j]
+            at = state[:n] * self.dense + np.minimum(letter, self.dense - 1)[:, None]
             move = self.table[at]
+            if any_far:
+                far = np.flatnonzero(letter >= self.dense)
+                if len(far):
+                    move[far] = self._far(state[far], letter[far])
             phrases[:n] += move & 1
             state[:n] = move >> 1
         total = np.zeros((len(texts), langs))

@@ -62,6 +62,22 @@ def test_phrases_equal_a_search():
             assert bits[k, n] * len(text) / parser.bits[n] == pytest.approx(longest_phrases(text, folded))
 
 
+def test_phrases_in_large_alphabets():
+    """Each language has hundreds of letters of its own, beyond those of the others."""
+    rng = np.random.default_rng(6)
+    scripts = {"ja": [chr(c) for c in range(0x3041, 0x3090)], "ko": [chr(c) for c in range(0xAC00, 0xAE00)],
+               "zh": [chr(c) for c in range(0x4E00, 0x5000)], "zu": list("abcdefgh"), "yue": [chr(c) for c in range(0x4F80, 0x5180)]}
+    samples = tuple((name, " ".join("".join(rng.choice(letters, 5)) for _ in range(400))) for name, letters in scripts.items())
+    parser = language_id.Parser(samples)
+    texts = ["".join(rng.choice(letters, 40)) + sample[:30] for (_, sample), letters in zip(samples, scripts.values())]
+    bits, length = parser.entropies(texts)
+    folds = {name: "".join(chr(c) if c else " " for c in language_id._folded(sample)) + " " for name, sample in samples}
+    for k, text in enumerate(texts):
+        assert parser.labels[bits[k].argmin()] == samples[k][0]
+        for n, name in enumerate(parser.labels):
+            assert bits[k, n] * length[k] / parser.bits[n] == pytest.approx(longest_phrases(text, folds[name]))
+
+
 def test_language_of_odd_rows(spark, odd):
     samples = [("en", "the word of a long list and the words of it"), ("fr", "é ü un mot de la liste")]
     rows = language_id.identify(odd, samples)
