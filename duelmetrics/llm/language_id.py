@@ -20,7 +20,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-#: Bounds of the sample: documents of a language, characters of one, and characters in all.
+#: Bounds of the sample: documents of a language, characters of one (a span of a longer one), and characters in all.
 SAMPLE_DOCS = 64
 SAMPLE_DOC_CHARS = 20_000
 SAMPLE_CHARS = 40_000
@@ -29,6 +29,8 @@ BLOCK = 2048
 #: Columns of the table of moves: the gap, unknown letters and the most frequent letters. Moves by other letters are looked up.
 DENSE = 64
 _SLICE_CHARS = 3_000_000
+#: A letter, or a character that Java's tables may not have yet.
+_LETTER = r"[\p{L}\p{Cn}]"
 
 _parsers: dict[tuple, "Parser"] = {}
 _letters: np.ndarray | None = None
@@ -56,15 +58,24 @@ def _folded(text: str) -> np.ndarray:
 
 
 def sample_texts(labelled: DataFrame, text: str, label: str) -> list[tuple[str, str]]:
-    """At most SAMPLE_DOCS texts per label, chosen by a hash of the text, as (label, text)."""
+    """At most SAMPLE_DOCS texts per label, chosen by a hash of the text, as (label, text).
+
+    Texts without a letter aren't chosen. Of a text of more than SAMPLE_DOC_CHARS characters the
+    sample has a span that begins at a place given by the hash, or at the first letter if that
+    span has none. So each label with any letter has a sample.
+    """
     body = F.col(text).cast("string")
     rows = labelled.select(F.col(label).cast("string").alias("label"), F.xxhash64(body).alias("h"), body.alias("text")) \
-        .where(F.col("label").isNotNull() & (F.length("text") > 0) & (F.length("text") <= SAMPLE_DOC_CHARS))
+        .where(F.col("label").isNotNull() & F.col("text").rlike(_LETTER))
     order = Window.partitionBy("label").orderBy("h")
     # Copies of a text would fill the sample, so equal hashes count once.
     chosen = rows.groupBy("label", "h").count().withColumn("k", F.row_number().over(order)).where(F.col("k") <= SAMPLE_DOCS)
     # Bounded: SAMPLE_DOCS rows a label.
-    got = rows.join(F.broadcast(chosen.select("label", "h")), ["label", "h"]).groupBy("label", "h").agg(F.min("text").alias("text"))
+    held = rows.join(F.broadcast(chosen.select("label", "h")), ["label", "h"])
+    span = F.substring("text", F.pmod("h", F.length("text") - SAMPLE_DOC_CHARS + 1).cast("int") + 1, F.lit(SAMPLE_DOC_CHARS))
+    first = F.substring(F.regexp_replace("text", rf"^(?s:.*?)(?={_LETTER})", ""), 1, SAMPLE_DOC_CHARS)
+    held = held.withColumn("text", F.when(F.length("text") <= SAMPLE_DOC_CHARS, F.col("text")).when(span.rlike(_LETTER), span).otherwise(first))
+    got = held.groupBy("label", "h").agg(F.min("text").alias("text"))
     return [(r.label, r.text) for r in sorted(got.collect(), key=lambda r: (r.label, r.h))]
 
 

@@ -78,6 +78,18 @@ def test_phrases_in_large_alphabets():
             assert bits[k, n] * length[k] / parser.bits[n] == pytest.approx(longest_phrases(text, folds[name]))
 
 
+def test_languages_of_long_documents_alone(spark):
+    """Labelled texts beyond the bound of a document are learned from too, wherever their letters are."""
+    rows = [("en", "the word of a long list and the words of it"), ("fi", "yksi sana ja toinen sana on t\u00e4ss\u00e4 " * 2000),
+            ("el", "\u03bc\u03b9\u03b1 \u03bb\u03ad\u03be\u03b7 " + "1 2\n" * 20_000), ("--", "1 2 3"), (None, "nothing"), ("xx", None)]
+    samples = language_id.sample_texts(spark.createDataFrame(rows, "lang string, text string"), "text", "lang")
+    assert [name for name, _ in samples] == ["el", "en", "fi"]
+    assert all(len(text) <= language_id.SAMPLE_DOC_CHARS for _, text in samples)
+    assert language_id.Parser(tuple(samples)).labels == ["el", "en", "fi"]
+    docs = spark.createDataFrame([("fi", "toinen sana on t\u00e4ss\u00e4"), ("el", "\u03bb\u03ad\u03be\u03b7"), ("en", "the words")], "lang string, text string")
+    assert all(r.lang_pred == r.lang for r in language_id.identify(docs, samples).collect())
+
+
 def test_language_of_odd_rows(spark, odd):
     samples = [("en", "the word of a long list and the words of it"), ("fr", "é ü un mot de la liste")]
     rows = language_id.identify(odd, samples)
