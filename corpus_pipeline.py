@@ -15,8 +15,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.judge(docs, chain, keep_text=True).where("NOT is_toxic").select(docs.columns)
 
 
+#: Copies are near from this Jaccard similarity on; op2's contract has its own.
+NEAR_PERCENT = 80
+
+
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dup.drop_near_duplicates(docs)
+    return near_dup.drop_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def drop_benchmark_holders(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

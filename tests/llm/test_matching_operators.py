@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from duelmetrics.llm import ann, decontaminate, license_scan, near_dup, secret_scan, url_filter
 
 SMALL = "/root/testdata/sf0.001"
@@ -99,6 +100,22 @@ def test_pairs_among_texts_from_one_template(spark):
     assert {i: r.component_id for i, r in got.items()} == want
 
 
+def test_the_stage_drops_copies_from_80_percent_on(spark):
+    """Copies between 0.80 and 0.85 alike, which op2 keeps, and texts just below 0.80."""
+    rows = []
+    for k in range(150):
+        words = [f"s{k}x{n}" for n in range(204)]
+        at = 17 + k % 10
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:-at] + [f"c{k}x{n}" for n in range(at)]))]
+    want = components(rows, 80)
+    dropped = {i for i, (_, c) in want.items() if i != c}
+    assert 60 <= len(dropped) < 150 and not any(i != c for i, (_, c) in components(rows).items())
+    left = corpus_pipeline.keep_one_of_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), SMALL)
+    assert sorted(r.doc_id for r in left.collect()) == sorted(set(want) - dropped)
+    assert near_dup.trees_for(85) == 12 and near_dup.trees_for(80) > 12
+    assert near_dup.agreement_for(80) < near_dup.agreement_for(85) < 0.72
+
+
 def test_whole_signatures_alike(spark):
     """Sets that differ in one of very many shingles often have one signature."""
     words = [f"w{k}" for k in range(6000)]
