@@ -1,14 +1,14 @@
 """Benchmark passages in documents, up to edits.
 
-1. Each item is cut into windows of words, of the largest size class that fits it. A window is
-   embedded by a random walk: at step j it gives out its current word and moves on if bit j of
-   that word's hash says so. Two windows that are a few edits apart fall into step again after
-   each edit, so most of their outputs agree: edit distance becomes Hamming distance.
-2. Repeated sampling of a few outputs gives each window its keys. The walk is made from every
-   word of every document, next to the data; only positions with a key that an item may have go
-   on, as one row for each run of such positions with the text around it.
-3. Keys of runs and of items meet in an equality join, and each pair of run and item is
-   confirmed by the exact edit distance, in words, between the item and the run's closest part.
+1. Each item is cut into windows of words, so short that the edits allowed can't touch all of
+   them: every passage has one as it is, so none is lost. A window is embedded by a random walk:
+   at step j it gives out its current word and moves on if bit j of that word's hash says so.
+2. All outputs together are the window's key. The walk is made from every word of every document,
+   next to the data; only positions with a key that an item may have go on, as one row for each
+   run of such positions with the text around it.
+3. Keys of runs and of items meet in an equality join. Pairs of run and item that have as many
+   windows in common as the edits allowed must leave are confirmed by the exact edit distance, in
+   words, between the item and the run's closest part.
 
 The filter of the second step has a fixed size. Nothing that grows with documents or items is
 broadcast.
@@ -26,14 +26,11 @@ from pyspark.sql import functions as F
 from ..session import stage
 from . import buffers
 
-#: Words of a window, by the size of the item: the largest that fits. An item of more words has a
-#: window from each of its words on, and one that the edits leave alone is enough.
+#: Words of a window, by the size of the item. An item has a window from each of its words on, and
+#: one that the edits leave alone is enough; see _size_of.
 CLASSES = (1, 2, 3, 4, 8)
-WALKS = 2
-#: Keys for each walk, and outputs sampled for each key, one from each part of the walk. Fewer
-#: outputs would tolerate more edits in a window, but texts share few words by chance.
-KEYS = 3
-OUTPUTS = 6
+#: Steps of a walk for each word of a window; nearly every walk comes to the window's last word.
+STEPS = 4
 #: Share of an item's words that may be edited.
 EDITS = 0.2
 #: Slots of the filter and probes of each key: 8 MB, whatever the number of items.
@@ -43,15 +40,8 @@ PROBES = 3
 _BYTES = buffers.spaced("letters")
 
 
-def _samples(size: int, walk: int) -> list[list[int]]:
-    """The sampled steps of each key, in order: one from each of equal parts of a walk of two steps a word."""
-    rng = np.random.default_rng(1000 * size + walk)
-    edges = np.linspace(0, 2 * size, min(OUTPUTS, 2 * size) + 1).astype(int)
-    return [[int(rng.integers(a, b)) for a, b in zip(edges, edges[1:])] for _ in range(KEYS)]
-
-
-def walk_keys(words: np.ndarray, left: np.ndarray, size: int) -> Iterator[np.ndarray]:
-    """The keys of the windows of ``size`` words that begin at each word, one array per walk and key.
+def walk_key(words: np.ndarray, left: np.ndarray, size: int) -> np.ndarray:
+    """The key of the window of ``size`` words that begins at each word: all that its walk gives out.
 
     ``left`` tells how many words follow in the same text, itself included; beyond a window's or
     text's end the walk gives out 0.
@@ -60,22 +50,17 @@ def walk_keys(words: np.ndarray, left: np.ndarray, size: int) -> Iterator[np.nda
     padded = np.append(words, np.zeros(size + 1, np.uint64))
     limit = np.minimum(left, size)
     here = np.arange(n)
-    for walk in range(WALKS):
-        samples = _samples(size, walk)
-        factors = buffers.stream(7919 * size + 31 * walk, 2 * size)
-        keys = [np.full(n, buffers.stream(size * 100 + walk * 10 + k, 1)[0], np.uint64) for k in range(KEYS)]
-        step = np.zeros(n, np.int64)
-        last = max(s[-1] for s in samples)
-        for j in range(last + 1):
-            inside = step < limit
-            out = padded[here + step]
-            out[~inside] = 0
-            for key, chosen in zip(keys, samples):
-                if j in chosen:
-                    key += out * factors[j]
-            # Whether a word moves the walk on is a bit of its hash, another one at each step and in each walk.
-            step += (out >> np.uint64((21 * walk + j) % 64) & np.uint64(1)).view(np.int64)
-        yield from (buffers.mix(key) for key in keys)
+    factors = buffers.stream(7919 * size, STEPS * size)
+    key = np.full(n, buffers.stream(size * 100, 1)[0], np.uint64)
+    step = np.zeros(n, np.int64)
+    for j in range(STEPS * size):
+        inside = step < limit
+        out = padded[here + step]
+        out[~inside] = 0
+        key += out * factors[j]
+        # Whether a word moves the walk on is a bit of its hash, another one at each step.
+        step += (out >> np.uint64(j % 64) & np.uint64(1)).view(np.int64)
+    return buffers.mix(key)
 
 
 def _slots(keys: np.ndarray) -> list[np.ndarray]:
@@ -88,12 +73,17 @@ def _left(doc: np.ndarray) -> np.ndarray:
     return ends - np.arange(len(ends))
 
 
-def _size_of(words: int) -> int:
-    return max(c for c in CLASSES if c <= words)
+def _size_of(words: int, edits: float) -> int:
+    """The largest class such that the edits allowed leave a window of an item alone, wherever they are.
+
+    ``e`` edits touch at most ``e`` of the ``e + 1`` parts into which the item can be cut.
+    """
+    whole = words // (int(edits * words) + 1)
+    return max(c for c in CLASSES if c <= max(1, whole))
 
 
-def item_keys(items: DataFrame) -> DataFrame:
-    """(item_id, words, size, key) for every window of every item (item_id, text)."""
+def item_keys(items: DataFrame, edits: float = EDITS) -> DataFrame:
+    """(item_id, words, size, key, times) for every window of every item (item_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,18 +92,18 @@ def item_keys(items: DataFrame) -> DataFrame:
                 left = _left(doc)
                 counts = np.diff(doc)
                 rows: list[tuple] = []
-                for size in sorted({_size_of(c) for c in counts.tolist() if c}):
-                    keys = list(walk_keys(words, left, size))
+                for size in sorted({_size_of(c, edits) for c in counts.tolist() if c}):
+                    key = walk_key(words, left, size).view(np.int64)
                     for k, c in enumerate(counts.tolist()):
-                        if c and _size_of(c) == size:
+                        if c and _size_of(c, edits) == size:
                             at = slice(doc[k], doc[k + 1] - size + 1)
-                            rows += [(k, c, size, x) for x in np.unique(np.concatenate([key[at] for key in keys]).view(np.int64)).tolist()]
-                cols = list(zip(*rows)) or [()] * 4
+                            rows += [(k, c, size, x, n) for x, n in zip(*(u.tolist() for u in np.unique(key[at], return_counts=True)))]
+                cols = list(zip(*rows)) or [()] * 5
                 ids = batch.column(0)[lo:hi].take(pa.array(cols[0], pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int64())],
-                                                 names=["item_id", "words", "size", "key"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int64()),
+                                                  pa.array(cols[4], pa.int32())], names=["item_id", "words", "size", "key", "times"])
 
-    return items.select("item_id", "text").mapInArrow(run, "item_id long, words int, size int, key long")
+    return items.select("item_id", "text").mapInArrow(run, "item_id long, words int, size int, key long, times int")
 
 
 def _filter(keys: DataFrame) -> np.ndarray:
@@ -131,7 +121,7 @@ def runs(docs: DataFrame, sizes: dict[int, int], table: np.ndarray) -> DataFrame
     """(place, row_key, run, first, snippet, size, keys): runs of positions that may begin a window of an item.
 
     ``sizes`` gives the words of the longest item of each size class. A snippet reaches that many
-    words beyond the run on both sides; first is the number of its first word in the document.
+    words beyond the run on both sides, twice, and no passage is in two runs; first is the number of its first word in the document.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(np.packbits(table))
@@ -145,20 +135,15 @@ def runs(docs: DataFrame, sizes: dict[int, int], table: np.ndarray) -> DataFrame
                 words, at, doc = buffers.word_hashes(data, off, _BYTES)
                 left = _left(doc)
                 for size, longest in sizes.items():
-                    found: list[tuple[np.ndarray, np.ndarray]] = []
-                    for key in walk_keys(words, left, size):
-                        hit = np.flatnonzero(known[_slots(key)[0]])
-                        for probe in range(1, PROBES):
-                            hit = hit[known[_slots(key[hit])[probe]]]
-                        found.append((hit, key[hit]))
-                    pos = np.concatenate([f[0] for f in found])
+                    key = walk_key(words, left, size)
+                    pos = np.flatnonzero(known[_slots(key)[0]])
+                    for probe in range(1, PROBES):
+                        pos = pos[known[_slots(key[pos])[probe]]]
                     if not len(pos):
                         continue
-                    key = np.concatenate([f[1] for f in found])
-                    order = np.argsort(pos, kind="stable")
-                    pos, key = pos[order], key[order]
+                    key = key[pos]
                     row = np.searchsorted(doc, pos, side="right") - 1
-                    cuts = np.flatnonzero((np.diff(pos) > longest) | (np.diff(row) > 0)) + 1
+                    cuts = np.flatnonzero((np.diff(pos) > 2 * longest) | (np.diff(row) > 0)) + 1
                     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(pos)]):
                         k = int(row[a])
                         w0 = max(int(doc[k]), int(pos[a]) - 2 * longest)
@@ -216,14 +201,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     nothing. Rows that repeat an id and a text give one row. No documents or items give no rows.
     """
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("text"))
-    keys = stage(item_keys(items), "item-keys")
+    keys = stage(item_keys(items, edits), "item-keys")
     sizes = {r["size"]: r.longest for r in keys.groupBy("size").agg(F.max("words").alias("longest")).collect()}  # a row per class
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("long").alias("__id"), body.alias("body")) \
         .select(F.coalesce("__id", F.xxhash64(F.md5("body"))).alias("place"), F.concat(F.md5("body"), F.when(F.col("__id").isNull(), "-").otherwise("")).alias("row_key"), "body")
     hits = stage(runs(rows, dict(sorted(sizes.items())), _filter(keys)), "runs")
     named = ["place", "row_key", "size", "run", "first"]
-    pairs = hits.select(*named, F.explode("keys").alias("key")).join(keys.select("key", "item_id", "size").distinct(), ["key", "size"]) \
+    # An edit touches as many windows as one has words, so a passage has at least the rest of them as they are.
+    whole = F.col("words") - F.col("size") + 1 - F.col("size") * F.floor(F.lit(float(edits)) * F.col("words"))
+    pairs = hits.select(*named, F.explode("keys").alias("key")) \
+        .join(keys.groupBy("key", "item_id", "size", "words").agg(F.max("times").alias("times")), ["key", "size"]) \
+        .groupBy(*named, "item_id", "words").agg(F.sum("times").alias("found")).where(F.col("found") >= whole) \
         .select(*named, "item_id").distinct()
     both = pairs.join(hits.select(*named, "snippet").dropDuplicates(named), named).join(items.groupBy("item_id").agg(F.collect_set("text").alias("texts")), "item_id")
 

@@ -194,6 +194,28 @@ def test_passages_with_edits(spark):
     assert len(found) >= 0.95 * len(want)
 
 
+def test_every_passage_with_as_many_edits_as_allowed(spark):
+    """Items of each length with exactly 20 % edits, in the middle, evenly spread and at random places."""
+    rng = np.random.default_rng(29)
+    items, docs, want = [], [], set()
+    for size in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 13, 14, 15, 16, 19, 20, 24, 25, 35, 50):
+        for k in range(3):
+            item = [f"w{size}x{k}x{n}" for n in range(size)]
+            items.append((len(items), " ".join(item)))
+            count = size // 5
+            for places in (range(size // 2 - count // 2, size // 2 - count // 2 + count), [(2 * n + 1) * size // (2 * count) for n in range(count)],
+                           rng.choice(size, count, replace=False)):
+                inner = list(item)
+                for at in sorted(places, reverse=True):
+                    inner[at:at + 1] = [["new"], [inner[at], "more"], []][len(docs) % 3]
+                around = [f"a{x}" for x in rng.integers(0, 999, 40)]
+                docs.append((len(docs), " ".join(around[:20] + inner + around[20:])))
+                want.add((docs[-1][0], items[-1][0]))
+    assert all(edits(plain(items[j][1]), plain(docs[i][1])) <= len(plain(items[j][1])) // 5 for i, j in want)
+    got = decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want
+
+
 def test_decontamination_of_odd_rows(spark):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "one"), (4, "alpha beta gamma delta epsilon"), (4, "alpha beta gamma delta epsilon"),
                                    (None, "alpha beta gamma")], "item_id long, text string")
