@@ -117,4 +117,11 @@ FROM documents d LEFT JOIN found f ON f.doc_id = d.doc_id
 GROUP BY d.doc_id
 """
 
-ALL: dict[str, str] = {"op1_secret_scan": OP1, "op2_near_duplicates": OP2, "op6_license_scan": OP6}
+OP12 = f"""
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       row_number() OVER (PARTITION BY body ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(body) AS text_sha256
+FROM (SELECT doc_id, translate(coalesce(text, ''), {_AZ}) AS body FROM documents)
+WINDOW w AS (PARTITION BY body)
+"""
+
+ALL: dict[str, str] = {"op1_secret_scan": OP1, "op2_near_duplicates": OP2, "op6_license_scan": OP6, "op12_exact_dedup": OP12}
