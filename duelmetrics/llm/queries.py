@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, content_sort, decontaminate, language_id, license_scan, near_dup, packing, quality,
-               secret_scan, toxicity, url_filter)
+from . import (alignment, ann, content_sort, decontaminate, language_id, license_scan, near_dup, packing, quality,
+               secret_scan, toxicity, url_filter, whitening)
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -73,11 +73,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs.select("doc_id", "text", held_out.alias("held_out")), samples)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.copies(_read(spark, sf_dir, "documents"), keep="largest")
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(_read(spark, sf_dir, "documents"))
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scan, op2_near_duplicates, op3_decontamination, op4_toxicity, op5_quality, op6_license_scan,
-        op7_neighbours, op8_packing, op9_url_filter, op10_language_id, op12_exact_dedup)}
+        op7_neighbours, op8_packing, op9_url_filter, op10_language_id, op11_embedding_whitening, op12_exact_dedup,
+        op13_token_alignment)}
