@@ -6,9 +6,9 @@ the first side's). Replacing every pointer by its target's pointer doubles the d
 so after about log2 of the longest chain all tokens of a component point to its terminal token,
 which labels the group. All texts of a block are worked on as one run of bytes.
 
-A block is a bounded slice of a partition. It keeps each different pair once, with the number of
-its links, and its documents name pairs by their place in that list; so counting and looking up
-counts move one row per block and pair instead of one per link.
+A block is a bounded part of a partition, worked on in slices. It keeps each different pair once,
+with the number of its links, and its documents name pairs by their place in that list; so
+counting and looking up counts move one row per block and pair instead of one per link.
 """
 
 from __future__ import annotations
@@ -28,11 +28,11 @@ from ..session import stage
 
 #: The ranks of byte_bpe_50k.json: the same vocabulary for a faster library, with the same ids.
 RANKS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
-#: Text bytes and rows of a block, about; both bound what a task holds (or one longer text).
-BLOCK_BYTES = 8 << 20
-BLOCK_ROWS = 4096
+#: Characters of a slice, and characters and rows of a block, about; they bound what a task holds (or one longer text does).
+LIMITS = {"slice_chars": 1 << 19, "block_chars": 1 << 23, "block_rows": 4096}
 
 _loaded: dict = {}
+_NONE = np.zeros(0, np.int64)
 
 
 class Pair:
@@ -46,7 +46,7 @@ class Pair:
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         coder = tiktoken.Encoding(ranks_path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.encode_a = coder.encode_ordinary
+        self.encode_a = coder.encode_to_numpy
         self.bytes_a = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.bytes_a[rank] = token
@@ -54,6 +54,7 @@ class Pair:
         self.encode_b = lambda texts: model.encode(texts, num_threads=1)
         self.bytes_b = [bytes([int(model.id_to_piece(i)[3:-1], 16)]) if model.is_byte(i)
                         else model.id_to_piece(i).replace("▁", " ").encode() for i in range(model.get_piece_size())]
+        self.objects_b = np.array(self.bytes_b, object)
         self.lengths_a, self.lengths_b = (np.array(list(map(len, side)), np.int64) for side in (self.bytes_a, self.bytes_b))
         # A name ends with the mark that follows it: inside a side, after side a, after side b.
         names = [f"{i}{mark}" for side, last in ((self.bytes_a, "|"), (self.bytes_b, ";")) for mark in (",", last) for i in range(len(side))]
@@ -90,17 +91,18 @@ def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
         to = further
 
 
-def _block(tokens: Pair, texts: list[str | None], strings: bool) -> tuple[list[dict], np.ndarray, np.ndarray]:
-    """Results per text, and the block's pairs (a << 32 | b) with their numbers of links."""
-    rows = [{"n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups": "", "places": b"", "times": b""} for _ in texts]
+def _slice(tokens: Pair, texts: list[str | None], strings: bool) -> tuple[list[dict], np.ndarray, np.ndarray]:
+    """Results per text, and the slice's pairs (a << 32 | b) with their numbers of links."""
+    rows = [{"n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups": "", "places": _NONE, "times": _NONE} for _ in texts]
     found = [k for k, t in enumerate(texts) if t]
     a_ids, b_ids, kept = [], [], []
     for k, b in zip(found, tokens.encode_b([texts[k] for k in found])):
-        body = " " + texts[k]
-        a, body = tokens.encode_a(body), body.encode()
-        if b"".join(map(tokens.bytes_a.__getitem__, a)) == body == b"".join(map(tokens.bytes_b.__getitem__, b)):
-            a_ids.append(np.array(a, np.int64))
-            b_ids.append(np.array(b, np.int64))
+        body, b = " " + texts[k], np.array(b, np.int64)
+        a, body = tokens.encode_a(body).astype(np.int64), body.encode()
+        # Side a splits the bytes and loses none; the lengths would show it.
+        if tokens.lengths_a[a].sum() == len(body) == tokens.lengths_b[b].sum() and b"".join(tokens.objects_b[b]) == body:
+            a_ids.append(a)
+            b_ids.append(b)
             kept.append(k)
     if not kept:
         return rows, np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -132,18 +134,18 @@ def _block(tokens: Pair, texts: list[str | None], strings: bool) -> tuple[list[d
     text = np.repeat(np.arange(len(kept)), np.diff(ends_group))
     own, times = np.unique(text * len(pairs) + place, return_counts=True)
     cuts = np.searchsorted(own, np.arange(len(kept) + 1) * len(pairs))
-    own, times = (own % len(pairs)).astype("<i4"), times.astype("<i4")
+    own %= len(pairs)
     for n, k in enumerate(kept):
         joined = "".join(named[before_a[n] + before_b[n]:before_a[n + 1] + before_b[n + 1]])[:-1]
         groups = int(ends_group[n + 1] - ends_group[n])
         rows[k] = {"n_a": len(a_ids[n]), "n_b": len(b_ids[n]), "n_groups": groups, "n_links": groups,
                    "groups": joined if strings else hashlib.sha256(joined.encode()).hexdigest(),
-                   "places": own[cuts[n]:cuts[n + 1]].tobytes(), "times": times[cuts[n]:cuts[n + 1]].tobytes()}
+                   "places": own[cuts[n]:cuts[n + 1]], "times": times[cuts[n]:cuts[n + 1]]}
     return rows, pairs, np.bincount(place)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str | None]]]:
-    """(ids, texts) of bounded slices."""
+def _slices(batches: Iterator[pa.RecordBatch], chars: int, rows: int) -> Iterator[tuple[list, list[str | None], int]]:
+    """(ids, texts, characters) of bounded slices."""
     ids, texts, size = [], [], 0
     for batch in batches:
         for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -151,11 +153,38 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str
             ids.append(doc)
             texts.append(text)
             size += len(text or "")
-            if size >= BLOCK_BYTES or len(ids) >= BLOCK_ROWS:
-                yield ids, texts
+            if size >= chars or len(ids) >= rows:
+                yield ids, texts, size
                 ids, texts, size = [], [], 0
     if ids:
-        yield ids, texts
+        yield ids, texts, size
+
+
+def _blocks(tokens: Pair, batches: Iterator[pa.RecordBatch], strings: bool, limits: dict) -> Iterator[tuple[list[dict], np.ndarray, np.ndarray]]:
+    """Results per row, and the pairs with their numbers of links, of bounded blocks."""
+    done: list[tuple] = []
+    size = count = 0
+    for ids, texts, more in _slices(batches, limits["slice_chars"], limits["block_rows"]):
+        rows, pairs, links = _slice(tokens, texts, strings)
+        done.append(([{"doc_id": i, **r} for i, r in zip(ids, rows)], pairs, links))
+        size, count = size + more, count + len(ids)
+        if size >= limits["block_chars"] or count >= limits["block_rows"]:
+            yield _merged(done)
+            done, size, count = [], 0, 0
+    if done:
+        yield _merged(done)
+
+
+def _merged(done: list[tuple]) -> tuple[list[dict], np.ndarray, np.ndarray]:
+    """The slices of a block with one list of pairs; places become those of that list."""
+    pairs, at = np.unique(np.concatenate([p for _, p, _ in done]), return_inverse=True)
+    links = np.bincount(at, np.concatenate([n for *_, n in done]), len(pairs)).astype(np.int64)
+    out, first = [], 0
+    for rows, own, _ in done:
+        here = at[first:first + len(own)]
+        first += len(own)
+        out += [{**r, "places": here[r["places"]].astype("<i4").tobytes(), "times": r["times"].astype("<i4").tobytes()} for r in rows]
+    return out, pairs, links
 
 
 _DOCS = pa.schema([("is_doc", pa.bool_()), ("block", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),
@@ -165,14 +194,13 @@ _SCHEMA = ("is_doc boolean, block long, doc_id long, n_a long, n_b long, n_group
            "places binary, times binary, pairs array<long>, sizes array<long>")
 
 
-def _aligned(docs: DataFrame, doc_id: str, text: str, paths: tuple[str, str] | None, strings: bool) -> DataFrame:
-    paths = paths or default_paths()
+def _aligned(docs: DataFrame, doc_id: str, text: str, paths: tuple[str, str] | None, strings: bool, **limits) -> DataFrame:
+    paths, limits = paths or default_paths(), {**LIMITS, **limits}
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, first = pair(*paths), TaskContext.get().partitionId() << 32
-        for n, (ids, texts) in enumerate(_blocks(batches)):
-            rows, pairs, sizes = _block(tokens, texts, strings)
-            yield pa.RecordBatch.from_pylist([{"is_doc": True, "block": first + n, "doc_id": i, **r} for i, r in zip(ids, rows)], _DOCS)
+        for n, (rows, pairs, sizes) in enumerate(_blocks(tokens, batches, strings, limits)):
+            yield pa.RecordBatch.from_pylist([{"is_doc": True, "block": first + n, **r} for r in rows], _DOCS)
             # In parts, as one list per block could grow with a very long text.
             for lo in range(0, len(pairs), 65536):
                 yield pa.RecordBatch.from_pylist([{"is_doc": False, "block": first + n, "n_a": lo, "pairs": pairs[lo:lo + 65536],
@@ -206,16 +234,16 @@ def pair_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pat
     return known.select("a_id", "b_id", F.col("total").alias("links"), "best")
 
 
-def alignment(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", paths: tuple[str, str] | None = None) -> DataFrame:
+def alignment(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", paths: tuple[str, str] | None = None, **limits) -> DataFrame:
     """Per row: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256.
 
     A link is a pair of tokens that end together; its count is the number of links of its two
     ids corpus-wide. n_best counts the links whose count is the highest of their b id,
     count_sum adds the counts. Rows without tokens (see ``token_groups``) have zeros and an empty
     digest. Repeated rows are counted as often as they come, other columns are ignored, an
-    empty table gives an empty result.
+    empty table gives an empty result. ``limits`` are those of LIMITS.
     """
-    staged = stage(_aligned(docs, doc_id, text, paths, False), "alignment")
+    staged = stage(_aligned(docs, doc_id, text, paths, False, **limits), "alignment")
     listed, known = _known(staged)
     counted = listed.join(known.select("pair", "total", "best"), "pair").select(F.col("block").alias("in_block"), "place", "total", "best")
     rows = staged.where("is_doc").select("block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "places", "times")
