@@ -4,7 +4,8 @@ A match needs both ratings as its players' previous matches left them, so the fo
 serial along each player. Ratings never cross pools: a pool is a named group of players, given
 as a column, and each is one ordered stream through a task, side by side with the others. The
 task reads Arrow batches in order and holds only the pool's ratings, never its matches;
-Spark's sort, which spills, does the ordering. Nothing depends on how large a pool is.
+Spark's sort, which spills, does the ordering. A large pool of very many players can instead be
+rated by rounds of joins (``elo_frontier``).
 """
 
 from __future__ import annotations
@@ -13,11 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .elo_frontier import rate_by_rounds
+
 K_FACTOR = 32
 BASE_RATING = 1500
 
 _POOL, _KIND, _START = "_pool", "_kind", "_start"
-_RATED = ["player1_elo_before", "player2_elo_before", "player1_elo_after", "player2_elo_after",
+RATED = ["player1_elo_before", "player2_elo_before", "player1_elo_after", "player2_elo_after",
           "elo_change_p1", "elo_change_p2"]
 
 
@@ -109,23 +112,37 @@ def _fold(k: float, base: int):
                 [kept.column(n) for n in shown] + [pa.array(v) for v in (b1, b2, a1, a2, d, -d)],
                 shown + rated)
 
-    rated = list(_RATED)
+    rated = list(RATED)
     return run
 
 
 def _run_fold(rows: DataFrame, k: float, base: int) -> DataFrame:
     """Send each value of ``_pool`` to one task in order and fold it there."""
     kept = [f for f in rows.schema.fields if not f.name.startswith("_")]
-    schema = T.StructType(kept + [T.StructField(n, T.IntegerType()) for n in _RATED])
+    schema = T.StructType(kept + [T.StructField(n, T.IntegerType()) for n in RATED])
     won = F.when(F.col("winner") == F.col("player1"), 1).when(F.col("winner") == F.col("player2"), 2).otherwise(0)
     rows = rows.withColumn("_won", F.when(F.col(_KIND) == 1, won).otherwise(1))
     ordered = rows.repartition(_POOL).sortWithinPartitions(_POOL, _KIND, "match_date", "match_id")
     return ordered.mapInArrow(_fold(k, base), schema)
 
 
+def match_rows(matches: DataFrame, pool_col: str, invalid: str, date: str) -> DataFrame:
+    """The columns that rating needs, names as text and the date as match_date; without invalid matches if ``invalid`` is "reject"."""
+    if invalid not in ("reject", "keep"):
+        raise ValueError("invalid must be 'reject' or 'keep'")
+    rows = matches.select("match_id", F.col("player1").cast("string").alias("player1"),
+                          F.col("player2").cast("string").alias("player2"),
+                          F.col("winner").cast("string").alias("winner"),
+                          F.col(date).cast("timestamp").alias("match_date"), pool_col)
+    if invalid == "reject":
+        rows = rows.where(F.col("winner").isin(F.col("player1"), F.col("player2"))
+                          & (F.col("player1") != F.col("player2")))
+    return rows
+
+
 def elo_log(matches: DataFrame, state: DataFrame | None, pool_col: str,
             k: float = K_FACTOR, base: int = BASE_RATING, invalid: str = "reject",
-            date: str = "matchdate") -> DataFrame:
+            date: str = "matchdate", method: str = "stream") -> DataFrame:
     """The rating log of ``matches``: both ratings before and after, and both changes.
 
     ``matches`` holds match_id, player1, player2, winner, a date and ``pool_col``; the matches of
@@ -135,16 +152,16 @@ def elo_log(matches: DataFrame, state: DataFrame | None, pool_col: str,
 
     A match whose winner is neither player, or with one player on both sides, is left out
     (``invalid="reject"``); ``"keep"`` rates it as is.
+
+    ``method="stream"`` sends each pool through one task in order. ``"frontier"`` rates, round by
+    round, all matches that are next for their players, spread over the cluster: for a large
+    pool of very many players with few matches each. Both give the same log.
     """
-    if invalid not in ("reject", "keep"):
-        raise ValueError("invalid must be 'reject' or 'keep'")
-    rows = matches.select("match_id", F.col("player1").cast("string").alias("player1"),
-                          F.col("player2").cast("string").alias("player2"),
-                          F.col("winner").cast("string").alias("winner"),
-                          F.col(date).cast("timestamp").alias("match_date"), pool_col)
-    if invalid == "reject":
-        rows = rows.where(F.col("winner").isin(F.col("player1"), F.col("player2"))
-                          & (F.col("player1") != F.col("player2")))
+    if method not in ("stream", "frontier"):
+        raise ValueError("method must be 'stream' or 'frontier'")
+    rows = match_rows(matches, pool_col, invalid, date)
+    if method == "frontier":
+        return rate_by_rounds(rows, state, pool_col, k, base, RATED)
     none = F.lit(None).cast("int")
     marked = rows.select("*", F.col(pool_col).alias(_POOL), F.lit(1).alias(_KIND), none.alias(_START))
     if state is not None:
@@ -158,4 +175,4 @@ def elo_log(matches: DataFrame, state: DataFrame | None, pool_col: str,
             *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema.fields],
             F.col(pool_col).cast(rows.schema[pool_col].dataType).alias(_POOL), F.lit(0).alias(_KIND),
             F.col("elo").cast("int").alias(_START)).unionByName(marked)
-    return _run_fold(marked, k, base).select("match_id", "player1", "player2", *_RATED, "winner", "match_date", pool_col)
+    return _run_fold(marked, k, base).select("match_id", "player1", "player2", *RATED, "winner", "match_date", pool_col)

@@ -24,7 +24,7 @@ def _orderable(dtype: T.DataType) -> bool:
     return True
 
 
-def _one_per_key(batch: DataFrame, keys: list[str], order_by: list[str] | None, pick) -> DataFrame:
+def one_per_key(batch: DataFrame, keys: list[str], order_by: list[str] | None, pick) -> DataFrame:
     """One row per key, picked by ``order_by`` and then by the other columns."""
     rest = [c for c in batch.columns if c not in keys]
     order = list(order_by or [])
@@ -36,21 +36,21 @@ def _one_per_key(batch: DataFrame, keys: list[str], order_by: list[str] | None,
     return picked.select(*keys, "_row.*").select(*batch.columns)
 
 
-def _whole_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
+def whole_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
     return batch.dropna(subset=keys)
 
 
-def _broken_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
+def broken_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
     """Rows with a null in the key: it equals no other key, so such rows never clash."""
     return batch.where(any_null(keys))
 
 
 def first_per_key(batch: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
-    return _one_per_key(_whole_keys(batch, keys), keys, order_by, F.min_by).union(_broken_keys(batch, keys))
+    return one_per_key(whole_keys(batch, keys), keys, order_by, F.min_by).union(broken_keys(batch, keys))
 
 
 def last_per_key(batch: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
-    return _one_per_key(_whole_keys(batch, keys), keys, order_by, F.max_by).union(_broken_keys(batch, keys))
+    return one_per_key(whole_keys(batch, keys), keys, order_by, F.max_by).union(broken_keys(batch, keys))
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: list[str],
@@ -64,9 +64,9 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, keys: list[str],
     if prune_by:
         low, high = batch.agg(F.min(prune_by), F.max(prune_by)).first()
         target = target.where(F.col(prune_by).between(F.lit(low), F.lit(high)))
-    first = _one_per_key(_whole_keys(batch, keys), keys, order_by, F.min_by)
+    first = one_per_key(whole_keys(batch, keys), keys, order_by, F.min_by)
     new = first.join(target.select(*keys), keys, "left_anti").select(*batch.columns)
-    return new.union(_broken_keys(batch, keys))
+    return new.union(broken_keys(batch, keys))
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str],

@@ -30,16 +30,18 @@ def failures(mandatory: list[str], blank_is_null: bool = False,
     return F.filter(F.array(*checks), lambda n: n.isNotNull())
 
 
+def gate_counts(names: list[str]) -> list[Column]:
+    """Rows read, rejected and clean, and those that failed each check, of rows with their ``failed`` checks."""
+    bad = F.size("failed") > 0
+    return [F.count(F.lit(1)).alias("rows_read"), F.count_if(bad).alias("rows_rejected"), F.count_if(~bad).alias("rows_clean"),
+            *[F.count_if(F.array_contains("failed", n)).alias(f"failed_{n}") for n in names]]
+
+
 def quality_gate(df: DataFrame, mandatory: list[str], blank_is_null: bool = False,
                  rules: dict[str, Column] | None = None) -> Gate:
     checked = df.withColumn("failed", failures(mandatory, blank_is_null, rules))
     bad = F.size("failed") > 0
-    names = [*mandatory, *(rules or {})]
-    audit = checked.agg(
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count_if(bad).alias("rows_rejected"),
-        F.count_if(~bad).alias("rows_clean"),
-        *[F.count_if(F.array_contains("failed", n)).alias(f"failed_{n}") for n in names])
+    audit = checked.agg(*gate_counts([*mandatory, *(rules or {})]))
     return Gate(checked.where(~bad).drop("failed"), checked.where(bad), audit)
 
 

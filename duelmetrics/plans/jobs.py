@@ -6,7 +6,7 @@ DataFrame. ``run_ts`` is a parameter, so a run can be repeated exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,8 +15,8 @@ from ..functions.convert import blank_str, iso_day, relative_day, safe_date, saf
 from ..functions.odds import odds_to_json
 from ..functions.text import slug
 from ..operators.elo import elo_log
-from ..operators.keyed import insert_if_absent, max_id, with_surrogate_ids
-from ..operators.quality import quality_gate, two_player_rules
+from ..operators.keyed import insert_if_absent, with_surrogate_ids
+from ..operators.quality import failures, gate_counts, two_player_rules
 from ..operators.ranking import latest_ratings, register_entities, unprocessed, without
 from ..operators.reshape import blocks_to_odds_map, map_to_wide
 from ..operators.star import Star, load_star
@@ -47,14 +47,18 @@ def typed_upcoming(landed: DataFrame, keep: list[str] = ()) -> DataFrame:
 
 
 def _publish(spark: SparkSession, root: str, batch: DataFrame, keys: list[str], order: list[str],
-             id_col: str, schema: T.StructType, ids_by: list[str], prune_by: str | None = None) -> DataFrame:
-    """Append the rows of ``batch`` whose key the table lacks, numbered from its highest id."""
+             id_col: str, schema: T.StructType, ids_by: list[str], between: tuple[str, object, object] | None = None) -> DataFrame:
+    """Append the rows of ``batch`` whose key the table lacks, numbered from its highest id.
+
+    ``between`` (a key column and its least and greatest value in the batch) limits the scan of the table.
+    """
     target = tables.read_all(spark, root, "rows", schema)
+    if between:
+        name, low, high = between
+        target = target.where(F.col(name).between(F.lit(low), F.lit(high)))
     with temporary_stages(spark):
-        # Written once before it is numbered: the range sort reads its input twice.
-        new = stage(insert_if_absent(target, batch, keys, order, prune_by), "new-rows")
-        numbered = with_surrogate_ids(new.select(*[c for c in schema.names if c != id_col]),
-                                      max_id(target, id_col), ids_by, id_col)
+        new = insert_if_absent(target, batch, keys, order).select(*[c for c in schema.names if c != id_col])
+        numbered = with_surrogate_ids(new, tables.newest_max(spark, root, "rows", schema, id_col), ids_by, id_col)
         version = tables.commit_version(spark, root, {"rows": numbered.select(*schema.names)})
     return spark.read.schema(schema).parquet(f"{root}/v{version}/rows")
 
@@ -65,30 +69,44 @@ def _job_row(audit: DataFrame, inserted: DataFrame, attempted: str = "rows_clean
         .withColumn("rows_skipped", F.col(attempted) - F.col("rows_inserted"))
 
 
+def _staged(spark: SparkSession, warehouse: str, name: str, schema: T.StructType, accepted: bool) -> DataFrame:
+    root = f"{warehouse}/{name}_staged"
+    done = tables.versions(spark, root)
+    paths = [f"{root}/v{done[-1]}/rows/accepted={str(accepted).lower()}"] if done else []
+    return tables.read_parts(spark, paths, schema)
+
+
 def _load(spark: SparkSession, warehouse: str, name: str, typed: DataFrame, schema: T.StructType,
           mandatory: list[str], rules: dict, blank_is_null: bool, gold_id: str,
           gold_schema: T.StructType) -> DataFrame:
+    """One pass reads the landed rows, checks, counts and writes them, clean and rejected ones apart; clean new ones are published."""
     # Staged ids only have to be unique and to grow inside a file, so nothing is sorted.
-    clean_schema = T.StructType(schema.fields + schemas.SOURCE_FIELDS)
-    schema = T.StructType(clean_schema.fields + schemas.LANDED_FIELDS)
-    bronze = typed.withColumn("id", F.col("source_row") + 1).select(*schema.names)
-    tables.truncate_and_load(bronze, f"{warehouse}/{name}_bronze")
-    bronze = tables.read_latest(spark, f"{warehouse}/{name}_bronze", "rows", schema)
-    gate = quality_gate(bronze, mandatory, blank_is_null=blank_is_null,
-                        rules={**rules, "cells_fit": F.col("cells_fit")})
-    tables.commit_version(spark, f"{warehouse}/{name}_silver", {
-        "rows": gate.clean.select(*clean_schema.names), "rejects": gate.rejects})
-    tables.expire_versions(spark, f"{warehouse}/{name}_silver", 2)
-    silver = tables.read_latest(spark, f"{warehouse}/{name}_silver", "rows", clean_schema)
-    inserted = _publish(spark, f"{warehouse}/{name}_gold", silver, ["player1", "player2", "matchdate"],
+    rules = {**rules, "cells_fit": F.col("cells_fit")}
+    checked = typed.withColumn("id", F.col("source_row") + 1).withColumn("failed", failures(mandatory, blank_is_null, rules))
+    accepted = F.size("failed") == 0
+    # Only rejects keep their text, so it is put together for them alone.
+    landed = checked.select(*schema.names, *[f.name for f in schemas.SOURCE_FIELDS], F.when(~accepted, F.col("raw")).alias("raw"),
+                            "cells_fit", "failed", accepted.alias("accepted"))
+    seen = Observation()
+    days = F.when(accepted, F.col("matchdate"))
+    landed = landed.observe(seen, *gate_counts([*mandatory, *rules]), F.min(days).alias("first"), F.max(days).alias("last"))
+    root = f"{warehouse}/{name}_staged"
+    version = tables.commit_version(spark, root, {"rows": landed}, partition_by={"rows": ["accepted"]},
+                                    emptied={"rows": ["accepted=true", "accepted=false"]})
+    tables.expire_versions(spark, root, 2)
+    counts = seen.get
+    first, last = counts.pop("first"), counts.pop("last")
+    clean = spark.read.schema(T.StructType(schema.fields + schemas.SOURCE_FIELDS)).parquet(f"{root}/v{version}/rows/accepted=true")
+    inserted = _publish(spark, f"{warehouse}/{name}_gold", clean, ["player1", "player2", "matchdate"],
                         ["source_file", "source_start", "id"], gold_id, gold_schema,
-                        ["matchdate", "player1", "player2"], prune_by="matchdate")
-    return _job_row(gate.audit, inserted)
+                        ["matchdate", "player1", "player2"], between=("matchdate", first, last))
+    audit = spark.createDataFrame([tuple(counts.values())], ", ".join(f"{n} long" for n in counts))
+    return _job_row(audit, inserted)
 
 
 def job_results_load(spark: SparkSession, landing: str, warehouse: str,
                      reject_odd_winners: bool = True, pool: Column | None = None) -> DataFrame:
-    """Landed results to bronze, silver and gold. First writer of a match wins.
+    """Landed results to staged rows and gold. First writer of a match wins.
 
     ``pool`` tells which closed group of players a row belongs to, from the landed columns or
     ``source_file``. Ratings run pool by pool; without it all matches are one pool.
@@ -105,12 +123,17 @@ def read_rejects(spark: SparkSession, warehouse: str, name: str, schema: T.Struc
     """The rows that the last load of ``name`` kept back: typed, as text, and the checks failed."""
     failed = T.StructField("failed", T.ArrayType(T.StringType()))
     fields = [*schema.fields, *schemas.SOURCE_FIELDS, *schemas.LANDED_FIELDS, failed]
-    return tables.read_latest(spark, f"{warehouse}/{name}_silver", "rejects", T.StructType(fields))
+    return _staged(spark, warehouse, name, T.StructType(fields), accepted=False)
+
+
+def read_clean(spark: SparkSession, warehouse: str, name: str, schema: T.StructType) -> DataFrame:
+    """The rows that the last load of ``name`` let through, published or known before."""
+    return _staged(spark, warehouse, name, T.StructType(schema.fields + schemas.SOURCE_FIELDS), accepted=True)
 
 
 def job_upcoming_load(spark: SparkSession, landing: str, warehouse: str,
                       blank_is_null: bool = False) -> DataFrame:
-    """Landed odds files to bronze, silver and gold. The first odds of a match stay."""
+    """Landed odds files to staged rows and gold. The first odds of a match stay."""
     with temporary_stages(spark):
         landed = read_csv_wide(spark, landing, schemas.UPCOMING_CSV, with_source=True)
         return _load(spark, warehouse, "upcoming", typed_upcoming(landed, SOURCE),

@@ -1,8 +1,8 @@
 """CSV landing folders whose files do not share one header.
 
-All files are read in one scan as numbered text columns; each file's own header, found by
-a peek at the head of the file, then names the values of its rows. One plan serves any
-number of different headers. A record is one line: line breaks inside quotes would keep
+All files are read in one scan as numbered text columns; each file's own header, its first line
+in a scan as plain text, then names the values of its rows. One plan serves any number of
+different headers. A record is one line: line breaks inside quotes would keep
 Spark from splitting a large file. Only the first line of a file is its header: one that
 comes again is a row like any other, for the quality gate to judge. A row with more values
 than its header has names is kept, marked, with its text.
@@ -10,7 +10,7 @@ than its header has names is kept, marked, with its text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.convert import MISSING_TOKENS, missing_to_null
@@ -22,50 +22,35 @@ from ..session import stage
 SOURCE = ["source_file", "source_start", "source_row", "raw", "cells_fit"]
 
 
-def _peek():
-    """Paths in, (path, header) out; reads the first record of each file only.
+#: A value with the comma before it: quoted text, with quotes doubled, or text up to the next comma.
+_CELL = r',(?:"(?:[^"]++|"")*+")?[^,]*+'
 
-    The function is built here so that it travels to the workers by value.
-    """
-    def read(batches):
-        import csv
-        import io
-        import re
-        from urllib.parse import unquote
-
-        import pandas as pd
-        from pyarrow import fs
-
-        for batch in batches:
-            headers = []
-            for uri in batch["path"]:
-                plain = re.sub(r"^file:/+", "/", uri)
-                if plain.startswith("/"):
-                    source, name = fs.LocalFileSystem(), unquote(plain)
-                else:
-                    source, name = fs.FileSystem.from_uri(uri)
-                with source.open_input_stream(name) as raw:
-                    text = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="")
-                    # Spark takes the first line that is not blank.
-                    heads = (r for r in csv.reader(text) if len(r) > 1 or "".join(r).strip())
-                    names, seen = next(heads, []), {}
-                # A repeated name gets a number, so that a row can become a map.
-                unique = []
-                for n in names:
-                    again = seen.get(n, 0)
-                    seen[n] = again + 1
-                    unique.append(f"{n}.{again}" if again else n)
-                headers.append(unique)
-            yield pd.DataFrame({"path": batch["path"], "header": headers})
-
-    return read
+
+def header_names(line: Column) -> Column:
+    """The names in a header line; one that comes again gets a number, so that a row can become a map."""
+    cells = F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), F.lit(0)), lambda c: F.regexp_replace(c, "^,", ""))
+    quoted = r'(?s)^"((?:[^"]++|"")*+)"(.*)$'
+    plain = F.transform(cells, lambda c: F.when(c.rlike(quoted), F.concat(
+        F.replace(F.regexp_extract(c, quoted, 1), F.lit('""'), F.lit('"')), F.regexp_extract(c, quoted, 2))).otherwise(c))
+
+    def numbered(name: Column, at: Column) -> Column:
+        again = F.size(F.filter(F.slice(plain, F.lit(1), at), lambda n: n == name))
+        return F.when(again > 0, F.concat(name, F.lit("."), again.cast("string"))).otherwise(name)
+
+    return F.transform(plain, numbered)
 
 
 def landed_headers(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """(path, header) of every non-empty file; lists paths and scans no contents."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path) \
-        .where("length > 0").select(F.col("_metadata.file_path").alias("path"))
-    return files.mapInPandas(_peek(), "path string, header array<string>").where(F.size("header") > 0)
+    """(path, header) of every non-empty file: its first line that is not blank, read as text.
+
+    Only Spark's own reader opens files, so any store it reads will do. Each task keeps one line per file.
+    """
+    lines = spark.read.option("pathGlobFilter", glob).text(path).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"))
+    lines = lines.where((F.col("start") == 0) & (F.trim("value") != ""))
+    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    return first.select("path", header_names(F.regexp_replace("line", "^\ufeff", "")).alias("header"))
 
 
 def read_named_cells(spark: SparkSession, path: str, columns: dict[str, str], glob: str = "*.csv",

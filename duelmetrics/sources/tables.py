@@ -57,6 +57,22 @@ def version_of(spark: SparkSession, root: str, tag: str) -> int | None:
     return found[0] if found else None
 
 
+def newest_max(spark: SparkSession, root: str, name: str, schema: T.StructType, column: str) -> int:
+    """The greatest value of a column that grows with each version: that of the newest version with rows, or 0."""
+    for v in reversed(versions(spark, root)):
+        most = spark.read.schema(schema).parquet(f"{root}/v{v}/{name}").agg(F.max(column)).first()[0]
+        if most is not None:
+            return most
+    return 0
+
+
+def tags(spark: SparkSession, root: str) -> list[str]:
+    """The tags of all committed versions."""
+    fs, jvm = _fs(spark, root)
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/v*/_COMMITTED-*")) or []
+    return [s.getPath().getName().partition("-")[2] for s in found]
+
+
 def _marked(spark: SparkSession, root: str, marker: str) -> list[int]:
     fs, jvm = _fs(spark, root)
     found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/v*/{marker}"))
@@ -64,10 +80,12 @@ def _marked(spark: SparkSession, root: str, marker: str) -> list[int]:
 
 
 def commit_version(spark: SparkSession, root: str, tables: dict[str, DataFrame],
-                   tag: str | None = None, partition_by: dict[str, str] | None = None) -> int:
+                   tag: str | None = None, partition_by: dict[str, list[str]] | None = None,
+                   emptied: dict[str, list[str]] | None = None) -> int:
     """Write ``tables`` as the next version of ``root`` and make them visible together.
 
-    A ``tag`` names the work that made the version. With one that is committed already nothing
+    ``partition_by`` names the columns whose values make a table's parts (``current_parts``), and
+    ``emptied`` the parts that this version leaves without rows. A ``tag`` names the work that made the version. With one that is committed already nothing
     happens, so a replay is safe; versions are numbered on whoever writes them.
     """
     held = version_of(spark, root, tag) if tag else None
@@ -79,9 +97,12 @@ def commit_version(spark: SparkSession, root: str, tables: dict[str, DataFrame],
         writer = df.write.mode("overwrite")
         by = (partition_by or {}).get(name)
         if by:
-            writer = writer.partitionBy(by)
+            writer = writer.partitionBy(*by)
         writer.parquet(f"{root}/v{number}/{name}")
     fs, jvm = _fs(spark, root)
+    for name, parts in (emptied or {}).items():
+        for part in parts:
+            fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{root}/v{number}/{name}/{part}"))
     marker = f"_COMMITTED-{tag}" if tag else "_COMMITTED"
     fs.create(jvm.org.apache.hadoop.fs.Path(f"{root}/v{number}/{marker}"), True).close()
     return number
@@ -103,6 +124,28 @@ def read_all(spark: SparkSession, root: str, name: str, schema: T.StructType) ->
     return spark.read.schema(schema).parquet(*[f"{root}/v{v}/{name}" for v in done])
 
 
+def current_parts(spark: SparkSession, root: str, name: str, depth: int) -> dict[str, str]:
+    """{part: path} of a table committed in parts: the newest committed version of each.
+
+    A part is a folder ``depth`` partition columns deep, such as ``_group=3/_period=2024-01-01``. The
+    list grows with the parts and versions of the table, not with its rows.
+    """
+    committed = set(versions(spark, root))
+    fs, jvm = _fs(spark, root)
+    found: dict[str, tuple[int, str]] = {}
+    for status in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/v*/{name}" + "/*=*" * depth)) or []:
+        path = status.getPath().toString()
+        version, _, part = path.rsplit("/v", 1)[1].partition(f"/{name}/")
+        if int(version) in committed and found.get(part, (0, ""))[0] < int(version):
+            found[part] = (int(version), path)
+    return {part: path for part, (_, path) in sorted(found.items())}
+
+
+def read_parts(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """The rows of some parts; their folders are read as such, so no other part is listed or opened."""
+    return spark.read.schema(schema).parquet(*paths) if paths else empty(spark, schema)
+
+
 def expire_versions(spark: SparkSession, root: str, keep: int) -> None:
     """Delete all but the newest ``keep`` versions: for tables of which only the newest counts."""
     for old in versions(spark, root)[:-keep]:

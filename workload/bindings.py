@@ -45,6 +45,17 @@ def open_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).selectExpr("match_id", "matchdate", "player1", "player2", "if(first_won, player1, player2) as winner")
 
 
+def crowded_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders as matches of one pool of very many players: four to each customer."""
+    o = table(spark, sf_dir, "orders")
+    first = F.expr("o_custkey * 4 + o_orderkey % 4")
+    return o.select(
+        F.col("o_orderkey").alias("match_id"), F.col("o_orderdate").cast("date").alias("matchdate"), F.lit(0).alias("pool"),
+        first.cast("string").alias("player1"), (first + 1 + F.expr("o_orderkey * 31 % 997")).cast("string").alias("player2"),
+        (F.col("o_totalprice") > 250000).alias("first_won"),
+    ).selectExpr("match_id", "matchdate", "pool", "player1", "player2", "if(first_won, player1, player2) as winner")
+
+
 def uneven_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The open matches, split into pools of which the first holds a third of all."""
     m = open_matches(spark, sf_dir)
@@ -72,6 +83,22 @@ def odds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_set("entry")), ", "), F.lit("}")).alias("odds"))
 
 
+def nested_odds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, odds): an order's prices as JSON of every shape, by line number; some texts hold no object."""
+    lines = quoted_lines(spark, sf_dir).drop("p1", "p2").join(
+        table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line")).agg(
+            (1 + F.max("l_quantity") / 10).cast("string").alias("p1"), (1 + F.max("l_extendedprice") / 20000).cast("string").alias("p2")),
+        ["id", "line"])
+    shapes = {1: '"bm1_P1": "{1}", "bm1_P2": {2}', 2: '"bm2": {"P1": {1}, "P2": "{2}", "limit": {"P1": 900}, "open": true}',
+              3: '"bm3": [{1}, "{2}", 7, null]', 4: '"bm4_P1": " {1} ", "bm4_P2": "n/a"', 5: '"bm5_P1": null, "bm5_P2": true',
+              6: '"bm6_P1": "NaN", "bm6_P2": "Infinity"', 7: '"bm7_P1": {}, "bm7_P2": []'}
+    shape = F.element_at(F.create_map(*(x for n, s in shapes.items() for x in (F.lit(n), F.lit(s)))), F.col("line").cast("int"))
+    entry = F.replace(F.replace(shape, F.lit("{1}"), F.col("p1")), F.lit("{2}"), F.col("p2"))
+    whole = lines.groupBy("id").agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list(entry)), ", "), F.lit("}")).alias("odds"))
+    return whole.withColumn("odds", F.expr("case when id % 17 = 0 then 'not json' when id % 19 = 0 then concat('[', odds, ']') "
+                                           "when id % 23 = 0 then concat(substr(odds, 1, length(odds) - 1), ', \"x\": 1, \"x\": 2}') else odds end"))
+
+
 def upcoming(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every match as it stood before it was played: id, matchdate, players, odds."""
     m = matches(spark, sf_dir).withColumnRenamed("match_id", "id")

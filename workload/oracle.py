@@ -32,6 +32,18 @@ m AS MATERIALIZED (
          row_number() OVER (PARTITION BY pool ORDER BY matchdate, match_id) AS rn
   FROM m0)"""
 
+# One pool of four players to each customer.
+CROWDED = """
+m0 AS (
+  SELECT o_orderkey AS match_id, o_orderdate::DATE AS matchdate, 0 AS pool, (o_custkey * 4 + o_orderkey % 4)::INTEGER AS a,
+         (o_custkey * 4 + o_orderkey % 4 + 1 + o_orderkey * 31 % 997)::INTEGER AS b, o_totalprice > 250000 AS won
+  FROM orders),
+m AS MATERIALIZED (
+  SELECT match_id, matchdate, pool, a, b, won, (SELECT max(b) + 1 FROM m0) AS places, a::VARCHAR AS player1,
+         b::VARCHAR AS player2, CASE WHEN won THEN a ELSE b END::VARCHAR AS winner,
+         row_number() OVER (PARTITION BY pool ORDER BY matchdate, match_id) AS rn
+  FROM m0)"""
+
 # One step per match of a pool; the ratings of the pool are a list.
 LOG = """
 steps AS (
@@ -182,6 +194,11 @@ ALL = {
     "elo_incremental": _with(*POOLED) + SHOW_LOG,
     "late_match": _with(*POOLED) + SHOW_LOG,
     "stream_rated": _with(*POOLED) + SHOW_LOG,
+    "stream_state_rated": _with(*POOLED) + SHOW_LOG,
+    "late_match_snapshot": _with(*POOLED) + SHOW_LOG,
+    "elo_from_versions": _with(*POOLED) + SHOW_LOG,
+    "elo_frontier": _with(CROWDED, LOG) + SHOW_LOG,
+    "rankings_in_parts": _with(*POOLED, RANKS) + "SELECT player, elo FROM ranks",
     "elo_rankings": _with(*POOLED, RANKS) + "SELECT player, elo FROM ranks",
     "elo_single_pool": _with(OPEN.format(pool="0"), LOG) + SHOW_LOG,
     "elo_hot_pool": _with(OPEN.format(pool="CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey % 40 END"), LOG)
@@ -274,6 +291,15 @@ SELECT id,
        CASE WHEN scored THEN round(-(y * ln(n) + (1 - y) * ln(1 - n)), 9) ELSE -1 END AS logloss_bookmaker
 FROM u""",
     "best_odds": _with(LINES) + f"SELECT id, {R('b1', 'best_p1')}, {R('b2', 'best_p2')} FROM best",
+    "odds_variant": _with(LINES, """
+priced AS (
+  SELECT id, 'bm' || line || '_P1' AS name, v1 AS price FROM lines WHERE line <= 4
+  UNION ALL SELECT id, 'bm' || line || '_P2', v2 FROM lines WHERE line <= 3
+  UNION ALL SELECT id, 'bm3_P3', 7 FROM lines WHERE line = 3),
+kept AS (SELECT *, id % 17 <> 0 AND id % 19 <> 0 AND id % 23 <> 0 AS readable FROM (SELECT DISTINCT id FROM lines))""") + """
+SELECT k.id, readable, coalesce(string_agg(name, ',' ORDER BY name), '') AS names,
+       round(max(price) FILTER (name LIKE '%_P1'), 9) AS best_p1, round(max(price) FILTER (name LIKE '%_P2'), 9) AS best_p2
+FROM kept k LEFT JOIN priced p ON p.id = k.id AND readable GROUP BY k.id, readable""",
     "implied_edge": """
 SELECT event_id, round(1 / nullif(v, 0), 9) AS implied, round(0.6 - 1 / nullif(v, 0), 9) AS edge
 FROM (SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 0 ELSE value END AS v FROM events)""",
@@ -332,6 +358,9 @@ SELECT event_id, CASE WHEN event_id % 4 < 2 THEN strftime(ts, '%Y-%m-%d %H:%M:00
        strftime(make_timestamp((1700000000 + event_id) * 1000000), '%Y-%m-%d %H:%M:%S') AS moment FROM events""",
     "insert_if_absent": _with(KEYED) + """
 SELECT o_orderkey, o_custkey, day::VARCHAR AS day, o_totalprice FROM fresh""",
+    "insert_if_absent_bucketed": _with(KEYED) + """
+SELECT o_orderkey, o_custkey, day::VARCHAR AS day, o_totalprice FROM target
+UNION ALL SELECT o_orderkey, o_custkey, day::VARCHAR, o_totalprice FROM fresh""",
     "insert_if_absent_idempotent": _with(KEYED) + """
 SELECT 1 AS run, count(*) AS n FROM fresh WHERE o_custkey IS NOT NULL UNION ALL SELECT 2, 0""",
     "load_audit": _with(KEYED) + """

@@ -8,17 +8,20 @@ from pyspark.sql import types as T
 
 from duelmetrics import schemas
 from duelmetrics.functions import convert, odds, scoring, text
+from duelmetrics.functions import odds_variant as variant
 from duelmetrics.functions.html import tag_text
 from duelmetrics.operators import asof, elo, keyed, quality, ranking, reshape, star
-from duelmetrics.plans import jobs
+from duelmetrics.plans import jobs, rating_store
 from duelmetrics.plans.backtest import backtest as backtest_plan
 from duelmetrics.plans.mentions import post_symbols, symbol_mentions
 from duelmetrics.plans.predict import predict as predict_plan
 from duelmetrics.plans.refresh import refresh_odds_scores
 from duelmetrics.session import scratch_dir, stage
+from duelmetrics.sources import bucketed
 from duelmetrics.sources import csv_landing as landing
 from duelmetrics.sources import json_payloads, pages, sinks, tables
 from duelmetrics.streaming.landing import stream_landing, stream_ratings
+from duelmetrics.streaming.rating_state import stream_state_ratings
 
 from . import bindings as b
 
@@ -76,6 +79,61 @@ def elo_hot_pool(spark, sf):
     return shown_log(elo.elo_log(b.uneven_matches(spark, sf), None, "pool"))
 
 
+def elo_frontier(spark, sf):
+    """One pool of very many players, rated by rounds of joins."""
+    return shown_log(elo.elo_log(b.crowded_matches(spark, sf), None, "pool", method="frontier"))
+
+
+def _late(spark, sf):
+    """(matches that land in time, matches of one order status that land late)."""
+    m = b.matches(spark, sf)
+    late = b.table(spark, sf, "orders").where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("match_id"))
+    return m.join(late, "match_id", "left_anti").select(*m.columns), m.join(late, "match_id", "left_semi").select(*m.columns)
+
+
+def late_match_snapshot(spark, sf):
+    """Late matches are brought in from the snapshot before them; the corrected log is committed."""
+    root = scratch_dir(spark, "store")
+    for part in _late(spark, sf):
+        rating_store.rate_matches(spark, root, part, "pool", period="year")
+    return shown_log(rating_store.read_store(spark, root, "pool", T.LongType())[0])
+
+
+def rankings_in_parts(spark, sf):
+    """Two increments; the second rewrites the parts of the pools it touches."""
+    root = scratch_dir(spark, "store")
+    m = b.matches(spark, sf)
+    for part in ("matchdate < date'1998-07-01'", "matchdate >= date'1998-07-01'"):
+        rating_store.rate_matches(spark, root, m.where(part), "pool", period="year")
+    return rating_store.read_store(spark, root, "pool", T.LongType())[1].select("player", "elo")
+
+
+def elo_from_versions(spark, sf):
+    """Three loads of gold and a rating run after the first and the third; a run opens only versions it has not seen."""
+    root = scratch_dir(spark, "versions")
+    m = b.matches(spark, sf)
+    for k, part in enumerate(("matchdate < date'1994-01-01'", "matchdate between date'1994-01-01' and date'1996-12-31'",
+                              "matchdate > date'1996-12-31'")):
+        tables.commit_version(spark, f"{root}/gold", {"rows": m.where(part)})
+        if k != 1:
+            rating_store.rate_gold(spark, f"{root}/ratings", f"{root}/gold", m.schema, "pool", period="year")
+    return shown_log(rating_store.read_store(spark, f"{root}/ratings", "pool", T.LongType())[0])
+
+
+def stream_state_rated(spark, sf):
+    """Four landed files, two micro-batches each time, the stream started again in between."""
+    root = scratch_dir(spark, "stream")
+    orders = b.table(spark, sf, "orders")
+    day = F.col("o_orderdate").cast("date")
+    ends = ["1900-01-01", "1993-07-01", "1995-01-01", "1996-07-01", "2100-01-01"]
+    for k, (low, high) in enumerate(zip(ends, ends[1:])):
+        orders.where((day >= low) & (day < high)).coalesce(1).write.mode("append").parquet(f"{root}/landed")
+        if k % 2:
+            log = stream_state_ratings(spark, f"{root}/landed", orders.schema, f"{root}/checkpoint", f"{root}/log",
+                                       b.matches_of, "pool", max_files=1)
+    return shown_log(log)
+
+
 def late_match(spark, sf):
     """The matches of one status arrive late; the pools they touch are then rated again."""
     root = scratch_dir(spark, "late")
@@ -218,6 +276,16 @@ def best_odds(spark, sf):
     return _best(spark, sf).select("id", rounded("best_p1"), rounded("best_p2"))
 
 
+def odds_variant(spark, sf):
+    """Prices as quoted numbers, in nested objects and lists, among junk."""
+    parsed = b.nested_odds(spark, sf).withColumn("v", variant.parse_odds_variant("odds"))
+    prices = parsed.withColumn("prices", variant.named_prices("v"))
+    names = F.array_join(F.array_sort(F.transform("prices", lambda p: p["name"])), ",")
+    return prices.select("id", F.col("v").isNotNull().alias("readable"), F.coalesce(names, F.lit("")).alias("names"),
+                         F.round(variant.best_price("prices", "_P1"), 9).alias("best_p1"),
+                         F.round(variant.best_price("prices", "_P2"), 9).alias("best_p2"))
+
+
 def implied_edge(spark, sf):
     e = b.table(spark, sf, "events").withColumn("price", F.expr("if(event_id % 10 = 0, 0, value)"))
     p = odds.implied("price")
@@ -357,6 +425,17 @@ def insert_if_absent(spark, sf):
     return new.select("o_orderkey", "o_custkey", day("day"), "o_totalprice")
 
 
+def insert_if_absent_bucketed(spark, sf):
+    """The whole bucketed table after the batch came twice; the second time only rows with a broken key are new."""
+    target, batch = _keyed_target(spark, sf), _keyed_batch(spark, sf)
+    path = scratch_dir(spark, "keyed")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    bucketed.bucketed_table(spark, name, path, batch.schema, KEYED, 8)
+    for rows in (target, batch, batch.where("o_custkey is not null")):
+        bucketed.insert_if_absent_bucketed(spark, name, rows, KEYED, 8, ["o_orderkey"])
+    return spark.table(name).select("o_orderkey", "o_custkey", day("day"), "o_totalprice")
+
+
 def insert_if_absent_idempotent(spark, sf):
     batch = _keyed_batch(spark, sf).where("o_custkey is not null")
     target = _keyed_target(spark, sf).where("o_custkey is not null")
@@ -707,11 +786,12 @@ def upcoming_pages_to_csv(spark, sf):
 
 
 ALL = {f.__name__: f for f in (
-    elo_log, elo_rankings, elo_incremental, elo_single_pool, elo_hot_pool, late_match, stream_rated, register_entities,
+    elo_log, elo_rankings, elo_incremental, elo_single_pool, elo_hot_pool, elo_frontier, late_match,
+    late_match_snapshot, rankings_in_parts, elo_from_versions, stream_rated, stream_state_rated, register_entities,
     unprocessed, pending, pending_count, asof_own, asof_first_slot, asof_count, asof_null_value, lookup_default, predict, backtest, odds_refresh,
-    best_odds, implied_edge, devig, win_probability, log_loss_winner, log_loss_clipped, brier, wide_to_map,
+    best_odds, odds_variant, implied_edge, devig, win_probability, log_loss_winner, log_loss_clipped, brier, wide_to_map,
     match_sides, quality_gate_clean, quality_gate_rejects, quality_gate_audit, quality_gate_blank, safe_casts,
-    parse_datetimes, insert_if_absent, insert_if_absent_idempotent, load_audit, surrogate_ids, upsert_last_wins,
+    parse_datetimes, insert_if_absent, insert_if_absent_bucketed, insert_if_absent_idempotent, load_audit, surrogate_ids, upsert_last_wins,
     update_columns, truncate_and_load, append_rows, csv_landing, csv_rejects, csv_wide, dated_csv, results_job, upcoming_job,
     match_chain, file_chain, stream_landed, star_load_prices, star_items, snapshot_pages, flat_json_items, listing_filter,
     symbol_extract, newest_posts_symbols, newest_rows, newest_preview, page_titles, page_links, match_pages,
