@@ -8,43 +8,68 @@ one, and of more than ``open_bins`` open ones the fullest is closed.
 
 from __future__ import annotations
 
-import base64
-import sys
+import json
 import zlib
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
 
-#: The ranks of byte_bpe_50k.json: the same vocabulary for a faster library, with the same ids.
-RANKS = "byte_bpe_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 _encoders: dict = {}
 
 
-def default_vocabulary() -> str:
+def default_tokenizer() -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(RANKS)
+    return public_tokenizers.path(TOKENIZER)
 
 
-def encoder(path: str):
-    """The tokenizer of a rank file, loaded once per Python worker. It has no special tokens."""
+def _ranks(model: dict) -> dict[bytes, int] | None:
+    """The vocabulary by bytes, if its ids are ranks: single bytes first, then a merge after the other."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in own} | {chr(256 + n): b for n, b in enumerate(sorted(set(range(256)) - set(own)))}
+    vocab = model["vocab"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    if any(vocab.get(a + b) != 256 + n for n, (a, b) in enumerate(merges)) or any(vocab.get(c, 256) > 255 for c in byte):
+        return None
+    return {bytes(byte[c] for c in token): i for token, i in vocab.items() if i < 256 + len(merges)}
+
+
+def encoder(path: str) -> Callable[[str], np.ndarray]:
+    """Text to the ids that ``tokenizers`` gives with the file's own settings and no special tokens added.
+
+    Their strings inside a text are their ids, as by that library's default. A byte-level file whose ids are
+    ranks goes through a library that is several times as fast and gives the same ids; any other
+    goes through ``tokenizers``. Loaded once per Python worker.
+    """
     if path not in _encoders:
-        import public_tokenizers
-        import tiktoken
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        plain = not any(t[k] for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized"))
+        step = spec["pre_tokenizer"] or {}
+        level = step.get("type") == "ByteLevel" and step.get("use_regex", True) and not step.get("add_prefix_space")
+        ranks = _ranks(spec["model"]) if plain and level and not spec["normalizer"] and spec["model"]["type"] == "BPE" else None
+        if ranks:
+            import public_tokenizers
+            import tiktoken
+
+            fast = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+            _encoders[path] = lambda text: fast.encode_to_numpy(text, allowed_special="all").astype("<u4")
+        else:
+            from tokenizers import Tokenizer
 
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        _encoders[path] = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                                            special_tokens={})
+            whole = Tokenizer.from_file(path)
+            _encoders[path] = lambda text: np.array(whole.encode(text, add_special_tokens=False).ids, "<u4")
     return _encoders[path]
 
 
-def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranks_path: str | None = None,
+def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None,
            capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every document.
 
@@ -52,18 +77,15 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranks_pa
     ones are cut, into pieces of ``capacity`` ids; what is left over makes the first piece. Other
     columns are ignored; repeated rows are packed as often as they come.
     """
-    path = ranks_path or default_vocabulary()
+    path = tokenizer or default_tokenizer()
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode_ordinary
+        encode = encoder(path)
         for batch in batches:
             rows: list[tuple] = []
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = array("I", encode(value.as_py() or ""))
-                ids.append(end_id)
-                if sys.byteorder == "big":
-                    ids.byteswap()
+                ids = np.append(encode(value.as_py() or ""), np.array([end_id], "<u4"))
                 n, ids = len(ids), ids.tobytes()
                 begin, k = 0, 0
                 stop = n % capacity or capacity
@@ -154,7 +176,7 @@ def pack(cut: DataFrame, capacity: int = 2048, open_bins: int = 2048, group_piec
 def pack_documents(docs: DataFrame, **options) -> DataFrame:
     """Pieces of all documents with the sequence and offset that each one gets.
 
-    ``options``: doc_id, text, ranks_path, capacity, end_id, open_bins, group_pieces. An empty
+    ``options``: doc_id, text, tokenizer, capacity, end_id, open_bins, group_pieces. An empty
     table gives an empty result with the same columns.
     """
     later = {k: options.pop(k) for k in ("open_bins", "group_pieces") if k in options}

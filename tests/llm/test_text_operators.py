@@ -171,7 +171,6 @@ def check_packing(rows, docs, capacity=2048):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     by_doc, by_sequence = {}, {}
     for r in rows:
         by_doc.setdefault(r.doc_id, []).append(r)
@@ -210,6 +209,26 @@ def test_packing_of_odd_rows(spark, odd):
     assert packing.pack_documents(odd.limit(0)).count() == 0
 
 
+def test_special_tokens_inside_texts(spark):
+    """Their strings are their ids wherever they stand, as the contract's library gives them by default."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    mark = "<|endoftext|>"
+    texts = [mark, f"{mark}a b", f"a {mark} b", f"a b{mark}", f"a b {mark}", f"x{mark}{mark}y", f"{mark}  {mark}\n", f"don't{mark}'t stop {mark}s",
+             "<|endoftext", f"<{mark}>", f"é{mark}漢", f"word  {mark}  word", f"{mark} " * 3000, "<|startoftext|>"]
+    rows = packing.pack_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    check_packing(rows, dict(enumerate(texts)))
+    encode, path = packing.encoder(packing.default_tokenizer()), public_tokenizers.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(path)
+    for text in texts:
+        assert encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    # A file whose ids aren't ranks goes through the library itself.
+    other = public_tokenizers.path("word_bpe_49k.json")
+    assert packing.encoder(other)("Some Words").tolist() == Tokenizer.from_file(other).encode("Some Words", add_special_tokens=False).ids
+
+
 def test_best_fit_against_a_list_of_bins():
     rng = np.random.default_rng(5)
     for limit in (1, 3, 50):
