@@ -1,6 +1,8 @@
 """Toxicity by a chain of linear classifiers.
 
-Categories are predicted one after the other. Each model is a logistic regression, with an
+The labels know one kind of toxicity. Finer categories come from the labelled rows themselves: the
+toxic ones are clustered by the strings that tell them from the clean ones, whatever their
+vocabulary, and each cluster is a category before the label. Categories are predicted one after the other. Each model is a logistic regression, with an
 absolute-value penalty, over which five-byte strings of letters occur in a text, and over the
 probabilities of the categories before it. For training these are out-of-fold predictions, so a
 later model sees earlier probabilities as good as they'll be on new texts.
@@ -17,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
 from . import buffers
 
 GRAM = 5
@@ -32,12 +35,9 @@ PENALTY = 0.002
 #: middle of those that cost least on out-of-fold predictions.
 CLEAN_COST = 4
 
-#: Words that split the toxic documents into finer categories for training. The
-#: last category is the label itself.
-CATEGORIES: tuple[tuple[str, tuple[str, ...]], ...] = (
-    ("insult", ("idiot", "moron", "loser", "clown", "stupid")),
-    ("contempt", ("scum", "trash", "pathetic", "worthless", "disgusting")),
-    ("toxic", ()))
+#: Kinds of toxic rows that come before the label in the chain, found by clustering, and tries at that.
+KINDS = 2
+TRIES = 8
 
 _BYTES = buffers.spaced("letters")
 _places = buffers.stream(41, GRAM)
@@ -103,15 +103,57 @@ def _logistic(x: np.ndarray, y: np.ndarray, free: int, penalty: float, rounds: i
     return w
 
 
+def _uneven(counts: list[np.ndarray], n0: int, n1: int) -> np.ndarray:
+    """How much more unevenly than by chance each string occurs, by its rows without and with the label."""
+    n0, n1 = max(1, n0), max(1, n1)
+    both = (counts[0] + counts[1]) / (n0 + n1)
+    return np.abs(counts[1] / n1 - counts[0] / n0) / np.sqrt(both * (1 - both) * (1 / n0 + 1 / n1) + 1e-9)
+
+
+def _kinds(rows: list[np.ndarray], toxic: np.ndarray, count: int) -> np.ndarray:
+    """One column per cluster of the toxic rows, 1 for its rows; rows without telling strings are in none.
+
+    Clusters are of directions: a row is with the centre whose strings it shares most, for its
+    length. Of TRIES starts the one with the closest rows counts; larger clusters come first.
+    """
+    out = np.zeros((len(rows), count), np.int64)
+    counts = [np.zeros(1 << BITS), np.zeros(1 << BITS)]
+    for k, row in enumerate(rows):
+        counts[int(toxic[k])][row] += 1
+    n0, n1 = int((~toxic).sum()), int(toxic.sum())
+    uneven = _uneven(counts, n0, n1)
+    uneven[(counts[1] < 2) | (counts[1] * max(1, n0) <= counts[0] * max(1, n1))] = 0
+    chosen = np.sort(np.argsort(-uneven, kind="stable")[:FEATURES])
+    x = _matrix(rows, toxic, chosen[uneven[chosen] > 0])
+    length = np.sqrt(x.sum(axis=1))
+    own = np.flatnonzero(toxic)[length > 0]
+    x = x[length > 0] / length[length > 0][:, None]
+    if len(x) < count:
+        return out
+    rng, best = np.random.default_rng(3), None
+    for _ in range(TRIES):
+        centres = x[rng.choice(len(x), count, replace=False)]
+        for _ in range(25):
+            near = x @ centres.T
+            group = near.argmax(axis=1)
+            sums = np.stack([x[group == g].sum(axis=0) for g in range(count)])
+            size = np.linalg.norm(sums, axis=1, keepdims=True)
+            centres = np.where(size > 0, sums / np.maximum(size, 1e-9), centres)
+        close = float((x @ centres.T).max(axis=1).sum())
+        if best is None or close > best[0] + 1e-6:
+            best = close, group
+    order = np.argsort(-np.bincount(best[1], minlength=count), kind="stable")
+    for c, g in enumerate(order):
+        out[own[best[1] == g], c] = 1
+    return out
+
+
 def _fit(rows: list[np.ndarray], use: np.ndarray, y: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(chosen strings, weights) from the rows ``use``."""
     counts = [np.zeros(1 << BITS), np.zeros(1 << BITS)]
     for k in np.flatnonzero(use):
         counts[int(y[k])][rows[k]] += 1
-    n0, n1 = max(1, (y[use] == 0).sum()), max(1, (y[use] == 1).sum())
-    p0, p1 = counts[0] / n0, counts[1] / n1
-    both = (counts[0] + counts[1]) / (n0 + n1)
-    uneven = np.abs(p1 - p0) / np.sqrt(both * (1 - both) * (1 / n0 + 1 / n1) + 1e-9)
+    uneven = _uneven(counts, int((y[use] == 0).sum()), int((y[use] == 1).sum()))
     chosen = np.sort(np.argsort(-uneven, kind="stable")[:FEATURES])
     x = np.concatenate([_matrix(rows, use, chosen), before[use]], axis=1)
     return chosen, _logistic(x, y[use].astype(np.float32), before.shape[1], PENALTY)
@@ -161,14 +203,8 @@ def _train(rows: list[np.ndarray], y: np.ndarray, folds: np.ndarray, names: tupl
     return Chain(names, tuple(grams), tuple(weights), tuple(earlier), tuple(intercepts), threshold)
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
-          categories: tuple[tuple[str, tuple[str, ...]], ...] = CATEGORIES) -> Chain:
-    """A chain from a bounded sample of labelled documents, trained in one task.
-
-    ``labels`` has doc_id and 0 or 1; other values and nulls are left out, of repeated ids the
-    larger label counts. Without both kinds of labels the chain finds nothing toxic.
-    """
-    names = tuple(name for name, _ in categories)
+def _sample(docs: DataFrame, labels: DataFrame, label: str, doc_id: str, text: str) -> DataFrame:
+    """(grams, fold, toxic) of the labelled rows that are learned from, in as many tasks as the documents have."""
     once = labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)) \
         .groupBy(F.col(doc_id).cast("long").alias("doc_id")).agg(F.max(label).alias("label"))
     # Each side is a top-k, so no task ever holds all rows of a label.
@@ -176,10 +212,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
     chosen = first(1, SAMPLE_TOXIC).union(first(0, SAMPLE_CLEAN))
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text")).join(F.broadcast(chosen), "doc_id")
-    low = F.lower("text")
-    marks = [(F.col("label") == 1) & (low.rlike(r"\b(" + "|".join(words) + r")\b") if words else F.lit(True)) for _, words in categories]
-    rows = rows.select("text", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"),
-                       F.array(*(m.cast("int") for m in marks)).alias("marks"))
+    rows = rows.select("text", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"), F.col("label").cast("int").alias("toxic"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,7 +220,19 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
             for lo, hi, doc, gram in _features(batch.column(0)):
                 ends = np.searchsorted(doc, np.arange(hi - lo + 1))
                 found += [np.unique(gram[a:b]).astype("<i4").tobytes() for a, b in zip(ends[:-1], ends[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1), batch.column(2)], names=["grams", "fold", "marks"])
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1), batch.column(2)], names=["grams", "fold", "toxic"])
+
+    return rows.mapInArrow(encode, "grams binary, fold int, toxic int")
+
+
+def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text", kinds: int = KINDS) -> Chain:
+    """A chain from a bounded sample of labelled documents, trained in one task.
+
+    ``labels`` has doc_id and 0 or 1; other values and nulls are left out, of repeated ids the
+    larger label counts. Without both kinds of labels the chain finds nothing toxic. ``kinds`` is the
+    number of categories before the label, kind_1, kind_2 and so on.
+    """
+    names = tuple(f"kind_{c + 1}" for c in range(kinds)) + ("toxic",)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -195,14 +240,16 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str
             held += zip(*(batch.column(k).to_pylist() for k in range(3)))
         held.sort()  # the order in which rows arrive must not matter
         chain = Chain(names)
-        y = np.array([h[2] for h in held]).reshape(len(held), len(names))
-        if len(set(y[:, -1].tolist())) == 2:
-            chain = _train([np.frombuffer(h[0], "<i4") for h in held], y, np.array([h[1] for h in held]), names)
+        toxic = np.array([h[2] == 1 for h in held], bool)
+        if len(set(toxic.tolist())) == 2:
+            rows = [np.frombuffer(h[0], "<i4") for h in held]
+            y = np.concatenate([_kinds(rows, toxic, kinds), toxic[:, None].astype(np.int64)], axis=1)
+            chain = _train(rows, y, np.array([h[1] for h in held]), names)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(chain)], pa.binary())], names=["chain"])
 
-    encoded = rows.mapInArrow(encode, "grams binary, fold int, marks array<int>")
-    # At most SAMPLE_TOXIC + SAMPLE_CLEAN rows meet here.
-    got = encoded.coalesce(1).mapInArrow(train, "chain binary").collect()
+    # Written first: what meets in one task are the chosen rows, not the scan that finds them.
+    sample = stage(_sample(docs, labels, label, doc_id, text), "toxicity-sample")
+    got = sample.coalesce(1).mapInArrow(train, "chain binary").collect()
     return pickle.loads(bytes(got[0].chain)) if got else Chain(names)
 
 
