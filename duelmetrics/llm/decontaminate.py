@@ -130,7 +130,7 @@ class Walk:
             inside = outputs[steps[-1]] != 0
             if apart:
                 reached = [p[at] for p in self.first] + [places[step] for step in steps]
-                inside &= np.all([a < b for a, b in zip(reached, reached[1:])], axis=0) & (reached[-1] - at >= shape.reach)
+                inside &= np.all([a < b for a, b in zip(reached, reached[1:])], axis=0) & (reached[-1] - reached[0] >= shape.reach)
             yield shape, at[inside], buffers.mix(key[inside])
 
 
@@ -194,7 +194,8 @@ def _planned(words: int, edits: float, recall: float) -> Shape:
         firsts = {w: _found(Shape(w, samples, most), words, edits) for w in windows}
         for walks, window in ((n, w) for n in WALKS if n <= most for w in windows):
             if min((first < walks).mean() for first in firsts[window]) >= recall:
-                return Shape(window, samples, walks)
+                # The next number up, as so few trials can't tell a recall from a slightly lower one.
+                return Shape(window, samples, WALKS[min(WALKS.index(walks) + 1, len(WALKS) - 1)])
         return None
 
     best = None
