@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from duelmetrics.llm import decontaminate, near_dup, packing, secret_scan, toxicity
-from duelmetrics.session import stage
+from duelmetrics.session import delete_folder, scratch_dir, temporary_stages
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,13 +43,22 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("best_fit_packing", pack),
 ]
 
-#: SQL can't express the classifier, the walks and the tokenizer; tests hold the rows against brute force.
+#: SQL can't express the classifier, the walks and the tokenizer; tests/llm/test_pipeline.py holds every stage and the whole against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage keeps is written and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; what a stage keeps is written and read again by the next.
+
+    What a stage staged for itself is deleted when its rows are written, and these when the next stage's are.
+    """
+    docs, held = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), name)
+        path = scratch_dir(spark, name)
+        with temporary_stages(spark):
+            kept = function(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        if held:
+            delete_folder(spark, held)
+        docs, held = spark.read.schema(kept.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
