@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .license_scan import TEMPLATES
+from .license_scan import TEMPLATES, anchored
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -89,32 +89,28 @@ def _quoted(text: str) -> str:
 
 
 _TEMPLATES = ", ".join(f"({k}, {_quoted(name)}, {_quoted(text)})" for k, (name, text) in enumerate(TEMPLATES))
+_STARTS = ", ".join(f"({k}, {_quoted(anchor)}, {before}, {size})" for k, _, anchor, before, size in anchored(TEMPLATES))
 _PAIRS = """list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))"""
 
 OP6 = f"""
 WITH templates(template, license, body) AS (VALUES {_TEMPLATES}),
+starts(template, anchor, before, size) AS (VALUES {_STARTS}),
 known AS (
-  SELECT template, license, len(pairs) AS b, unnest(pairs) AS pair
-  FROM (SELECT template, license, {_PAIRS} AS pairs
-        FROM (SELECT template, license, regexp_extract_all(translate(body, {_AZ}), '[a-z0-9]+') AS words FROM templates))),
-units AS (
-  SELECT doc_id, unnest(list_distinct(list_concat(list_concat([body], regexp_split_to_array(body, '\\n')),
-      list_concat(regexp_split_to_array(body, '[.!?;]+[\\x09-\\x0D\\x20]+|\\n'), regexp_split_to_array(body, '\\n[\\x09\\x20]*\\n'))))) AS unit
-  FROM (SELECT doc_id, coalesce(text, '') AS body FROM documents)),
-once AS (
-  SELECT unit, len(pairs) AS a, unnest(pairs) AS pair
-  FROM (SELECT unit, {_PAIRS} AS pairs
-        FROM (SELECT unit, regexp_extract_all(translate(unit, {_AZ}), '[a-z0-9]+') AS words FROM (SELECT DISTINCT unit FROM units)))),
-best AS (
-  SELECT unit, license, max(dice) AS dice
-  FROM (SELECT unit, template, license, 2 * count(*) / (a + b) AS dice FROM once JOIN known USING (pair)
-        GROUP BY unit, template, license, a, b)
-  WHERE dice >= 0.8 GROUP BY unit, license),
-found AS (SELECT doc_id, license, max(dice) AS dice FROM units JOIN best USING (unit) GROUP BY doc_id, license)
-SELECT d.doc_id, first(license ORDER BY dice DESC, license) AS license, max(dice) AS dice,
+  SELECT template, license, {_PAIRS} AS known
+  FROM (SELECT template, license, regexp_extract_all(translate(body, {_AZ}), '[a-z0-9]+') AS words FROM templates)),
+texts AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[a-z0-9]+') AS words FROM documents),
+places AS (SELECT rid, unnest(range(1, len(words) + 1)) AS place, words FROM texts),
+windows AS (
+  SELECT rid, template, words[greatest(place - before, 1):least(place - before + size - 1, len(words))] AS words
+  FROM places JOIN starts ON anchor = words[place]),
+compared AS (
+  SELECT rid, license, 2 * len(list_intersect(pairs, known)) / (len(pairs) + len(known)) AS dice
+  FROM (SELECT rid, template, {_PAIRS} AS pairs FROM windows) JOIN known USING (template)),
+found AS (SELECT rid, license, max(dice) AS dice FROM compared WHERE dice >= 0.8 GROUP BY rid, license)
+SELECT t.doc_id, first(license ORDER BY dice DESC, license) AS license, max(dice) AS dice,
        coalesce(string_agg(license, ',' ORDER BY license), '') AS licenses
-FROM documents d LEFT JOIN found f ON f.doc_id = d.doc_id
-GROUP BY d.doc_id
+FROM texts t LEFT JOIN found f ON f.rid = t.rid
+GROUP BY t.rid, t.doc_id
 """
 
 OP12 = f"""

@@ -316,33 +316,73 @@ def test_redaction(spark):
     assert secret_scan.redact(docs.limit(0)).count() == 0
 
 
-def test_licences_against_all_pairs(spark):
+def licences_of(text):
+    """Best coefficient of each licence over all windows, by the definition."""
+    words, found = license_scan.words_of(text or ""), {}
+    for k, name, anchor, before, size in license_scan.anchored(license_scan.TEMPLATES):
+        b = license_scan.bigrams(license_scan.TEMPLATES[k][1])
+        for at in (n for n, w in enumerate(words) if w == anchor):
+            own = words[max(0, at - before):at - before + size]
+            a = set(zip(own, own[1:]))
+            dice = 2 * len({f"{x} {y}" for x, y in a} & b) / (len(a) + len(b))
+            if dice >= license_scan.THRESHOLD:
+                found[name] = max(dice, found.get(name, 0))
+    return found
+
+
+def test_licences_against_all_windows(spark):
     notes = [t for _, t in license_scan.TEMPLATES]
     texts = [None, "", "licensed", "no licence here"] + notes + [f"Some words. {t}\nmore words" for t in notes] \
-        + [t.replace("License", "Licence", 1) for t in notes] + ["a b " * 20_000 + "\n" + notes[0], notes[0].upper(), "under " * 200]
-    docs = spark.createDataFrame([(k, t, 1) for k, t in enumerate(texts)] + [(4, texts[4], 1)], "doc_id long, text string, license int")
-    got = {r.doc_id: r for r in license_scan.scan(docs).collect()}
-    assert license_scan.scan(docs).count() == len(texts) + 1
-
-    def best(text):
-        units = {text or ""} | {u for p in (r"\n", r"[.!?;]+[\x09-\x0D\x20]+|\n", r"\n[\x09\x20]*\n") for u in re.split(p, text or "")}
-        found = {}
-        for unit in units:
-            words = re.findall("[a-z0-9]+", unit.translate(str.maketrans(license_scan._UPPER, license_scan._LOWER)))
-            a = {f"{x} {y}" for x, y in zip(words, words[1:])}
-            for name, template in license_scan.TEMPLATES:
-                b = license_scan.bigrams(template)
-                dice = 2 * len(a & b) / (len(a) + len(b))
-                if dice >= license_scan.THRESHOLD:
-                    found[name] = max(dice, found.get(name, 0))
-        return found
-
-    for k, text in enumerate(texts):
-        want = best(text)
-        assert got[k].licenses == ",".join(sorted(want))
+        + [t.replace("License", "Licence", 1) for t in notes] + ["a b " * 20_000 + "\n" + notes[0], notes[0].upper(), "under " * 200, "license " * 5000, "é license ü mit license"]
+    docs = spark.createDataFrame([(k, t, 1) for k, t in enumerate(texts)] + [(4, texts[4], 1), (None, texts[4], 2)], "doc_id long, text string, license int")
+    rows = license_scan.scan(docs).collect()
+    assert len(rows) == len(texts) + 2
+    for r in rows:
+        want = licences_of(texts[4 if r.doc_id is None else r.doc_id])
+        assert r.licenses == ",".join(sorted(want))
         if want:
             dice = max(want.values())
-            assert got[k].dice == pytest.approx(dice) and got[k].license == min(n for n, d in want.items() if d == dice)
+            assert r.dice == pytest.approx(dice) and r.license == min(n for n, d in want.items() if d == dice)
+        else:
+            assert r.dice is None and r.license is None
+    assert license_scan.scan(docs.limit(0)).count() == 0
+
+
+def wrapped(text, mark, width):
+    """A text as a comment: short lines, each with a mark."""
+    lines, line = [], ""
+    for word in text.split():
+        if len(line) + len(word) > width:
+            lines.append(mark + line)
+            line = ""
+        line += " " + word
+    return "\n".join([*lines, mark + line])
+
+
+def test_ordinary_licence_files_headers_and_titles(spark):
+    by = {}
+    for name, text in license_scan.TEMPLATES:
+        by.setdefault(name, []).append(text)
+    whole = {name: max(texts, key=len) for name, texts in by.items()}
+    holder = "Copyright (c) 2019-2024 Example Authors and others. All rights reserved."
+    cases = []
+    for name, text in whole.items():
+        cases += [(name, f"{holder}\n\n{wrapped(text, '', 70)}\n"), (name, f"import x\n\n{wrapped(text, '# ', 60)}\n\ndef f(): pass"),
+                  (name, f"/*\n{wrapped(text, ' * ', 50)}\n */\nint main() {{}}")]
+    mit = [t for t in by["MIT"] if t.startswith("Permission") and "WARRANTY" in t][0]
+    cases += [("MIT", f"The MIT License (MIT)\n\n{holder}\n\n{mit}"), ("MIT", f"MIT License\n\n{holder}\n"), ("MIT", "# The MIT License (MIT)"),
+              ("GPL-3.0", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>\n"),
+              ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE\n Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc.,\n 51 Franklin Street"),
+              ("Apache-2.0", "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n"),
+              ("BSD-2-Clause", f"BSD 2-Clause License\n\n{holder}"), ("BSD-3-Clause", f"{holder}\n\nBSD 3-Clause License"),
+              ("MIT", "// SPDX-License-Identifier: MIT"), ("EPL-2.0", "Eclipse Public License - v 2.0\n\n THE ACCOMPANYING PROGRAM IS PROVIDED"),
+              ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003\n"), ("Unlicense", by["Unlicense"][0] + "\n\nIn jurisdictions that recognize copyright laws"),
+              ("MPL-2.0", "Mozilla Public License Version 2.0\n==================================\n\n1. Definitions")]
+    got = {r.doc_id: r.licenses.split(",") for r in license_scan.scan(spark.createDataFrame([(k, t) for k, (_, t) in enumerate(cases)], "doc_id long, text string")).collect()}
+    assert {k: name in got[k] for k, (name, _) in enumerate(cases)} == {k: True for k in range(len(cases))}
+    clean = ["I have a driving license and a permission slip.", "Subject to change without warranty or notice.", "The committee was licensed to sell books in 2019.",
+             "Permission to enter was denied.", "The software is dedicated to my mother."]
+    assert all(r.licenses == "" for r in license_scan.scan(spark.createDataFrame(list(enumerate(clean)), "doc_id long, text string")).collect())
 
 
 URLS = ["https://a.b.example.net/en/x?q#f", "http://EXAMPLE.NET/en/", "http://example.net/EN/", "http://example.net", "http://net/x", "http://xnet/x",
