@@ -73,7 +73,8 @@ def spaced(keep: str) -> np.ndarray:
     table = np.arange(256, dtype=np.uint8)
     table[65:91] += 32
     if keep == "words":
-        table[[32, *range(9, 14), 0]] = [0] * 6 + [1]
+        table[[32, *range(9, 14)]] = 0
+        table[0] = 65  # a word byte like any other; no other byte is A after lower-casing
     else:
         ascii_ = np.arange(128)
         word = ((ascii_ >= 48) & (ascii_ < 58)) | ((ascii_ >= 65) & (ascii_ < 91)) | ((ascii_ >= 97) & (ascii_ < 123))

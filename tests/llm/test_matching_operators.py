@@ -71,15 +71,8 @@ def test_components_of_crowded_groups(spark, crowd):
     assert all(r.kept == (i == r.component_id) for i, r in got.items())
 
 
-def test_small_regions_find_the_same(spark, crowd):
-    """Regions of 16 nodes make the forest cut deeper and deal out what no prefix tells apart."""
-    got = judged(spark, crowd, region_rows=16)
-    want = components(crowd)
-    agree = [got[i].component_id == c for i, (_, c) in want.items()]
-    assert np.mean(agree) > 0.97
-
-
 def test_small_regions_find_all(spark, crowd):
+    """Regions of 16 nodes make the forest cut deeper and deal out what no prefix tells apart."""
     got = judged(spark, crowd, region_rows=16)
     assert {i: r.component_id for i, r in got.items()} == {i: c for i, (_, c) in components(crowd).items()}
 
@@ -124,6 +117,45 @@ def test_whole_signatures_alike(spark):
     assert {r.component_id for r in got.values()} == {0}
 
 
+def test_candidates_are_neighbours_in_the_sorted_orders(spark):
+    """In a region's order the neighbours of a node have the longest common prefix with it of all."""
+    rng = np.random.default_rng(19)
+    trees = 12
+    sketches = {bytes([k]): bytes(rng.integers(0, 3, near_dup.HASHES).tolist()) for k in range(60)}
+    for copy in range(60, 90):  # rows that agree in all but a few places
+        own = bytearray(sketches[bytes([copy - 60])])
+        own[int(rng.integers(0, 96))] = 9
+        sketches[bytes([copy])] = bytes(own)
+    rows = [(1, int(t), bytearray(n), bytearray(s)) for t in range(trees) for n, s in sketches.items()]
+    rows = [(r[1], *r[1:]) for r in rows]
+    found = spark.createDataFrame(rows, "region long, tree int, node binary, sketch binary")
+    got = {(bytes(r.a), bytes(r.b)) for r in near_dup.nearest_pairs(found, trees, 0.9, 3).collect()}
+    assert got == {(bytes([k]), bytes([k + 60])) for k in range(30)}
+    turned = {r.node: r.o for r in found.where("tree = 5").select("node", near_dup._order(trees).alias("o")).collect()}
+    assert all(bytes(o) == sketches[bytes(n)][40:] + sketches[bytes(n)][:40] for n, o in turned.items())
+
+
+def test_heavy_texts_make_small_regions(spark):
+    """A region is bounded by what its sets hold, and cutting it loses no link."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(12):
+        words = [f"h{n}" for n in range(9000)]
+        for at in rng.integers(0, 9000, 20 + 30 * (k % 3)):
+            words[at] = f"z{rng.integers(1e6)}"
+        rows.append((k, " ".join(words)))
+    got = judged(spark, rows, region_rows=8)
+    assert {i: r.component_id for i, r in got.items()} == {i: c for i, (_, c) in components(rows).items()}
+    nodes = spark.createDataFrame([(bytearray([k]), bytearray(b"\x01" * 4 * near_dup.HASHES), 5) for k in range(6)], "node binary, signature binary, weight long")
+    places, cut = near_dup.regions(nodes, 2, region_rows=8)
+    assert cut.count() == 6 and max(r["count"] for r in places.groupBy("region").count().collect()) <= 6
+
+
+def test_nul_is_a_character_like_any_other(spark):
+    rows = [(1, "a b c d e\x00f"), (2, "a b c d e\x01f"), (3, "A b c d E\x00F")]
+    assert {i: r.component_id for i, r in judged(spark, rows).items()} == {1: 1, 2: 2, 3: 1}
+
+
 def test_near_duplicates_of_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n\t\v\f\r "), (4, "one two"), (5, "ONE\ttwo"), (None, "one two"), (6, "one\u00a0two"),
             (7, "a b c d e"), (7, "a b c d e"), (8, "w " * 50_000), (None, "only null"), (None, "only  null")]
