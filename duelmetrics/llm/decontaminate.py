@@ -35,9 +35,9 @@ from . import buffers
 #: Share of an item's words that may be edited, and of such passages with all these edits that have to be found.
 EDITS = 0.2
 RECALL = 0.999
-#: Words of a window: one of the two largest of these up to WINDOW of the item's words.
+#: Words of a window: one of these between the two shares of the item's words.
 WINDOWS = (5, 6, 7, 8, 10, 12, 14, 17, 20, 24)
-WINDOW = 0.75
+LEAST_WINDOW, WINDOW = 0.5, 0.75
 #: Outputs that make a key, and numbers of walks to choose from; a key of more outputs is taken if FEW walks do.
 SAMPLES = (3, 4, 5, 6)
 WALKS = (4, 6, 8, 12, 16, 24, 32, 48)
@@ -47,7 +47,7 @@ TRIALS = 700
 #: Steps a whole walk has for each word of a short item.
 STEPS = 4
 #: Bits of a filter for each key, and the most it may have: 32 MB.
-KEY_BITS, MOST_BITS = 16, 28
+KEY_BITS, MOST_BITS = 64, 28
 PROBES = 3
 
 #: Longer items have ever more windows, so they are looked for like those of so many words.
@@ -90,24 +90,31 @@ def whole_key(words: np.ndarray, size: int) -> np.ndarray:
     return buffers.mix(key)
 
 
+@lru_cache(maxsize=None)
+def _odds(number: int) -> np.ndarray:
+    return buffers.stream(53 + number, 64)
+
+
 class Walk:
-    """One walk from every word of texts that are parted by a 0, which no walk passes."""
+    """One walk from every word of texts that are parted by a 0, which no walk passes.
+
+    At step j it moves on if the highest bit of the word's hash times the j-th factor is set.
+    """
 
     def __init__(self, words: np.ndarray, number: int) -> None:
         self.words, self.number = words, number
-        self.moves = buffers.mix(words * buffers.stream(53, number + 1)[number])
-        self.moves[words == 0] = 0
-        here, outputs, self.first = np.arange(len(words)), [], []
-        first, second = number % 2, 2 + number % 3
-        for j in range(second + 1):
-            if j in (first, second):
-                outputs.append(words[here])
-                self.first.append(here)
-            here = here + (self.moves[here] >> _U(j) & _U(1)).view(np.int64)
-        a, b, c = buffers.stream(61 + number, 3)
-        self.prefix = buffers.mix(outputs[0] * a + outputs[1] * b + c)
-        self.within = outputs[1] != 0  # as the walk only moves on, so is the first output
-        self.here, self.step = here, second + 1
+        first, self.step = number % 2, 2 + number % 3
+        here = np.arange(len(words))
+        for j in range(self.step):
+            if j == first:
+                self.first, begin = here, words if j == 0 else words[here]
+            moves = (words * _odds(number)[j]).view(np.int64) < 0
+            here = here + (moves if j == 0 else moves[here])
+        second = words[here]
+        a, b, c = _odds(number)[-3:]
+        self.prefix = begin * a + second * b + c
+        self.within = second != 0  # as the walk only moves on, so is the first output
+        self.here = here
 
     def keys(self, at: np.ndarray, shapes: list[Shape], apart: bool = False) -> Iterator[tuple[Shape, np.ndarray, np.ndarray]]:
         """(shape, those of ``at`` whose walk stays inside its text, their keys).
@@ -120,7 +127,7 @@ class Walk:
         here, outputs, places, step = self.here[at], {}, {}, self.step
         for until in needed:
             while step < until:
-                here = here + (self.moves[here] >> _U(step) & _U(1)).view(np.int64)
+                here = here + ((self.words[here] * _odds(self.number)[step]).view(np.int64) < 0)
                 step += 1
             outputs[until], places[until] = self.words[here], here
         for shape, steps in wanted.items():
@@ -129,7 +136,7 @@ class Walk:
                 key = key + outputs[out] * factor
             inside = outputs[steps[-1]] != 0
             if apart:
-                reached = [p[at] for p in self.first] + [places[step] for step in steps]
+                reached = [self.first[at], self.here[at], *(places[step] for step in steps)]
                 inside &= np.all([a < b for a, b in zip(reached, reached[1:])], axis=0) & (reached[-1] - reached[0] >= shape.reach)
             yield shape, at[inside], buffers.mix(key[inside])
 
@@ -188,7 +195,7 @@ def _found(shape: Shape, words: int, edits: float) -> list[np.ndarray]:
 
 @lru_cache(maxsize=None)
 def _planned(words: int, edits: float, recall: float) -> Shape:
-    windows = [w for w in WINDOWS if w <= max(WINDOWS[0], int(WINDOW * words))][:-3:-1]
+    windows = [w for w in reversed(WINDOWS) if LEAST_WINDOW * words <= w <= max(WINDOWS[0], int(WINDOW * words))] or [WINDOWS[-1]]
 
     def least(samples: int, most: int) -> Shape | None:
         firsts = {w: _found(Shape(w, samples, most), words, edits) for w in windows}
@@ -243,9 +250,8 @@ def _batch(words: np.ndarray, doc: np.ndarray, shapes: list[Shape], known=None,
     walked = [s for s in shapes if s.samples]
     for number in range(max((s.walks for s in walked), default=0)):
         walk = Walk(parted, number)
-        at = np.flatnonzero(walk.within)
-        if begun is not None:
-            at = at[begun(walk.prefix[at])]
+        at = np.flatnonzero(walk.within) if begun is None else begun(walk.prefix)
+        at = at[walk.within[at]]
         if not len(at):
             continue
         for shape, own, key in walk.keys(at, [s for s in walked if s.walks > number], apart):
@@ -291,7 +297,7 @@ def _filter(keys: DataFrame, column: str) -> np.ndarray:
     """Packed bits that tell of any number whether it may be in ``column``; 32 MB at most, whatever there are."""
     count = max(1, keys.agg(F.approx_count_distinct(column)).first()[0])
     bits = min(MOST_BITS, max(16, (KEY_BITS * count - 1).bit_length()))
-    slots = [F.expr(f"shiftrightunsigned({column}, {shift}) & {(1 << bits) - 1}") for shift in _SHIFTS]
+    slots = [F.expr(f"shiftrightunsigned({column}, {shift}) & {(1 << bits) - 1}") for shift in _shifts(bits)]
     rows = keys.select(F.explode(F.array(*slots)).alias("slot")).distinct()
     parts = rows.groupBy(F.shiftright("slot", 13).alias("part")).agg(F.collect_set(F.col("slot").bitwiseAND(8191).cast("short")).alias("low"))
     table = np.zeros(1 << (bits - 3), np.uint8)
@@ -301,22 +307,30 @@ def _filter(keys: DataFrame, column: str) -> np.ndarray:
     return table
 
 
-_SHIFTS = (0, 18, 36)[:PROBES]
+def _shifts(bits: int) -> list[int]:
+    """Where a number's slots begin: at its highest bits, the best of a sum of products."""
+    return [max(0, 64 - bits * (n + 1)) for n in range(PROBES)]
 
 
 def _may_hold(table: np.ndarray):
-    mask = _U(len(table) * 8 - 1)
-
-    def test(keys: np.ndarray) -> np.ndarray:
-        at = np.arange(len(keys))
-        for shift in _SHIFTS:
-            slot = (keys[at] >> _U(shift)) & mask
-            at = at[(table[slot >> _U(3)] >> (slot & _U(7)).astype(np.uint8) & 1).view(bool)]
-        out = np.zeros(len(keys), bool)
-        out[at] = True
-        return out
-
-    return test
+    """Numbers to the places of those that may be in the filter's column."""
+    bits = (len(table) * 8 - 1).bit_length()
+    mask = _U((1 << bits) - 1)
+    # A small filter is looked up by bytes, which is faster.
+    flags = np.unpackbits(table, bitorder="little").view(bool) if bits <= 24 else None
+
+    def places(keys: np.ndarray) -> np.ndarray:
+        at = None
+        for shift in _shifts(bits):
+            own = keys if at is None else keys[at]
+            slot = own >> _U(shift)
+            if shift + bits < 64:
+                slot &= mask
+            hit = flags[slot] if flags is not None else (table[slot >> _U(3)] >> (slot & _U(7)).astype(np.uint8) & 1).view(bool)
+            at = np.flatnonzero(hit) if at is None else at[hit]
+        return at
+
+    return places
 
 
 def runs(docs: DataFrame, longest: dict[Shape, int], known: np.ndarray, begun: np.ndarray) -> DataFrame:
