@@ -475,6 +475,68 @@ def test_log_ratios_by_hand(spark):
         assert ratio == pytest.approx(np.log(p("allow", g)) - np.log(p("block", g)))
 
 
+def test_verdicts_of_urls_without_a_rule(spark):
+    """Rules, models, calibration and verdicts from end to end in plain Python; only the choice of held-out URLs is asked for."""
+    rng = np.random.default_rng(14)
+    word = lambda letters: "".join(rng.choice(list(letters), int(rng.integers(3, 9))))
+    urls = [f"http://{word('aeiou')}.org/fr/{word('aeioulm')}" for _ in range(150)] + [f"https://{word('xzkq')}.net/{word('xzkq')}?{rng.integers(1e6)}" for _ in range(150)]
+    urls += [f"http://{word('aeiouxz')}.com/{word('aeiouxzkq')}" for _ in range(150)] + ["", None, "http://É.com/ü", "x"] + ["http://aeiou.com/aei"] * 5
+    urls += urls[:40] * 3
+    rules = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    times = Counter(u or "" for u in urls)
+    held = {r.u for r in spark.createDataFrame([(u,) for u in times], "u string").where(F.pmod(F.xxhash64("u"), F.lit(url_filter.HELD)) == 0).collect()}
+
+    def action(url):
+        m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url)
+        host, path = (re.sub("[A-Z]", lambda c: c[0].lower(), m[1]), m[2]) if m else ("", "")
+        fits = [(len(h + p), h + p, a) for a, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fits)[2] if fits else None
+
+    def grams(url):
+        low = re.sub(r"[^a-z0\-._~/?#:=&%+]", "*", re.sub("[0-9]", "0", re.sub("[A-Z]", lambda c: c[0].lower(), url)))
+        signs = "^" * url_filter.ORDER + low
+        return [signs[k:k + url_filter.ORDER + 1] for k in range(len(low))]
+
+    counts = {"allow": Counter(), "block": Counter()}
+    for u, n in times.items():
+        if action(u) and u not in held:
+            for g in grams(u):
+                for order in range(url_filter.ORDER + 1):
+                    counts[action(u)][g[len(g) - order - 1:]] += n
+    followers = {a: {} for a in counts}
+    for a, c in counts.items():
+        for tail, n in c.items():
+            total, kinds = followers[a].get((len(tail), tail[:-1]), (0, 0))
+            followers[a][len(tail), tail[:-1]] = total + n, kinds + 1
+
+    def chance(a, g):
+        p = 1 / url_filter.SIGNS
+        for order in range(url_filter.ORDER + 1):
+            tail = g[len(g) - order - 1:]
+            total, kinds = followers[a].get((order + 1, tail[:-1]), (0, 0))
+            p = (counts[a][tail] + kinds * p) / (total + kinds) if total else p
+        return p
+
+    score = {u: np.mean([np.log(chance("allow", g)) - np.log(chance("block", g)) for g in grams(u)]) if u else None for u in times}
+    known = [(score[u], action(u), n) for u, n in times.items() if action(u) and u in held]
+    yes, no = (sum(n for _, a, n in known if a == kind) for kind in ("allow", "block"))
+    steps = {int(np.floor(s * 100)) for s, _, _ in known}
+    gain = lambda t: sum(n / yes if a == "allow" else -n / no for s, a, n in known if np.floor(s * 100) >= t)
+    cut = max(steps, key=lambda t: (round(gain(t), 12), t)) / 100
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = url_filter.judge(pages, spark.createDataFrame(rules, "action string, rule_host string, rule_path string")).collect()
+    assert len(got) == len(urls) and {"allow", "block"} == {r.verdict for r in got if not r.rule}
+    for r in got:
+        u = urls[r.page_id] or ""
+        assert r.score == (pytest.approx(score[u]) if u else None)
+        if not u or abs(score[u] - cut) > 1e-9:
+            assert r.verdict == (action(u) or ("allow" if not u or score[u] >= cut else "block"))
+
+
 def nearest(rows, k=20):
     ids = np.array([r[0] for r in rows])
     v = np.array([r[1] for r in rows], float)

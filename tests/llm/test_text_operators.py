@@ -1,5 +1,6 @@
 """Classifiers, language identification, packing: held-out accuracy, brute force and odd rows."""
 
+import re
 import zlib
 
 import numpy as np
@@ -110,6 +111,35 @@ def test_quality_of_held_out_documents(spark, queries):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
 
 
+def plain_statistics(text):
+    b = (text or "").encode()
+    words = [w for w in re.split(rb"[\x20\x09-\x0d]+", b) if w]
+    lines = [x for x in b.split(b"\n") if x]
+    n, size = max(len(words), 1), max(len(b), 1)
+    count = lambda marks: sum(c in marks for c in b)
+    up, low = count(range(65, 91)), count(range(97, 123))
+    symbols = b"#$%&*+/<=>@\\^_`{}~"
+    return {"log_bytes": np.log1p(len(b)), "log_words": np.log1p(len(words)), "mean_word": sum(map(len, words)) / n,
+            "longest_word": np.log1p(max(map(len, words), default=0)), "distinct_words": len({w.lower() for w in words}) / n,
+            "upper": up / max(up + low, 1), "digits": count(b"0123456789") / size, "stops": count(b".?") / n, "commas": count(b",;:") / n,
+            "shouts": count(b"!") / n, "bars": count(b"|") / n, "symbols": count(symbols) / size, "other_marks": count(b"\"'()-[]") / size,
+            "wide": count(range(192, 256)) / size, "spaces": count(b" ") / size, "mean_line": np.log1p(len(b) / max(len(lines), 1)),
+            "repeated_lines": 1 - len(set(lines)) / len(lines) if lines else 0.0, "short_words": sum(len(w) <= 2 for w in words) / n,
+            "marked_words": sum(w[-1] in b"!|" + symbols for w in words) / n}
+
+
+def test_every_statistic_equals_a_plain_one(spark):
+    texts = [r[1] for r in ODD_ROWS] + ["One two, THREE!! four|five. Six?\nOne\n\nsame line\nsame line\n", "\n\n", "#tag $5 50% (a) [b] 'c' \"d\" e-mail_x@y.z",
+                                        "\t tabs\vand\fmore\r\nÉté ÀÇ 漢字", "a\x00b \x00", "!", "x" * 5000, "Aa aA AA aa"]
+    rng = np.random.default_rng(31)
+    texts += ["".join(rng.choice(list("aB1 .,!|#'\n\té漢"), 200)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for r in quality.statistics(docs).collect():
+        want = plain_statistics(texts[r.id])
+        assert set(want) == set(quality.STATISTICS)
+        assert {k: r[k] for k in want} == pytest.approx(want), texts[r.id]
+
+
 def test_rules_as_columns_equal_the_rules_by_hand(spark):
     rules = quality.Rules(0.25, [(1.5, (("upper", "<=", 0.1), ("digits", ">", 0.2))), (-2.0, (("shouts", ">", 0.0),))])
     docs = spark.createDataFrame([(1, "AB 12"), (2, "ab 123!"), (3, "a1!"), (4, None)], "id int, text string")
