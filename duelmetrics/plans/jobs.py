@@ -25,6 +25,7 @@ from ..sources import tables
 from ..sources.csv_landing import SOURCE, read_csv_landing, read_csv_wide
 from ..sources.pages import extract_match_pages, extract_odds_blocks
 from ..sources.sinks import write_dated_csv, write_labelled_csv
+from . import rating_store
 from .backtest import backtest
 from .predict import predict
 from .refresh import refresh_odds_scores
@@ -188,10 +189,26 @@ def job_rating_update(spark: SparkSession, warehouse: str, **elo_options) -> Dat
     return update_ratings(spark, f"{warehouse}/ratings", gold, "pool", **elo_options)
 
 
+def job_rating_store(spark: SparkSession, warehouse: str, **options) -> DataFrame:
+    """Rate the versions of results_gold that no run before has seen, into a store of parts; returns their rows.
+
+    Late and corrected matches come in at their place, and a run reads and writes only the parts its matches
+    touch. Once there is a store, predictions and the odds table take their ratings from it.
+    """
+    return rating_store.rate_gold(spark, f"{warehouse}/rating_store", f"{warehouse}/results_gold", schemas.RESULTS_GOLD, "pool", **options)
+
+
+def current_ratings(spark: SparkSession, warehouse: str) -> tuple[DataFrame, DataFrame]:
+    """(rating log, rankings): those of the store of parts if there is one, else of ``job_rating_update``."""
+    if tables.versions(spark, f"{warehouse}/rating_store"):
+        return rating_store.read_store(spark, f"{warehouse}/rating_store")
+    return read_ratings(spark, f"{warehouse}/ratings")
+
+
 def job_predict(spark: SparkSession, warehouse: str, run_ts, side: str = "own") -> DataFrame:
     """Predict the upcoming matches; a match predicted before keeps its first prediction."""
     upcoming = tables.read_all(spark, f"{warehouse}/upcoming_gold", "rows", schemas.UPCOMING)
-    log, _ = read_ratings(spark, f"{warehouse}/ratings")
+    log, _ = current_ratings(spark, warehouse)
     known = tables.read_all(spark, f"{warehouse}/predictions", "rows", schemas.PREDICTIONS)
     # Left out before the work, not only before the write.
     upcoming = upcoming.join(known.select(F.col("match_id").alias("id")), "id", "left_anti").select(*upcoming.columns)
@@ -215,7 +232,7 @@ def job_backtest(spark: SparkSession, warehouse: str, as_of) -> DataFrame:
 def job_odds_refresh(spark: SparkSession, warehouse: str) -> DataFrame:
     """Reload the odds table with fresh odds, model probabilities and scores."""
     root = f"{warehouse}/odds_scores"
-    _, rankings = read_ratings(spark, f"{warehouse}/ratings")
+    _, rankings = current_ratings(spark, warehouse)
     old = tables.read_latest(spark, root, "rows", schemas.ODDS_SCORES)
     tables.truncate_and_load(refresh_odds_scores(old, rankings), root)
     return tables.read_latest(spark, root, "rows", schemas.ODDS_SCORES)

@@ -131,7 +131,7 @@ def rate_gold(spark: SparkSession, root: str, gold: str, schema: T.StructType, p
     """
     done = [int(tag.removeprefix("gold-")) for tag in tables.tags(spark, root) if tag.startswith("gold-")]
     seen = max(done, default=0)
-    newer = [v for v in tables.versions(spark, gold) if v > seen]
+    newer = [v for v in tables.added_versions(spark, gold) if v > seen]
     rows = tables.read_parts(spark, [f"{gold}/v{v}/rows" for v in newer], schema)
     if newer:
         rate_matches(spark, root, rows, pool_col, tag=f"gold-{newer[-1]}", **options)

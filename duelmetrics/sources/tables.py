@@ -59,7 +59,7 @@ def version_of(spark: SparkSession, root: str, tag: str) -> int | None:
 
 def newest_max(spark: SparkSession, root: str, name: str, schema: T.StructType, column: str) -> int:
     """The greatest value of a column that grows with each version: that of the newest version with rows, or 0."""
-    for v in reversed(versions(spark, root)):
+    for v in reversed(added_versions(spark, root)):
         most = spark.read.schema(schema).parquet(f"{root}/v{v}/{name}").agg(F.max(column)).first()[0]
         if most is not None:
             return most
@@ -116,14 +116,41 @@ def read_latest(spark: SparkSession, root: str, name: str, schema: T.StructType)
     return spark.read.schema(schema).parquet(f"{root}/v{done[-1]}/{name}")
 
 
+def _merged(spark: SparkSession, root: str) -> dict[int, int]:
+    """{version: newest version whose rows it holds} of the versions made by ``merge_versions``."""
+    return {v: int(tag.partition("-")[2]) for tag in tags(spark, root) if tag.startswith("merged-") for v in [version_of(spark, root, tag)]}
+
+
+def added_versions(spark: SparkSession, root: str) -> list[int]:
+    """The versions that brought rows of their own, oldest first."""
+    merged = _merged(spark, root)
+    return [v for v in versions(spark, root) if v not in merged]
+
+
 def read_all(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
-    """The rows of all versions of an append-only table."""
-    done = versions(spark, root)
+    """The rows of all versions of an append-only table: the newest merged one and those after what it holds."""
+    merged = _merged(spark, root)
+    last = max(merged, key=merged.get, default=None)
+    since = merged.get(last, 0)
+    done = ([last] if last else []) + [v for v in versions(spark, root) if v not in merged and v > since]
     if not done:
         return empty(spark, schema)
     return spark.read.schema(schema).parquet(*[f"{root}/v{v}/{name}" for v in done])
 
 
+def merge_versions(spark: SparkSession, root: str, tables: dict[str, T.StructType]) -> int | None:
+    """Write the rows of all versions of append-only ``tables`` once more as one version, in few large files.
+
+    Small loads leave many small files; after this, ``read_all`` opens the merged version and what comes
+    later. Older versions stay for whoever reads them or has yet to see them (``added_versions``).
+    """
+    own = added_versions(spark, root)
+    if not own:
+        return None
+    rows = {name: read_all(spark, root, name, schema).hint("rebalance") for name, schema in tables.items()}
+    return commit_version(spark, root, rows, tag=f"merged-{own[-1]}")
+
+
 def current_parts(spark: SparkSession, root: str, name: str, depth: int) -> dict[str, str]:
     """{part: path} of a table committed in parts: the newest committed version of each.
 

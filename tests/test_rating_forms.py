@@ -150,3 +150,37 @@ def test_nothing_to_rate(spark, tmp_path):
     first = rating_store.rate_matches(spark, str(tmp_path), m, "pool", tag="a", **options())
     assert rating_store.rate_matches(spark, str(tmp_path), m, "pool", tag="a", **options()) == first
     assert jobs.read_ratings(spark, str(tmp_path / "other"))[0].count() == 0
+
+
+def test_merged_versions_hold_all_rows_once(spark, tmp_path):
+    root, gold = str(tmp_path / "ratings"), str(tmp_path / "gold")
+    schema = frame(spark, []).schema
+    rows = random_matches(120, 9, pools=2, seed=17)
+    assert tables.merge_versions(spark, gold, {"rows": schema}) is None
+    for k in range(4):
+        tables.commit_version(spark, gold, {"rows": frame(spark, [r for r in rows if r[0] % 4 == k])})
+        if k % 2:
+            assert tables.merge_versions(spark, gold, {"rows": schema}) == tables.merge_versions(spark, gold, {"rows": schema})
+        if k == 2:
+            rating_store.rate_gold(spark, root, gold, schema, "pool", **options())
+        assert sorted(r.match_id for r in tables.read_all(spark, gold, "rows", schema).collect()) == [i for i in range(120) if i % 4 <= k]
+    assert len(tables.read_all(spark, gold, "rows", schema).inputFiles()) <= 2 and tables.added_versions(spark, gold) == [1, 2, 4, 5]
+    assert tables.newest_max(spark, gold, "rows", schema, "match_id") == 119
+    # The merged versions bring nothing new to rate.
+    new = rating_store.rate_gold(spark, root, gold, schema, "pool", **options())
+    assert {r.match_id % 4 for r in new.collect()} == {3}
+    assert stored(spark, root) == sequential(rows)
+
+
+def test_predictions_take_ratings_from_the_store(spark, tmp_path):
+    rows = [(i, d, None, p1, p2, w) for i, d, _, p1, p2, w in random_matches(60, 6, seed=3)]
+    gold = frame(spark, rows).selectExpr("match_id", "matchdate", "player1", "player2", "1 as player1score", "2 as player2score", "winner", "pool")
+    upcoming = spark.createDataFrame([(1, START + dt.timedelta(days=90), "g0p1", "g0p2", '{"x_P1": "2"}')], "id long, matchdate date, player1 string, player2 string, odds string")
+    made = []
+    for kind in (jobs.job_rating_update, jobs.job_rating_store):
+        warehouse = str(tmp_path / kind.__name__)
+        tables.commit_version(spark, f"{warehouse}/results_gold", {"rows": gold})
+        tables.commit_version(spark, f"{warehouse}/upcoming_gold", {"rows": upcoming})
+        kind(spark, warehouse)
+        made.append([tuple(r) for r in jobs.job_predict(spark, warehouse, "2025-01-01 12:00:00").collect()])
+    assert made[0] == made[1] and len(made[0]) == 1 and made[0][0][5] != 1500
