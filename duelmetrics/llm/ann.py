@@ -135,7 +135,7 @@ def _best(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
 
 
 def _search(index: DataFrame, queries: pd.DataFrame, pivots: Pivots, prefix: int, share: float, k: int) -> DataFrame:
-    """(query_id, vec_id, score): each task's best ``k`` for each of ``queries``, which all tasks get."""
+    """(query_id, vec_id, score), written: each task's best ``k`` for each of ``queries``, which all tasks get."""
     asked = queries.query_id.to_numpy(), _matrix(queries.v)
     shared = index.sparkSession.sparkContext.broadcast((*asked, pivots.of_queries(asked[1], prefix), len(pivots.long)))
 
@@ -154,7 +154,9 @@ def _search(index: DataFrame, queries: pd.DataFrame, pivots: Pivots, prefix: int
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q_ids, sizes)), pa.array(np.concatenate([i for i, _ in best])),
                                           pa.array(np.concatenate([s for _, s in best]))], names=["query_id", "vec_id", "score"])
 
-    return index.select("vec_id", "v", "near").mapInArrow(search, "query_id long, vec_id long, score double")
+    found = stage(index.select("vec_id", "v", "near").mapInArrow(search, "query_id long, vec_id long, score double"), "found")
+    shared.destroy()  # or the batches would pile up on the driver and the executors
+    return found
 
 
 def _settings(index: DataFrame, queries: DataFrame, pivots: Pivots, k: int, target: float) -> tuple[int, float]:
@@ -233,7 +235,7 @@ def neighbours(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
     for n in range(batches):
         batch = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(batches)) == n).toPandas()
         if len(batch):
-            found.append(stage(_search(index, batch, pivots, prefix, share, k), "found"))
+            found.append(_search(index, batch, pivots, prefix, share, k))
     paths = [f for df in found for f in df.inputFiles()]
     if not paths:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
