@@ -775,8 +775,9 @@ def pages_to_csv(spark, sf):
 def upcoming_pages_to_csv(spark, sf):
     """Pages with players and odds to wide CSV, read back with the odds folded to a map."""
     path = scratch_dir(spark, "odds-csv")
+    # Pages made here are far larger than the columns that Spark estimates their size by: never broadcast them.
     both = b.match_pages(spark, sf).withColumnRenamed("match_id", "id").join(
-        b.odds_pages(spark, sf).withColumnRenamed("html", "odds_html"), "id")
+        b.odds_pages(spark, sf).withColumnRenamed("html", "odds_html").hint("merge"), "id")
     paged = both.select(F.concat("html", "odds_html").alias("html"))
     jobs.job_upcoming_pages_to_csv(paged, "html", path, "2002-01-01")
     back = landing.read_csv_wide(spark, f"{path}/*", schemas.UPCOMING_CSV)
