@@ -36,3 +36,10 @@ def test_pages_are_not_broadcast(spark, small_tables, monkeypatch):
     with pytest.raises(Seen) as found:
         queries.upcoming_pages_to_csv(spark, small_tables)
     assert "SortMergeJoin" in str(found.value) and "Broadcast" not in str(found.value)
+
+
+def test_blocks_of_a_page_are_read_once(spark, small_tables):
+    df = queries.odds_blocks(spark, small_tables)
+    # The sections of a page, and inside them the cells of a block.
+    assert plan(df).count("regexp_extract_all(") == 2
+    assert df.count() == 8 * 6

@@ -738,7 +738,8 @@ def match_pages(spark, sf):
 
 def odds_blocks(spark, sf):
     found = pages.extract_odds_blocks(b.odds_pages(spark, sf), "html")
-    return found.select("id", F.explode("blocks").alias("x")).select(
+    # An inner explode would also filter by the array's size, and read each page once more for that.
+    return found.select("id", F.explode_outer("blocks").alias("x")).where(F.col("x").isNotNull()).select(
         "id", F.col("x.bookmaker").alias("bookmaker"), F.size("x.odds").alias("n"),
         F.round(convert.number(F.get("x.odds", F.lit(0))), 9).alias("p1"),
         F.round(convert.number(F.get("x.odds", F.lit(1))), 9).alias("p2"))
