@@ -16,20 +16,28 @@ def class_attr(*tokens: str) -> str:
     return rf'class="(?:[^"]*\s)?(?:{names})(?:\s[^"]*)?"'
 
 
+def _before(*tokens: str) -> str:
+    """Pattern of all text up to the next class attribute with one of ``tokens``, or the end.
+
+    It runs over the text in one go; a lazy ``.*?`` would try what follows at each character.
+    """
+    first, rest = class_attr(*tokens)[0], class_attr(*tokens)[1:]
+    return rf"(?:[^{first}]++|{first}(?!{rest}))*+"
+
+
 def section(html: Column | str, token: str, until: tuple[str, ...] = ()) -> Column:
     """Text after the first tag of class ``token``, up to the first tag of a class in ``until``.
 
     Null when there is no such tag, or nothing in it.
     """
-    rest = rf"(.*?)(?={class_attr(*until)}|\z)" if until else r"(.*)\z"
+    rest = rf"({_before(*until)})" if until else r"(.*)\z"
     pattern = rf"(?s){class_attr(token)}[^<>]*>{rest}"
     return F.nullif(F.regexp_extract(col(html), pattern, 1), F.lit(""))
 
 
 def sections(html: Column | str, token: str) -> Column:
     """One text per tag of class ``token``: from it to the next such tag or the end."""
-    tag = class_attr(token)
-    return F.regexp_extract_all(col(html), F.lit(rf"(?s){tag}[^<>]*>.*?(?={tag}|\z)"), F.lit(0))
+    return F.regexp_extract_all(col(html), F.lit(rf"{class_attr(token)}[^<>]*>{_before(token)}"), F.lit(0))
 
 
 def has_class(html: Column | str, token: str) -> Column:

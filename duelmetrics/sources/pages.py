@@ -51,9 +51,10 @@ def extract_match_pages(df: DataFrame, html_col: str, keep: list[str] = ()) -> D
     average = F.get(F.filter(sections(html, STAT_ROW), lambda r: F.contains(
         plain(_markup_in(r, STAT_LABEL, strong)), F.lit(AVERAGE_LABEL))), F.lit(0))
 
-    found = df.where(has_class(html, START)).withColumn("_average", average).select(
+    # Columns of their own: what two fields are read from is looked for once.
+    found = df.where(has_class(html, START)).withColumns({"_average": average, "_spans": spans}).select(
         *keep, parse_start_time(start).alias("start"), home.alias("home"), away.alias("away"),
-        plain(F.get(spans, F.lit(0))).alias("s1"), plain(F.get(spans, F.lit(2))).alias("s2"),
+        plain(F.get("_spans", F.lit(0))).alias("s1"), plain(F.get("_spans", F.lit(2))).alias("s2"),
         winner.alias("w"), _text_in(F.col("_average"), STAT_HOME, strong).alias("a1"),
         _text_in(F.col("_average"), STAT_AWAY, strong).alias("a2"))
 

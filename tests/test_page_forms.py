@@ -43,3 +43,27 @@ def test_blocks_of_a_page_are_read_once(spark, small_tables):
     # The sections of a page, and inside them the cells of a block.
     assert plan(df).count("regexp_extract_all(") == 2
     assert df.count() == 8 * 6
+
+
+def test_scores_of_a_page_are_looked_for_once(spark):
+    df = spark.createDataFrame([("x",)], "html string")
+    found = plan(pages.extract_match_pages(df, "html"))
+    assert found.count(f"(?:{pages.SCORE})(?:\\s[^\"]*)?\"[^<>]*>") == 1
+
+
+@pytest.mark.parametrize("until", [(), ("b",), ("b", "c-d")])
+def test_sections_equal_the_lazy_patterns(spark, until):
+    texts = ['<p class="a">one', '<p class="a">c class= cl\nclass="x"<p class="b">two', '<p class="a x">éc<i class="c-d">c</i><p class="a">',
+             '<p class="a"></p>class="bb"<p class="z b">x<p class="a">ccc', '', 'class="ab">', '<p class="a"', None, '<p class="a"><p class="b">']
+    df = spark.createDataFrame([(t,) for t in texts], "html string")
+    rest = rf"(.*?)(?={class_attr(*until)}|\z)" if until else r"(.*)\z"
+    old = F.nullif(F.regexp_extract("html", rf"(?s){class_attr('a')}[^<>]*>{rest}", 1), F.lit(""))
+    all_old = F.regexp_extract_all("html", F.lit(rf"(?s){class_attr('a')}[^<>]*>.*?(?={class_attr('a')}|\z)"), F.lit(0))
+    for row in df.select(section("html", "a", until), old, sections("html", "a"), all_old).collect():
+        assert row[0] == row[1] and row[2] == row[3]
+    assert "*?" not in section("html", "a", ("b",))._jc.toString() + sections("html", "a")._jc.toString()
+
+
+def test_a_section_of_megabytes(spark):
+    df = spark.range(1).select(F.concat(F.lit('<p class="a">'), F.repeat(F.lit('c<p class="x">text</p>'), 200_000)).alias("html"))
+    assert df.select(F.length(section("html", "a", ("b",))), F.length(sections("html", "a")[0])).first() == (4_400_000, 4_400_010)
