@@ -67,3 +67,10 @@ def test_sections_equal_the_lazy_patterns(spark, until):
 def test_a_section_of_megabytes(spark):
     df = spark.range(1).select(F.concat(F.lit('<p class="a">'), F.repeat(F.lit('c<p class="x">text</p>'), 200_000)).alias("html"))
     assert df.select(F.length(section("html", "a", ("b",))), F.length(sections("html", "a")[0])).first() == (4_400_000, 4_400_010)
+
+
+@pytest.mark.parametrize("name", ["csv_wide", "upcoming_job"])
+def test_odds_of_a_row_are_parsed_once(spark, small_tables, name):
+    df = getattr(queries, name)(spark, small_tables)
+    assert plan(df).count("from_json(") == 1
+    assert df.count() == {"csv_wide": 56, "upcoming_job": 8}[name]

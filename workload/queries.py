@@ -557,7 +557,8 @@ def _land_upcoming(spark, sf):
 def csv_wide(spark, sf):
     keys = {"id": "Match Id", "line": "No", **schemas.UPCOMING_CSV}
     rows = jobs.typed_upcoming(landing.read_csv_wide(spark, _land_upcoming(spark, sf), keys), ["id", "line"])
-    m = odds.parse_odds("odds")
+    # A column of its own is parsed once; in place it would be for each of the three values.
+    rows, m = rows.withColumn("m", odds.parse_odds("odds")), F.col("m")
     return rows.select(F.col("id").cast("bigint").alias("id"), F.col("line").cast("int").alias("line"),
                        day("matchdate"), "player1", "player2",
                        F.array_join(F.array_sort(F.map_keys(m)), ",").alias("books"),
@@ -585,7 +586,7 @@ def upcoming_job(spark, sf):
     warehouse = scratch_dir(spark, "warehouse")
     jobs.job_upcoming_load(spark, _land_upcoming(spark, sf), warehouse)
     gold = tables.read_all(spark, f"{warehouse}/upcoming_gold", "rows", schemas.UPCOMING)
-    m = odds.parse_odds("odds")
+    gold, m = gold.withColumn("m", odds.parse_odds("odds")), F.col("m")
     return gold.select("id", day("matchdate"), "player1", "player2",
                        F.round(odds.best_odds(m, "_P1"), 9).alias("best_p1"),
                        F.round(odds.best_odds(m, "_P2"), 9).alias("best_p2"))
