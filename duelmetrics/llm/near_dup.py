@@ -41,8 +41,7 @@ REGION_ROWS = 4096
 ROW_SHINGLES = 2000
 WINDOW = 8
 NEAREST = 3
-#: Nodes whose shingles are counted to tell rare ones from common ones. Any order is right, a better one is faster.
-COUNTED = 20_000
+#: Shingles are counted by so many bits of their hash, to tell rare ones from common ones. Any order is right, a better one is faster.
 COUNT_BITS = 20
 #: Share of pairs at the very threshold that share no region, and of those whose sketches agree too little.
 LOST = 2e-5
@@ -185,9 +184,7 @@ def _dealt(rows: DataFrame, region_rows: int) -> DataFrame:
 
 
 def _counts(bodies: DataFrame, words: int) -> np.ndarray:
-    """How many of some of the texts have a shingle, by the last bits of its hash."""
-    share = min(1.0, COUNTED / max(1, bodies.count()))
-
+    """How many of the texts have a shingle, by the last bits of its hash."""
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << COUNT_BITS, np.int64)
         for batch in batches:
@@ -196,9 +193,8 @@ def _counts(bodies: DataFrame, words: int) -> np.ndarray:
         at = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(table[at])], names=["slot", "rows"])
 
-    some = bodies.where(F.pmod(F.xxhash64("node"), F.lit(1_000_000)) < int(share * 1_000_000)).select("text")
     out = np.zeros(1 << COUNT_BITS, np.int64)
-    for r in some.mapInArrow(tally, "slot long, rows long").groupBy("slot").agg(F.sum("rows").alias("rows")).toLocalIterator():
+    for r in bodies.select("text").mapInArrow(tally, "slot long, rows long").groupBy("slot").agg(F.sum("rows").alias("rows")).toLocalIterator():
         out[r.slot] = r.rows
     return out
 
