@@ -31,9 +31,13 @@ def one_per_key(batch: DataFrame, keys: list[str], order_by: list[str] | None, p
     order += [c for c in rest if c not in order and _orderable(batch.schema[c].dataType)]
     if not rest:
         return batch.distinct()
-    row = F.struct(*rest)
-    picked = batch.groupBy(*keys).agg(pick(row, F.struct(*order) if order else F.lit(0)).alias("_row"))
-    return picked.select(*keys, "_row.*").select(*batch.columns)
+    if set(rest) <= set(order):
+        # The order holds the whole row: one struct is shuffled instead of two.
+        best = (F.min if pick is F.min_by else F.max)(F.struct(*order))
+    else:
+        best = pick(F.struct(*rest), F.struct(*order) if order else F.lit(0))
+    picked = batch.groupBy(*keys).agg(best.alias("_row"))
+    return picked.select(*keys, *[F.col("_row").getField(c).alias(c) for c in rest]).select(*batch.columns)
 
 
 def whole_keys(batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -113,7 +117,8 @@ def with_surrogate_ids(df: DataFrame, current_max: int, order_by: list[str],
 
     A range shuffle sorts the rows; the sorted copy is written once, and each row's id is
     the number of rows in the partitions before its own plus its place inside it. Only the
-    table of partition sizes passes a single task.
+    table of partition sizes passes a single task; it has a row per partition and is
+    broadcast, so the copy isn't shuffled for it.
     """
     rank = F.monotonically_increasing_id()
     sorted_copy = stage(df.orderBy(*order_by).withColumn("_at", rank), "ids")
@@ -122,5 +127,5 @@ def with_surrogate_ids(df: DataFrame, current_max: int, order_by: list[str],
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    numbered = sorted_copy.withColumn("_part", part).join(offsets, "_part")
+    numbered = sorted_copy.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     return numbered.select((F.lit(current_max) + F.col("_offset") + place + 1).alias(id_col), *df.columns)

@@ -15,7 +15,7 @@ from ..functions.convert import blank_str, iso_day, relative_day, safe_date, saf
 from ..functions.odds import odds_to_json
 from ..functions.text import slug
 from ..operators.elo import elo_log
-from ..operators.keyed import insert_if_absent, with_surrogate_ids
+from ..operators.keyed import broken_keys, first_per_key, insert_if_absent, with_surrogate_ids
 from ..operators.quality import failures, gate_counts, two_player_rules
 from ..operators.ranking import latest_ratings, register_entities, unprocessed, without
 from ..operators.reshape import blocks_to_odds_map, map_to_wide
@@ -48,18 +48,28 @@ def typed_upcoming(landed: DataFrame, keep: list[str] = ()) -> DataFrame:
 
 
 def _publish(spark: SparkSession, root: str, batch: DataFrame, keys: list[str], order: list[str],
-             id_col: str, schema: T.StructType, ids_by: list[str], between: tuple[str, object, object] | None = None) -> DataFrame:
+             id_col: str, schema: T.StructType, ids_by: list[str], between: tuple[str, object, object] | None = None,
+             wide: bool = False) -> DataFrame:
     """Append the rows of ``batch`` whose key the table lacks, numbered from its highest id.
 
     ``between`` (a key column and its least and greatest value in the batch) limits the scan of the table.
+    ``wide`` rows stay where the fold by key put them: only their keys are sorted and numbered (``ids_by`` are
+    key columns then).
     """
     target = tables.read_all(spark, root, "rows", schema)
     if between:
         name, low, high = between
         target = target.where(F.col(name).between(F.lit(low), F.lit(high)))
     with temporary_stages(spark):
-        new = insert_if_absent(target, batch, keys, order).select(*[c for c in schema.names if c != id_col])
-        numbered = with_surrogate_ids(new, tables.newest_max(spark, root, "rows", schema, id_col), ids_by, id_col)
+        newest = tables.newest_max(spark, root, "rows", schema, id_col)
+        asked = stage(batch.select(*keys).distinct(), "keys") if wide else None
+        if wide and broken_keys(asked, keys).isEmpty():
+            ids = with_surrogate_ids(asked.join(target.select(*keys), keys, "left_anti"), newest, ids_by, id_col)
+            numbered = schemas.empty(spark, schema) if ids.isEmpty() else first_per_key(batch, keys, order).join(ids, keys)
+        else:
+            # A row with a null in its key has no key to carry its id.
+            new = insert_if_absent(target, batch, keys, order).select(*[c for c in schema.names if c != id_col])
+            numbered = with_surrogate_ids(new, newest, ids_by, id_col)
         version = tables.commit_version(spark, root, {"rows": numbered.select(*schema.names)})
     return spark.read.schema(schema).parquet(f"{root}/v{version}/rows")
 
@@ -100,7 +110,7 @@ def _load(spark: SparkSession, warehouse: str, name: str, typed: DataFrame, sche
     clean = spark.read.schema(T.StructType(schema.fields + schemas.SOURCE_FIELDS)).parquet(f"{root}/v{version}/rows/accepted=true")
     inserted = _publish(spark, f"{warehouse}/{name}_gold", clean, ["player1", "player2", "matchdate"],
                         ["source_file", "source_start", "id"], gold_id, gold_schema,
-                        ["matchdate", "player1", "player2"], between=("matchdate", first, last))
+                        ["matchdate", "player1", "player2"], between=("matchdate", first, last), wide=True)
     audit = spark.createDataFrame([tuple(counts.values())], ", ".join(f"{n} long" for n in counts))
     return _job_row(audit, inserted)
 
@@ -214,7 +224,7 @@ def job_predict(spark: SparkSession, warehouse: str, run_ts, side: str = "own")
     upcoming = upcoming.join(known.select(F.col("match_id").alias("id")), "id", "left_anti").select(*upcoming.columns)
     made = predict(upcoming, log, side).withColumn("created_at", F.lit(run_ts).cast("timestamp"))
     return _publish(spark, f"{warehouse}/predictions", made, ["match_id"], [], "id",
-                    schemas.PREDICTIONS, ["match_id"])
+                    schemas.PREDICTIONS, ["match_id"], wide=True)
 
 
 def job_backtest(spark: SparkSession, warehouse: str, as_of) -> DataFrame:
@@ -226,7 +236,7 @@ def job_backtest(spark: SparkSession, warehouse: str, as_of) -> DataFrame:
         .select(*predictions.columns)
     scored = backtest(predictions, results, as_of).withColumn("run_timestamp", F.lit(as_of).cast("timestamp"))
     return _publish(spark, f"{warehouse}/backtest_log", scored, ["prediction_id"], [], "id",
-                    schemas.BACKTEST_LOG, ["prediction_id"])
+                    schemas.BACKTEST_LOG, ["prediction_id"], wide=True)
 
 
 def job_odds_refresh(spark: SparkSession, warehouse: str) -> DataFrame:

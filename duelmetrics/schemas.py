@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -98,4 +99,5 @@ UPCOMING_MANDATORY = ["matchdate", "player1", "player2"]
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    """No rows, and the optimizer knows it: a join with an empty table moves nothing."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]).limit(0)

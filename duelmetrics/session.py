@@ -85,7 +85,7 @@ def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFra
     path = scratch_dir(spark, label)
     if partition_by:
         # Rebalanced first: otherwise each task would leave a file in each folder.
-        df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).parquet(path)
+        df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).parquet(path, compression="zstd")
     else:
-        df.write.parquet(path)
+        df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)

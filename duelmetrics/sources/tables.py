@@ -98,7 +98,7 @@ def commit_version(spark: SparkSession, root: str, tables: dict[str, DataFrame],
         by = (partition_by or {}).get(name)
         if by:
             writer = writer.partitionBy(*by)
-        writer.parquet(f"{root}/v{number}/{name}")
+        writer.parquet(f"{root}/v{number}/{name}", compression="zstd")
     fs, jvm = _fs(spark, root)
     for name, parts in (emptied or {}).items():
         for part in parts:

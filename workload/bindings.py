@@ -63,9 +63,12 @@ def uneven_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One price pair per (order, line number); some prices are unreadable."""
-    li = table(spark, sf_dir, "lineitem")
-    lines = li.groupBy("l_orderkey", "l_linenumber").agg(
+    """One price pair per (order, line number); some prices are unreadable.
+
+    Dealt by order, so that joins and groups by order need no further shuffle.
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    lines = li.repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(
         F.max("l_quantity").alias("q"), F.max("l_extendedprice").alias("e"))
     return lines.selectExpr(
         "l_orderkey as id", "l_linenumber as line", "concat('bm', l_linenumber) as bookmaker",
