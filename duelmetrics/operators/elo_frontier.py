@@ -7,6 +7,8 @@ numbers by an equality join. Rated matches leave the remaining ones. The rounds
 the longest chain of matches linked by players, so this form suits a large pool of very many
 players with few matches each, which it spreads over the cluster; a pool of few players has
 chains almost as long as its matches, and there the ordered stream of ``elo.elo_log`` is right.
+The ratings handed on are merged with the remaining matches, never broadcast: round after round
+they would pass the driver.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ def _numbered(rows: DataFrame, state: DataFrame | None, pool_col: str, base: int
     numbers = seats.groupBy("_row").agg(
         *[F.max(F.when(F.col("slot") == s, F.col("n"))).alias(f"_n{s}") for s in (1, 2, 3)],
         *[F.max(F.when(F.col("slot") == s, first)).alias(f"_r{s}") for s in (1, 2, 3)])
-    return rows.join(numbers, "_row")
+    return rows.join(numbers.hint("merge"), "_row")
 
 
 def _rated(ready: DataFrame, k: float) -> DataFrame:
@@ -90,7 +92,7 @@ def rate_by_rounds(rows: DataFrame, state: DataFrame | None, pool_col: str, k: f
             news = messages.select(*(F.col(c).alias(f"_{c}_{s}") for c in ("_pool", "name", "n", "rating")))
             same = rest[f"_n{s}"] == news[f"_n_{s}"]
             same &= rest[SLOTS[s - 1]].eqNullSafe(news[f"_name_{s}"]) & rest[pool_col].eqNullSafe(news[f"__pool_{s}"])
-            rest = rest.join(news, same, "left").withColumn(f"_r{s}", F.coalesce(f"_r{s}", f"_rating_{s}")).select(*left.columns)
+            rest = rest.join(news.hint("merge"), same, "left").withColumn(f"_r{s}", F.coalesce(f"_r{s}", f"_rating_{s}")).select(*left.columns)
         left = stage(rest, "frontier")
         if left.isEmpty():
             return spark.read.schema(written.schema).parquet(*done).select(*shown)
