@@ -57,6 +57,7 @@ def _publish(spark: SparkSession, root: str, batch: DataFrame, keys: list[str],
     key columns then).
     """
     target = tables.read_all(spark, root, "rows", schema)
+    rest = [c for c in schema.names if c != id_col]
     if between:
         name, low, high = between
         target = target.where(F.col(name).between(F.lit(low), F.lit(high)))
@@ -65,10 +66,11 @@ def _publish(spark: SparkSession, root: str, batch: DataFrame, keys: list[str],
         asked = stage(batch.select(*keys).distinct(), "keys") if wide else None
         if wide and broken_keys(asked, keys).isEmpty():
             ids = with_surrogate_ids(asked.join(target.select(*keys), keys, "left_anti"), newest, ids_by, id_col)
-            numbered = schemas.empty(spark, schema) if ids.isEmpty() else first_per_key(batch, keys, order).join(ids, keys)
+            first = first_per_key(batch, keys, order).select(*rest)
+            numbered = schemas.empty(spark, schema) if ids.isEmpty() else first.join(ids, keys)
         else:
             # A row with a null in its key has no key to carry its id.
-            new = insert_if_absent(target, batch, keys, order).select(*[c for c in schema.names if c != id_col])
+            new = insert_if_absent(target, batch, keys, order).select(*rest)
             numbered = with_surrogate_ids(new, newest, ids_by, id_col)
         version = tables.commit_version(spark, root, {"rows": numbered.select(*schema.names)})
     return spark.read.schema(schema).parquet(f"{root}/v{version}/rows")

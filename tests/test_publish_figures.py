@@ -53,5 +53,7 @@ def test_wide_rows_are_published_as_sorted_ones_are(spark, tmp_path):
     for name, loads in {"whole": [[5, 3, 3, 9], [9, 4, 3], [4]], "broken": [[2, None, 1, None], [None, 2, 7]]}.items():
         sides = [[published(spark, f"{tmp_path}/{name}-{wide}", batch(ids), wide) for ids in loads] for wide in (False, True)]
         assert sides[0] == sides[1] and sides[0][0]
+    own = batch([8, 6]).withColumn("id", F.lit(70).cast("long"))
+    assert [published(spark, f"{tmp_path}/own-{wide}", own, wide) for wide in (False, True)][0] == published(spark, f"{tmp_path}/own", own, True)
     kept = tables.read_all(spark, f"{tmp_path}/whole-True", "rows", schemas.PREDICTIONS)
     assert sorted((r["id"], r["match_id"]) for r in kept.collect()) == [(1, 3), (2, 5), (3, 9), (4, 4)]
