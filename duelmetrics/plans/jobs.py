@@ -11,18 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.convert import blank_str, iso_day, relative_day, safe_date, safe_int, safe_str
+from ..functions.convert import any_null, blank_str, iso_day, relative_day, safe_date, safe_int, safe_str
 from ..functions.odds import odds_to_json
 from ..functions.text import slug
 from ..operators.elo import elo_log
-from ..operators.keyed import broken_keys, first_per_key, insert_if_absent, with_surrogate_ids
+from ..operators.keyed import insert_if_absent, one_per_key, with_surrogate_ids
 from ..operators.quality import failures, gate_counts, two_player_rules
 from ..operators.ranking import latest_ratings, register_entities, unprocessed, without
 from ..operators.reshape import blocks_to_odds_map, map_to_wide
 from ..operators.star import Star, load_star
 from ..session import stage, temporary_stages
 from ..sources import tables
-from ..sources.csv_landing import SOURCE, read_csv_landing, read_csv_wide
+from ..sources.csv_landing import SOURCE_PARTS, landed_text, read_csv_landing, read_csv_wide
 from ..sources.pages import extract_match_pages, extract_odds_blocks
 from ..sources.sinks import write_dated_csv, write_labelled_csv
 from . import rating_store
@@ -49,12 +49,13 @@ def typed_upcoming(landed: DataFrame, keep: list[str] = ()) -> DataFrame:
 
 def _publish(spark: SparkSession, root: str, batch: DataFrame, keys: list[str], order: list[str],
              id_col: str, schema: T.StructType, ids_by: list[str], between: tuple[str, object, object] | None = None,
-             wide: bool = False) -> DataFrame:
+             wide: bool = False, rows_of: DataFrame | None = None) -> DataFrame:
     """Append the rows of ``batch`` whose key the table lacks, numbered from its highest id.
 
     ``between`` (a key column and its least and greatest value in the batch) limits the scan of the table.
     ``wide`` rows stay where the fold by key put them: only their keys are sorted and numbered (``ids_by`` are
-    key columns then).
+    key columns then), and where no key comes twice there is no fold. ``rows_of`` holds the keys of the batch's rows,
+    each as often as there, where they are cheaper to have than the batch.
     """
     target = tables.read_all(spark, root, "rows", schema)
     rest = [c for c in schema.names if c != id_col]
@@ -63,10 +64,13 @@ def _publish(spark: SparkSession, root: str, batch: DataFrame, keys: list[str],
         target = target.where(F.col(name).between(F.lit(low), F.lit(high)))
     with temporary_stages(spark):
         newest = tables.newest_max(spark, root, "rows", schema, id_col)
-        asked = stage(batch.select(*keys).distinct(), "keys") if wide else None
-        if wide and broken_keys(asked, keys).isEmpty():
-            ids = with_surrogate_ids(asked.join(target.select(*keys), keys, "left_anti"), newest, ids_by, id_col)
-            first = first_per_key(batch, keys, order).select(*rest)
+        if wide:
+            held = batch if rows_of is None else rows_of
+            held = stage(held.groupBy(*keys).agg((F.count(F.lit(1)) > 1).alias("_again")), "keys")
+            broken, again = held.agg(F.coalesce(F.bool_or(any_null(keys)), F.lit(False)), F.coalesce(F.bool_or("_again"), F.lit(False))).first()
+        if wide and not broken:
+            ids = with_surrogate_ids(held.select(*keys).join(target.select(*keys), keys, "left_anti"), newest, ids_by, id_col)
+            first = (one_per_key(batch, keys, order, F.min_by) if again else batch).select(*rest)
             numbered = schemas.empty(spark, schema) if ids.isEmpty() else first.join(ids, keys)
         else:
             # A row with a null in its key has no key to carry its id.
@@ -98,14 +102,14 @@ def _load(spark: SparkSession, warehouse: str, name: str, typed: DataFrame, sche
     checked = typed.withColumn("id", F.col("source_row") + 1).withColumn("failed", failures(mandatory, blank_is_null, rules))
     accepted = F.size("failed") == 0
     # Only rejects keep their text, so it is put together for them alone.
-    landed = checked.select(*schema.names, *[f.name for f in schemas.SOURCE_FIELDS], F.when(~accepted, F.col("raw")).alias("raw"),
+    landed = checked.select(*schema.names, *[f.name for f in schemas.SOURCE_FIELDS], F.when(~accepted, landed_text()).alias("raw"),
                             "cells_fit", "failed", accepted.alias("accepted"))
     seen = Observation()
     days = F.when(accepted, F.col("matchdate"))
     landed = landed.observe(seen, *gate_counts([*mandatory, *rules]), F.min(days).alias("first"), F.max(days).alias("last"))
     root = f"{warehouse}/{name}_staged"
     version = tables.commit_version(spark, root, {"rows": landed}, partition_by={"rows": ["accepted"]},
-                                    emptied={"rows": ["accepted=true", "accepted=false"]})
+                                    emptied={"rows": ["accepted=true", "accepted=false"]}, plain=["source_file"])
     tables.expire_versions(spark, root, 2)
     counts = seen.get
     first, last = counts.pop("first"), counts.pop("last")
@@ -125,8 +129,8 @@ def job_results_load(spark: SparkSession, landing: str, warehouse: str,
     ``source_file``. Ratings run pool by pool; without it all matches are one pool.
     """
     with temporary_stages(spark):
-        landed = read_csv_landing(spark, landing, schemas.RESULTS_CSV, with_source=True)
-        return _load(spark, warehouse, "results", typed_results(landed, SOURCE, pool),
+        landed = read_csv_landing(spark, landing, schemas.RESULTS_CSV, with_source="parts")
+        return _load(spark, warehouse, "results", typed_results(landed, SOURCE_PARTS, pool),
                      schemas.RESULTS_STAGED, schemas.RESULTS_MANDATORY,
                      two_player_rules() if reject_odd_winners else {}, False,
                      "match_id", schemas.RESULTS_GOLD)
@@ -148,8 +152,8 @@ def job_upcoming_load(spark: SparkSession, landing: str, warehouse: str,
                       blank_is_null: bool = False) -> DataFrame:
     """Landed odds files to staged rows and gold. The first odds of a match stay."""
     with temporary_stages(spark):
-        landed = read_csv_wide(spark, landing, schemas.UPCOMING_CSV, with_source=True)
-        return _load(spark, warehouse, "upcoming", typed_upcoming(landed, SOURCE),
+        landed = read_csv_wide(spark, landing, schemas.UPCOMING_CSV, with_source="parts")
+        return _load(spark, warehouse, "upcoming", typed_upcoming(landed, SOURCE_PARTS),
                      schemas.UPCOMING, schemas.UPCOMING_MANDATORY, {}, blank_is_null,
                      "id", schemas.UPCOMING)
 
@@ -225,8 +229,9 @@ def job_predict(spark: SparkSession, warehouse: str, run_ts, side: str = "own")
     # Left out before the work, not only before the write.
     upcoming = upcoming.join(known.select(F.col("match_id").alias("id")), "id", "left_anti").select(*upcoming.columns)
     made = predict(upcoming, log, side).withColumn("created_at", F.lit(run_ts).cast("timestamp"))
+    # A prediction for each upcoming row, so its keys are had without looking ratings up.
     return _publish(spark, f"{warehouse}/predictions", made, ["match_id"], [], "id",
-                    schemas.PREDICTIONS, ["match_id"], wide=True)
+                    schemas.PREDICTIONS, ["match_id"], wide=True, rows_of=upcoming.select(F.col("id").alias("match_id")))
 
 
 def job_backtest(spark: SparkSession, warehouse: str, as_of) -> DataFrame:

@@ -81,11 +81,12 @@ def _marked(spark: SparkSession, root: str, marker: str) -> list[int]:
 
 def commit_version(spark: SparkSession, root: str, tables: dict[str, DataFrame],
                    tag: str | None = None, partition_by: dict[str, list[str]] | None = None,
-                   emptied: dict[str, list[str]] | None = None) -> int:
+                   emptied: dict[str, list[str]] | None = None, plain: list[str] = ()) -> int:
     """Write ``tables`` as the next version of ``root`` and make them visible together.
 
     ``partition_by`` names the columns whose values make a table's parts (``current_parts``), and
-    ``emptied`` the parts that this version leaves without rows. A ``tag`` names the work that made the version. With one that is committed already nothing
+    ``emptied`` the parts that this version leaves without rows. Columns in ``plain`` get no Parquet dictionary: right for
+    long texts that stay the same over many rows, which pack as well without and are costly to look up. A ``tag`` names the work that made the version. With one that is committed already nothing
     happens, so a replay is safe; versions are numbered on whoever writes them.
     """
     held = version_of(spark, root, tag) if tag else None
@@ -98,6 +99,8 @@ def commit_version(spark: SparkSession, root: str, tables: dict[str, DataFrame],
         by = (partition_by or {}).get(name)
         if by:
             writer = writer.partitionBy(*by)
+        for column in plain:
+            writer = writer.option(f"parquet.enable.dictionary#{column}", "false")
         writer.parquet(f"{root}/v{number}/{name}", compression="zstd")
     fs, jvm = _fs(spark, root)
     for name, parts in (emptied or {}).items():
