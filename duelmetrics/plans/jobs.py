@@ -6,7 +6,7 @@ DataFrame. ``run_ts`` is a parameter, so a run can be repeated exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,9 @@ from .predict import predict
 from .refresh import refresh_odds_scores
 
 
+_FAILED = T.StructField("failed", T.ArrayType(T.StringType()))
+
+
 def typed_results(landed: DataFrame, keep: list[str] = (), pool: Column | None = None) -> DataFrame:
     """Landed texts to the column types of the results tables; ``pool`` is null if not given."""
     return landed.select(
@@ -96,7 +99,7 @@ def _staged(spark: SparkSession, warehouse: str, name: str, schema: T.StructType
 def _load(spark: SparkSession, warehouse: str, name: str, typed: DataFrame, schema: T.StructType,
           mandatory: list[str], rules: dict, blank_is_null: bool, gold_id: str,
           gold_schema: T.StructType) -> DataFrame:
-    """One pass reads the landed rows, checks, counts and writes them, clean and rejected ones apart; clean new ones are published."""
+    """One pass reads the landed rows, checks and writes them, clean and rejected ones apart; clean new ones are published."""
     # Staged ids only have to be unique and to grow inside a file, so nothing is sorted.
     rules = {**rules, "cells_fit": F.col("cells_fit")}
     checked = typed.withColumn("id", F.col("source_row") + 1).withColumn("failed", failures(mandatory, blank_is_null, rules))
@@ -104,16 +107,17 @@ def _load(spark: SparkSession, warehouse: str, name: str, typed: DataFrame, sche
     # Only rejects keep their text, so it is put together for them alone.
     landed = checked.select(*schema.names, *[f.name for f in schemas.SOURCE_FIELDS], F.when(~accepted, landed_text()).alias("raw"),
                             "cells_fit", "failed", accepted.alias("accepted"))
-    seen = Observation()
-    days = F.when(accepted, F.col("matchdate"))
-    landed = landed.observe(seen, *gate_counts([*mandatory, *rules]), F.min(days).alias("first"), F.max(days).alias("last"))
     root = f"{warehouse}/{name}_staged"
     version = tables.commit_version(spark, root, {"rows": landed}, partition_by={"rows": ["accepted"]},
                                     emptied={"rows": ["accepted=true", "accepted=false"]}, plain=["source_file"])
     tables.expire_versions(spark, root, 2)
-    counts = seen.get
-    first, last = counts.pop("first"), counts.pop("last")
-    clean = spark.read.schema(T.StructType(schema.fields + schemas.SOURCE_FIELDS)).parquet(f"{root}/v{version}/rows/accepted=true")
+    # Counted in what was written, a column or two of it: metrics observed in passing cost every row far more.
+    written = f"{root}/v{version}/rows/accepted="
+    clean = spark.read.schema(T.StructType(schema.fields + schemas.SOURCE_FIELDS)).parquet(f"{written}true")
+    rejects = spark.read.schema(T.StructType([_FAILED])).parquet(f"{written}false")
+    counts = rejects.agg(*gate_counts([*mandatory, *rules])).first().asDict()
+    clean_rows, first, last = clean.agg(F.count(F.lit(1)), F.min("matchdate"), F.max("matchdate")).first()
+    counts |= {"rows_read": counts["rows_rejected"] + clean_rows, "rows_clean": clean_rows}
     inserted = _publish(spark, f"{warehouse}/{name}_gold", clean, ["player1", "player2", "matchdate"],
                         ["source_file", "source_start", "id"], gold_id, gold_schema,
                         ["matchdate", "player1", "player2"], between=("matchdate", first, last), wide=True)
@@ -138,8 +142,7 @@ def job_results_load(spark: SparkSession, landing: str, warehouse: str,
 
 def read_rejects(spark: SparkSession, warehouse: str, name: str, schema: T.StructType) -> DataFrame:
     """The rows that the last load of ``name`` kept back: typed, as text, and the checks failed."""
-    failed = T.StructField("failed", T.ArrayType(T.StringType()))
-    fields = [*schema.fields, *schemas.SOURCE_FIELDS, *schemas.LANDED_FIELDS, failed]
+    fields = [*schema.fields, *schemas.SOURCE_FIELDS, *schemas.LANDED_FIELDS, _FAILED]
     return _staged(spark, warehouse, name, T.StructType(fields), accepted=False)
 
 

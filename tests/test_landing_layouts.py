@@ -59,6 +59,7 @@ def test_a_load_puts_texts_together_for_rejects_alone(spark, tmp_path, monkeypat
     jobs.job_upcoming_load(spark, land(tmp_path / "in", FILES), str(tmp_path / "wh"))
     texts = [line for line in written[0].splitlines() if "to_csv(" in line]
     assert len(texts) == 1 and "CASE WHEN NOT (size(failed" in texts[0]
+    assert "CollectMetrics" not in written[0]
     rejects = jobs.read_rejects(spark, str(tmp_path / "wh"), "upcoming", schemas.UPCOMING).select("raw", "failed").collect()
     assert {(r["raw"], tuple(r["failed"])) for r in rejects} == {
         ("Date,Player 1,Player 2,x_P1,x_P2", ("matchdate",)), ("2024-01-04,h,i,1,2,3,4", ("cells_fit",)),

@@ -62,19 +62,24 @@ def uneven_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.withColumn("pool", F.expr("if(match_id % 3 = 0, 0, match_id % 40)"))
 
 
-def quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One price pair per (order, line number); some prices are unreadable.
+def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One quantity and price per (order, line number).
 
     Dealt by order, so that joins and groups by order need no further shuffle.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    lines = li.repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber").agg(
+    return li.repartition("l_orderkey").groupBy(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line")).agg(
         F.max("l_quantity").alias("q"), F.max("l_extendedprice").alias("e"))
-    return lines.selectExpr(
-        "l_orderkey as id", "l_linenumber as line", "concat('bm', l_linenumber) as bookmaker",
-        "case when l_linenumber = 2 then '' when l_linenumber = 3 then 'n/a' "
-        "else cast(1 + q / 10 as string) end as p1",
-        "case when l_linenumber = 5 then 'NaN' else cast(1 + e / 20000 as string) end as p2")
+
+
+#: The texts of a line's two prices; some are unreadable.
+P1 = "case when line = 2 then '' when line = 3 then 'n/a' else cast(1 + q / 10 as string) end as p1"
+P2 = "case when line = 5 then 'NaN' else cast(1 + e / 20000 as string) end as p2"
+
+
+def quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One price pair per (order, line number); some prices are unreadable."""
+    return priced_lines(spark, sf_dir).selectExpr("id", "line", "concat('bm', line) as bookmaker", P1, P2)
 
 
 def odds(spark: SparkSession, sf_dir: str) -> DataFrame:

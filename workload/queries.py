@@ -542,10 +542,12 @@ def csv_rejects(spark, sf):
 def _land_upcoming(spark, sf):
     """Odds files whose bookmaker columns differ; folder, file and line follow a fixed order."""
     root = scratch_dir(spark, "landing")
-    lines = b.quoted_lines(spark, sf).join(
+    lines = b.priced_lines(spark, sf).join(
         b.matches(spark, sf).select(F.col("match_id").alias("id"), "matchdate", "player1", "player2"), "id")
     for n in (1, 2, 3):
-        lines.where(F.col("line") % 3 == n % 3).repartitionByRange("id").sortWithinPartitions("id", "line").select(
+        # A range shuffle runs its input twice, so the prices become texts behind it.
+        dealt = lines.where(F.col("line") % 3 == n % 3).repartitionByRange("id").sortWithinPartitions("id", "line")
+        dealt.selectExpr("*", b.P1, b.P2).select(
             F.col("id").alias("Match Id"), F.date_format("matchdate", "yyyy-MM-dd").alias("Date"), F.col("player1").alias("Player 1"),
             F.expr("if(id % 41 = 0, null, player2)").alias("Player 2"),
             F.col("p1").alias(f"book{n}_P1"), F.col("p2").alias(f"book{n}_P2"),
